@@ -25,5 +25,7 @@ def exact_sum(units: str, scale: int) -> Column:
     """Sum of a BIGINT column counted in ``10 ** -scale``, as DECIMAL(38, scale)."""
     high = F.sum(F.expr(f"{units} div {PART}")).cast("decimal(24,0)")
     low = F.sum(F.expr(f"{units} % {PART}")).cast("decimal(24,0)")
-    unit = F.lit("1e-%d" % scale).cast(f"decimal({scale},{scale})")
-    return ((high * PART + low) * unit).cast(f"decimal(38,{scale})")
+    total = high * PART + low
+    if scale:
+        total = total * F.lit(f"1e-{scale}").cast(f"decimal({scale},{scale})")
+    return total.cast(f"decimal(38,{scale})")
