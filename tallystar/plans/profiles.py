@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.functions.naming import query_name
+from tallystar.functions.seconds import mean_seconds
 from tallystar.sources.schemas import PROFILE_DEPTH
 
 RUN_KEYS = ("benchmark_name", "query", "scale_factor", "threads")
@@ -40,7 +41,7 @@ def by_run_group(run_rows: DataFrame) -> DataFrame:
     return run_rows.groupBy(*RUN_KEYS).agg(
         F.count("*").alias("runs"),
         F.min("elapsed").alias("min_elapsed"), F.max("elapsed").alias("max_elapsed"),
-        F.avg("elapsed").alias("avg_elapsed"),
+        mean_seconds("elapsed").alias("avg_elapsed"),
         F.avg("cumulative_rows_scanned").alias("avg_rows_scanned"),
         F.avg("cumulative_cardinality").alias("avg_cardinality")).orderBy("benchmark_name")
 
@@ -50,52 +51,58 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
-def _present(info: Column, member: str) -> Column:
-    return F.get_json_object(info, f"$.{member}").isNotNull()
+def listed(info: Column, member: str) -> Column:
+    """A member of ``extra_info`` that is a string or an array, always as an array."""
+    value = info[member]
+    return F.when(F.startswith(value, F.lit("[")), F.from_json(value, "array<string>")).when(
+        value.isNotNull(), F.array(value))
 
 
-def _node(node: Column, path: Column) -> Column:
-    """The fields of one operator that are kept, at its place in the tree."""
-    info = node["extra_info"]
+def _node(at: Column) -> Column:
+    """The fields of one operator that are kept, with its place in the tree."""
+    node = at["node"]
+    info = F.coalesce(node["extra_info"], F.create_map().cast("map<string,string>"))
     return F.struct(
-        path.alias("path"), node["operator_type"].alias("operator_type"),
-        F.get_json_object(info, "$.Text").alias("table"),
+        at["path"].alias("path"), node["operator_type"].alias("operator_type"),
+        F.try_element_at(info, F.lit("Text")).alias("table"),
         node["operator_timing"].alias("timing"),
         node["operator_rows_scanned"].alias("rows_scanned"),
         node["operator_cardinality"].alias("cardinality"),
-        _present(info, "Filters").alias("has_filter"),
-        _present(info, "Projections").alias("has_projection"))
+        F.map_contains_key(info, "Filters").alias("has_filter"),
+        F.map_contains_key(info, "Projections").alias("has_projection"))
 
 
-def _with_path(children: Column, parent: Column) -> Column:
-    return F.transform(children, lambda child, i: F.struct(
-        F.concat(parent, F.array(i)).alias("path"), child.alias("node")))
+def _children(at: Column) -> Column:
+    return F.transform(F.coalesce(at["node"]["children"], F.array()), lambda child, i: F.struct(
+        F.concat(at["path"], F.array(i)).alias("path"), child.alias("node")))
 
 
 def flatten(profiles: DataFrame, depth: int = PROFILE_DEPTH) -> DataFrame:
     """One row per operator of every run.
 
     ``path`` holds the child positions from the root; the root is the first child of the
-    profile. The tree is walked level by level inside the row, so no shuffle is needed.
-    Operators below ``depth`` levels raise an error rather than getting lost.
+    profile. The tree is walked level by level inside the row, so no shuffle is needed:
+    ``done`` collects operators and ``todo`` holds the subtrees still to visit. Operators
+    below ``depth`` levels raise an error rather than getting lost.
     """
-    run = profiles.select(
+    root = F.transform(F.slice("children", 1, 1), lambda child, i: F.struct(
+        F.array(i).alias("path"), child.alias("node")))
+    walk = profiles.select(
         "benchmark_name", query_name(F.col("benchmark_name")).alias("query"),
         F.col("scale_factor").cast("int").alias("scale_factor"),
-        F.col("thread_count").cast("int").alias("threads"),
-        _with_path(F.slice("children", 1, 1), F.array().cast("array<int>")).alias("_level0"))
-    for level in range(1, depth):
-        above = f"_level{level - 1}"
-        below = F.flatten(F.transform(above, lambda at: F.coalesce(
-            _with_path(at["node"]["children"], at["path"]), F.array())))
-        run = run.withColumn(f"_level{level}", below)
-    deeper = F.exists(f"_level{depth - 1}", lambda at: F.coalesce(
-        F.trim(at["node"]["children"]), F.lit("[]")).isin("[]", "") == F.lit(False))
-    levels = [F.transform(f"_level{level}", lambda at: _node(at["node"], at["path"]))
-              for level in range(depth)]
-    nodes = F.when(deeper, F.raise_error(F.lit(f"operator tree deeper than {depth} levels"))
-                   ).otherwise(F.concat(*levels))
-    return run.select(*RUN_KEYS, F.inline(nodes))
+        F.col("thread_count").cast("int").alias("threads"), root.alias("todo"))
+    for level in range(depth):
+        nodes = F.transform("todo", _node)
+        done = nodes if level == 0 else F.concat("done", nodes)
+        if level < depth - 1:
+            todo = F.flatten(F.transform("todo", _children))
+        else:
+            todo = F.transform("todo", lambda at: F.coalesce(at["node"]["children"], F.lit("[]")))
+        walk = walk.select(*RUN_KEYS, done.alias("done"), todo.alias("todo"))
+    deeper = F.exists("todo", lambda rest: F.trim(rest) != "[]")
+    checked = F.when(deeper, F.raise_error(F.lit(f"operator tree deeper than {depth} levels"))
+                     ).otherwise(F.col("done"))
+    return walk.select(*RUN_KEYS, F.inline(checked))
 
 
 def by_position(operators: DataFrame) -> DataFrame:
@@ -109,8 +116,8 @@ def by_position(operators: DataFrame) -> DataFrame:
         (F.min("operator_type").eqNullSafe(F.max("operator_type"))
          & F.min("table").eqNullSafe(F.max("table"))).alias("consistent"),
         F.count("*").alias("runs"),
-        *(F.avg(m).alias(m) for m in METRICS),
-        F.bool_and("has_filter").alias("has_filter"),
+        mean_seconds("timing").alias("timing"), F.avg("rows_scanned").alias("rows_scanned"),
+        F.avg("cardinality").alias("cardinality"), F.bool_and("has_filter").alias("has_filter"),
         F.bool_and("has_projection").alias("has_projection"))
 
 

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallystar.functions.seconds import mean_seconds
 from tallystar.plans.profiles import pivot_series
 
 # The TPC-H number of each position in the list of benchmark queries.
@@ -47,7 +48,7 @@ def by_repetition(statements: DataFrame) -> DataFrame:
 
 def by_query_type(stats: DataFrame) -> DataFrame:
     """Mean seconds per query type over its repetitions."""
-    return stats.groupBy("query_type").agg(F.avg("elapsed_seconds").alias("elapsed_seconds"))
+    return stats.groupBy("query_type").agg(mean_seconds("elapsed_seconds").alias("elapsed_seconds"))
 
 
 def with_query_number(stats: DataFrame) -> DataFrame:
@@ -60,7 +61,7 @@ def with_query_number(stats: DataFrame) -> DataFrame:
 def by_configuration(stats: DataFrame) -> DataFrame:
     """Mean seconds and milliseconds per query, schema and warehouse, and log of the latter."""
     means = with_query_number(stats).groupBy("query", "schema", "warehouse_size").agg(
-        F.avg("elapsed_seconds").alias("elapsed_seconds"), F.avg("elapsed_ms").alias("elapsed_ms"))
+        mean_seconds("elapsed_seconds").alias("elapsed_seconds"), F.avg("elapsed_ms").alias("elapsed_ms"))
     return means.withColumn("log_ms", F.log("elapsed_ms"))
 
 

@@ -38,6 +38,11 @@ def measurements(records: DataFrame) -> DataFrame:
         .select("name", "workload", "projection", "filepath", "file_type", *fields))
 
 
+def parse_source_records(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Source-benchmark records from JSON text, one per row."""
+    return lines.select(F.from_json(column, SOURCE_RECORD, {"mode": "FAILFAST"}).alias("r")).select("r.*")
+
+
 def read_source_records(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array of source-benchmark records."""
     return (spark.read.schema(SOURCE_RECORD).option("multiLine", True)

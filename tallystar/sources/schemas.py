@@ -28,7 +28,7 @@ def _operator(levels_below: int) -> T.StructType:
         T.StructField("cumulative_cardinality", T.LongType()),
         T.StructField("result_set_size", T.LongType()),
         T.StructField("cpu_time", T.DoubleType()),
-        T.StructField("extra_info", T.StringType()),
+        T.StructField("extra_info", T.MapType(T.StringType(), T.StringType())),
         T.StructField("children", children),
     ])
 
@@ -36,8 +36,9 @@ def _operator(levels_below: int) -> T.StructType:
 def profile_schema(depth: int = PROFILE_DEPTH) -> T.StructType:
     """A run with its operator tree unrolled to ``depth`` levels.
 
-    ``extra_info`` stays JSON text, because its members are strings or arrays by turns; so
-    do the children below the last level, of which there must be none.
+    ``extra_info`` is a map to text, because its members are strings or arrays by turns; an
+    array is kept as its JSON text. So are the children below the last level, of which
+    there must be none.
     """
     return T.StructType([
         T.StructField("benchmark_name", T.StringType()),
