@@ -9,7 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,38 +38,40 @@ def fits_in_task(model: DataFrame, max_rows: int = MAX_MODEL_ROWS,
 
 
 def _scorer(model: DataFrame):
-    """A Pandas UDF from cleaned text to PREDICTION, its model broadcast once."""
-    rows = model.select("label", "word", "label_probability", "word_probability").toPandas()
-    priors = rows.groupby("label")["label_probability"].max()  # sorted by label
-    grid = rows.pivot(index="word", columns="label", values="word_probability")
+    """An Arrow UDF from cleaned text to PREDICTION, its model broadcast once."""
+    rows = model.select("label", "word", "label_probability", "word_probability").toArrow()
+    if not len(rows):
+        raise ValueError("the model has no words")
+    encoded = rows["word"].combine_chunks().dictionary_encode()
+    labels, column, at = np.unique(rows["label"].to_numpy(), return_index=True,
+                                   return_inverse=True)
+    logs = np.full((len(encoded.dictionary), len(labels)), np.nan)
     with np.errstate(divide="ignore"):
-        log_words = np.log(grid[priors.index].to_numpy())
-        log_priors = np.log(priors.to_numpy())
-    held = model.sparkSession.sparkContext.broadcast(
-        (grid.index.to_numpy(dtype=object), log_words, priors.index.to_numpy(), log_priors))
+        logs[encoded.indices.to_numpy(), at] = np.log(rows["word_probability"].to_numpy())
+        base = np.log(rows["label_probability"].to_numpy()[column])
+    held = model.sparkSession.sparkContext.broadcast((encoded.dictionary, logs, labels, base))
     unit = LOG_UNIT
 
-    @F.pandas_udf(PREDICTION)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(PREDICTION)
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words, logs, labels, base = held.value
-        index = pd.Index(words)
         for texts in batches:
-            found = texts.fillna("").str.split().explode()
-            at = index.get_indexer(found)
-            hit = at >= 0
-            row = np.searchsorted(texts.index, found.index[hit])
             n = len(texts)
-            cell = row.astype(np.int64) * len(words) + at[hit]
-            cells, tf = np.unique(cell, return_counts=True)
-            doc, word = cells // max(len(words), 1), cells % max(len(words), 1)
+            split = pc.split_pattern(pc.fill_null(texts, ""), " ")
+            at = pc.fill_null(pc.index_in(pc.list_flatten(split), words), -1).to_numpy()
+            doc = pc.list_parent_indices(split).to_numpy()
+            hit = at >= 0
+            cells, tf = np.unique(doc[hit].astype(np.int64) * len(words) + at[hit],
+                                  return_counts=True)
+            doc, word = np.divmod(cells, max(len(words), 1))
             units = np.floor(tf[:, None] * logs[word] * unit + 0.5)
-            ranks = np.empty((n, len(labels)))
-            for k in range(len(labels)):
-                ranks[:, k] = base[k] + np.bincount(doc, units[:, k], n) / unit
+            ranks = np.column_stack([base[k] + np.bincount(doc, units[:, k], n) / unit
+                                     for k in range(len(labels))])
             best = ranks.argmax(axis=1)  # the first of equal ranks, so the lowest label
-            yield pd.DataFrame({"predicted_label": labels[best].astype("int32"),
-                                "ranking": ranks[np.arange(n), best],
-                                "known": np.bincount(doc, minlength=n) > 0})
+            yield pa.StructArray.from_arrays(
+                [pa.array(labels[best].astype(np.int32)), pa.array(ranks[np.arange(n), best]),
+                 pa.array(np.bincount(doc, minlength=n) > 0)],
+                names=["predicted_label", "ranking", "known"])
 
     return score
 
