@@ -13,6 +13,9 @@ from tallystar.sources.schemas import MODEL
 # Text cells may hold quotes, newlines and outer spaces; all must come back unchanged.
 CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"',
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+# A missing value is written as nothing and an empty text as "". The reader tells them apart
+# only if its null marker is not empty too.
+READ_NULL = "\0"
 ROWS_PER_CSV_FILE = 1_000_000
 
 
@@ -62,7 +65,7 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
     Without newlines inside cells a large file is split among tasks.
     """
     return (spark.read.schema(schema).options(**CSV_OPTIONS)
-            .option("multiLine", newlines_in_cells).option("mode", "FAILFAST")
+            .option("nullValue", READ_NULL).option("multiLine", newlines_in_cells).option("mode", "FAILFAST")
             .csv(path))
 
 
