@@ -5,16 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.common import Query, load, plain
+from checks.common import SCHEMAS, Query, load, plain
 from tallystar.functions.money import exact_sum, hundredths
 from tallystar.sources.shared import fresh_path
-from tallystar.sources.tables import read_csv, read_parquet, replace_table, table, write_csv
+from tallystar.sources.tables import (TEXTS_PER_FILE, read_csv, read_parquet, replace_table,
+                                      table, write_csv)
 
 
 def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pick and cast columns of a Parquet file into a table, then read the table."""
     picked = read_parquet(spark, f"{sf_dir}/documents.parquet",
-                          {"doc_id": "bigint", "text": "string", "n_chars": "int"})
+                          {"doc_id": "bigint", "text": "string", "n_chars": "int"},
+                          schema=SCHEMAS["documents"])
     path = fresh_path(spark, "ingested")
     replace_table(picked, path)
     return table(spark, path)
@@ -24,7 +26,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with newlines and quotes to CSV and back."""
     docs = load(spark, sf_dir, "documents")
     path = fresh_path(spark, "documents-csv")
-    write_csv(docs, path)
+    write_csv(docs, path, TEXTS_PER_FILE)
     return read_csv(spark, path, docs.schema, newlines_in_cells=True)
 
 
@@ -43,16 +45,22 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 FILTERED = ("l_discount BETWEEN 0.01D AND 0.03D AND l_quantity < 25 "
             "AND l_shipdate >= TIMESTAMP_NTZ '1998-01-01'")
 
+
+def scan_lines(spark: SparkSession, sf_dir: str, columns: dict[str, str] | None = None,
+               where: str | None = None) -> DataFrame:
+    return read_parquet(spark, f"{sf_dir}/lineitem.parquet", columns, where, SCHEMAS["lineitem"])
+
+
 QUERIES: dict[str, Query] = {
     "io_parquet_ingest": ingest,
     "io_parquet_csv_roundtrip": csv_round_trip,
     "scan_csv": csv_scan,
-    "scan_parquet_full": lambda s, d: plain(read_parquet(s, f"{d}/lineitem.parquet")),
-    "scan_parquet_projected": lambda s, d: read_parquet(
-        s, f"{d}/lineitem.parquet", {"l_orderkey": "bigint", "l_extendedprice": "double"}),
-    "scan_filtered": lambda s, d: read_parquet(
-        s, f"{d}/lineitem.parquet",
-        {"l_orderkey": "bigint", "l_discount": "double", "l_extendedprice": "double"}, FILTERED),
+    "scan_parquet_full": lambda s, d: plain(scan_lines(s, d)),
+    "scan_parquet_projected": lambda s, d: scan_lines(
+        s, d, {"l_orderkey": "bigint", "l_extendedprice": "double"}),
+    "scan_filtered": lambda s, d: scan_lines(
+        s, d, {"l_orderkey": "bigint", "l_discount": "double", "l_extendedprice": "double"},
+        FILTERED),
 }
 
 ORACLES: dict[str, str] = {

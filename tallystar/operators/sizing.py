@@ -15,15 +15,13 @@ MAX_SIDE_ROWS = 1_000_000
 def sized_sides(sides: Mapping[str, DataFrame], max_rows: int = MAX_SIDE_ROWS) -> dict[str, DataFrame]:
     """The same tables, those with at most ``max_rows`` rows marked for broadcast.
 
-    All sides are counted in one job, each only up to the limit. A larger side comes back
-    unmarked, so that Spark joins it by shuffle.
+    All sides are counted in one job that moves nothing but the counts. A larger side comes
+    back unmarked, so that Spark joins it by shuffle.
     """
     if not sides:
         return {}
-    counts = reduce(DataFrame.unionAll, [
-        df.select(F.lit(name).alias("side")).limit(max_rows + 1)
-          .groupBy("side").agg(F.count("*").alias("n"))
-        for name, df in sides.items()])
-    rows = {r.side: r.n for r in counts.collect()}
+    names = reduce(DataFrame.unionAll, [df.select(F.lit(name).alias("side"))
+                                        for name, df in sides.items()])
+    rows = {r.side: r.n for r in names.groupBy("side").agg(F.count("*").alias("n")).collect()}
     return {name: F.broadcast(df) if rows.get(name, 0) <= max_rows else df
             for name, df in sides.items()}

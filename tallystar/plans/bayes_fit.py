@@ -35,6 +35,7 @@ def count_by_word(docs: DataFrame, labels: Sequence[int] | None = None) -> DataF
     counts are gathered per word in a second one.
     """
     if labels is not None:
+        labels = sorted(set(labels))
         per_label = [F.count_if(F.col("label") == v) for v in labels]
         counts = F.map_from_arrays(F.array(*map(F.lit, labels)), F.array(*per_label))
         return tokens(docs, keep=["label"]).groupBy("value").agg(counts.alias("counts"))

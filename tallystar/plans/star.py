@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.money import hundredths
+from tallystar.sources.lazy import LazyTables
 
 STAR_TABLES = ("lineorder", "date", "customer", "supplier", "part")
 
@@ -54,15 +55,20 @@ def _with_place(table: DataFrame, prefix: str, t: Mapping[str, DataFrame]) -> Da
                     f"{prefix}_{'cust' if prefix == 'c' else 'supp'}key"))
 
 
-def star_of(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """The five star tables as views; the part type stands for the manufacturer."""
-    part = t["part"].select(
+def _parts(t: Mapping[str, DataFrame]) -> DataFrame:
+    """The part type stands for the manufacturer, with a size class for the category."""
+    return t["part"].select(
         "p_partkey", F.col("p_type").alias("p_mfgr"),
         F.concat("p_type", F.lit("#"), F.expr("p_size % 5 + 1")).alias("p_category"),
         F.col("p_brand").alias("p_brand1"))
-    return {"lineorder": _lineorder(t), "date": _calendar(t),
-            "customer": _with_place(t["customer"], "c", t),
-            "supplier": _with_place(t["supplier"], "s", t), "part": part}
+
+
+def star_of(t: Mapping[str, DataFrame]) -> LazyTables:
+    """The five star tables as views."""
+    return LazyTables({
+        "lineorder": lambda: _lineorder(t), "date": lambda: _calendar(t),
+        "customer": lambda: _with_place(t["customer"], "c", t),
+        "supplier": lambda: _with_place(t["supplier"], "s", t), "part": lambda: _parts(t)})
 
 
 def write_star(star: Mapping[str, DataFrame], folder: str) -> None:
@@ -81,5 +87,7 @@ def write_star(star: Mapping[str, DataFrame], folder: str) -> None:
         writer.mode("overwrite").parquet(f"{folder}/{name}")
 
 
-def read_star(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in STAR_TABLES}
+def read_star(spark: SparkSession, folder: str) -> LazyTables:
+    """The tables as ``write_star`` stored them."""
+    return LazyTables({name: lambda name=name: spark.read.parquet(f"{folder}/{name}")
+                       for name in STAR_TABLES})

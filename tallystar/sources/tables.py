@@ -16,17 +16,18 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"',
 # A missing value is written as nothing and an empty text as "". The reader tells them apart
 # only if its null marker is not empty too.
 READ_NULL = "\0"
-ROWS_PER_CSV_FILE = 1_000_000
+TEXTS_PER_FILE = 50_000
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Mapping[str, str] | None = None,
-                 where: str | None = None) -> DataFrame:
+                 where: str | None = None, schema: StructType | str | None = None) -> DataFrame:
     """A Parquet table; ``columns`` picks and casts, ``where`` filters.
 
     Both reach the scan: only the named columns are read and simple predicates prune row
-    groups.
+    groups. A declared ``schema`` saves the job that reads it from a file footer.
     """
-    df = spark.read.parquet(path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    df = reader.parquet(path)
     if where is not None:
         df = df.where(where)
     if columns is not None:
@@ -48,14 +49,14 @@ def replace_table(df: DataFrame, target: str) -> None:
         writer.saveAsTable(target)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """A folder of CSV files with headers and no index.
+def write_csv(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
+    """A folder of CSV files with headers and no index, one file per task.
 
-    Files are cut at a row limit, because a file with newlines inside quotes is read by
-    one task.
+    A file with newlines inside cells is read by one task, so ``rows_per_file`` should cut
+    tables of texts into files that one task can read.
     """
     (df.write.mode("overwrite").options(**CSV_OPTIONS)
-       .option("maxRecordsPerFile", ROWS_PER_CSV_FILE).csv(path))
+       .option("maxRecordsPerFile", rows_per_file).csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str,
@@ -70,10 +71,10 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
 
 
 def convert_to_csv(spark: SparkSession, parquet_path: str, csv_path: str,
-                   columns: Sequence[str] | None = None) -> None:
+                   columns: Sequence[str] | None = None, rows_per_file: int = 0) -> None:
     """Parquet to CSV, all columns or the named ones."""
     df = spark.read.parquet(parquet_path)
-    write_csv(df.select(*columns) if columns else df, csv_path)
+    write_csv(df.select(*columns) if columns else df, csv_path, rows_per_file)
 
 
 # The words of a model hold only letters and digits, so no cell is ever quoted; empty and
