@@ -30,13 +30,15 @@ def with_label_in(docs: DataFrame, labels: Iterable[int]) -> DataFrame:
     return docs.where(F.col("label").isin(*labels))
 
 
-def in_label_set(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def in_label_set(docs: DataFrame, labels: DataFrame, few: list[int] | None = None) -> DataFrame:
     """Rows whose label occurs in the label table, each kept once.
 
     A short label table becomes a filter, because a shuffle on the label would gather the
-    texts in a few partitions. A long one is a semi join.
+    texts in a few partitions. A long one is a semi join. ``few`` is ``few_labels(labels)``
+    if that is known already.
     """
-    few = few_labels(labels)
+    if few is None:
+        few = few_labels(labels)
     if few is not None:
         return with_label_in(docs, few)
     return docs.join(labels.select("label"), "label", "left_semi").select(*docs.columns)

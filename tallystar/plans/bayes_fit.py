@@ -87,27 +87,25 @@ def label_priors(docs: DataFrame) -> DataFrame:
                 .withColumn("label_prop", F.col("doc_count") / total))
 
 
-def _vocabulary_size_of(by_word: DataFrame) -> Column:
-    # Counting rows through ``counts`` keeps that column, and with it the shared shuffle.
-    return by_word.agg(F.count_if(F.size("counts") > 0)).scalar()
-
-
-def _sums_by_label(by_word: DataFrame) -> DataFrame:
-    """(label, n, present): occurrences and distinct words of the labels that have any."""
-    return (by_word.select(F.explode("counts").alias("label", "n"))
-                   .groupBy("label").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("present")))
-
-
-def _as_map(rows: DataFrame, *columns: str) -> Column:
-    """A table with one row per label as a map, in a scalar subquery."""
-    entry = F.struct("label", F.struct(*columns))
-    return rows.agg(F.map_from_entries(F.collect_list(entry))).scalar()
-
-
-def _total(sums: Column, label: Column, size: Column, absent_count: int) -> Column:
+def _word_sums(by_word: DataFrame) -> Column:
+    """One struct in a scalar subquery: ``size``, the number of distinct words, and
+    ``labels``, a map from label to its occurrences ``n`` and its distinct words ``present``.
+    """
+    sums = (by_word.select(F.posexplode("counts").alias("pos", "label", "n"))
+            .groupBy("label").agg(F.sum("n").alias("n"),
+                                  F.count_if(F.col("n") > 0).alias("present"),
+                                  # Every word has one first entry in its map.
+                                  F.count_if(F.col("pos") == 0).alias("first")))
+    return sums.agg(F.struct(
+        F.coalesce(F.sum("first"), F.lit(0)).alias("size"),
+        F.map_from_entries(F.collect_list(F.struct("label", F.struct("n", "present"))))
+        .alias("labels")).alias("sums")).scalar()
+
+
+def _total(sums: Column, label: Column, absent_count: int) -> Column:
     """Words under a label over the whole grid; absent words add ``absent_count`` each."""
-    mine = F.try_element_at(sums, label)
-    absent = size - F.coalesce(mine["present"], F.lit(0))
+    mine = F.try_element_at(sums["labels"], label)
+    absent = sums["size"] - F.coalesce(mine["present"], F.lit(0))
     return (F.coalesce(mine["n"], F.lit(0)) + F.lit(absent_count) * absent).cast("bigint")
 
 
@@ -116,25 +114,21 @@ def label_totals(docs: DataFrame, labels: DataFrame, absent_count: int = 0) -> D
 
     Summed from the pairs that occur; the absent ones need only be counted.
     """
-    by_word = count_by_word(docs, few_labels(labels))
-    total = _total(_as_map(_sums_by_label(by_word), "n", "present"), F.col("label"),
-                   _vocabulary_size_of(by_word), absent_count)
-    return (labels.select("label").distinct()
-                  .withColumn("total_count_words_in_label", total))
+    sums = _word_sums(count_by_word(docs, few_labels(labels)))
+    return (labels.select("label").distinct().select(
+        "label", _total(sums, F.col("label"), absent_count).alias("total_count_words_in_label")))
 
 
 def _assemble(by_word: DataFrame, priors: DataFrame, absent_count: int) -> DataFrame:
     """The dense model from word counts and one row per label that has documents."""
-    label = F.col("label")
-    grid = by_word.select(
-        F.explode(_as_map(priors, "label_prop")).alias("label", "prior"), "value", "counts",
-        _as_map(_sums_by_label(by_word), "n", "present").alias("sums"),
-        _vocabulary_size_of(by_word).alias("total_words"))
+    label, prior_of = F.col("label"), priors.agg(
+        F.map_from_entries(F.collect_list(F.struct("label", "label_prop")))).scalar()
+    grid = by_word.select(F.explode(prior_of).alias("label", "label_prop"), "value", "counts",
+                          _word_sums(by_word).alias("sums"))
     counted = grid.select(
         "label", "value", _count_in(label, absent_count).alias("word_count"),
-        _total(F.col("sums"), label, F.col("total_words"), absent_count)
-        .alias("total_count_words_in_label"),
-        F.col("prior.label_prop").alias("label_prop"), "total_words")
+        _total(F.col("sums"), label, absent_count).alias("total_count_words_in_label"),
+        "label_prop", F.col("sums.size").alias("total_words"))
     prop = calc_prop(F.col("word_count"), F.col("total_count_words_in_label"),
                      F.col("total_words"))
     return counted.withColumn("word_prop", prop).select(*MODEL_COLUMNS)
@@ -142,8 +136,9 @@ def _assemble(by_word: DataFrame, priors: DataFrame, absent_count: int) -> DataF
 
 def fit(docs: DataFrame, labels: DataFrame, absent_count: int = 0) -> DataFrame:
     """Train on ``docs(label, text, doc_id)`` cut to the label set; columns MODEL_COLUMNS."""
-    kept = in_label_set(docs, labels)
-    return _assemble(count_by_word(kept, few_labels(labels)), label_priors(kept), absent_count)
+    few = few_labels(labels)
+    kept = in_label_set(docs, labels, few)
+    return _assemble(count_by_word(kept, few), label_priors(kept), absent_count)
 
 
 def fit_rows(docs: DataFrame, labels: Sequence[int] | None = None) -> DataFrame:
