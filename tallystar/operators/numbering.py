@@ -20,6 +20,9 @@ def with_row_number(df: DataFrame, order: Sequence[str], name: str = "id") -> Da
     the same ranges: one counts the rows per range, the other adds the counts of the
     ranges before to each row's position. Only the counts, one row per range, pass
     through a single partition. ``order`` should be unique; ties are numbered as they lie.
+    Spark takes the range bounds from a sample of the order columns on the driver, so for
+    very long texts ``spark.sql.execution.rangeExchange.sampleSizePerPartition`` should be
+    small.
     """
     numbered = F.monotonically_increasing_id()
     ranged = checkpointed(

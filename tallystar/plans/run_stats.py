@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.functions.seconds import mean_seconds
+from tallystar.operators.median import mean_and_median
 from tallystar.plans.profiles import pivot_series
 
 # The TPC-H number of each position in the list of benchmark queries.
@@ -80,10 +81,9 @@ def by_dataset(measured: DataFrame) -> DataFrame:
 
     The median shows a run far off the others, which moves the mean.
     """
-    return measured.groupBy("name").agg(
-        F.count("*").alias("runs"),
-        (F.avg("Execution") / 1000).alias("mean_seconds"),
-        (F.median("Execution") / 1000).alias("median_seconds")).orderBy("name")
+    return mean_and_median(measured, "name", "Execution").select(
+        "name", "runs", (F.col("mean") / 1000).alias("mean_seconds"),
+        (F.col("median") / 1000).alias("median_seconds")).orderBy("name")
 
 
 def mean_of_numbers(numbers: DataFrame) -> DataFrame:

@@ -47,6 +47,10 @@ def read_back_to_back(spark: SparkSession, path: str, between: str = "}\n{") ->
 
 
 def split_by_benchmark(profiles: DataFrame, path: str, names: Sequence[str] | None = None) -> None:
-    """One folder of JSON lines per benchmark name, of all names or the listed ones."""
+    """One folder of JSON lines per benchmark name, of all names or the listed ones.
+
+    Rebalancing gives a name few files and splits one that is too large for a task.
+    """
     chosen = profiles if names is None else profiles.where(F.col("benchmark_name").isin(*names))
-    chosen.write.mode("overwrite").partitionBy("benchmark_name").json(path)
+    (chosen.hint("rebalance", "benchmark_name")
+           .write.mode("overwrite").partitionBy("benchmark_name").json(path))

@@ -236,3 +236,27 @@ def test_scoring_plan_has_no_cross_join_and_no_single_partition(toy_test, model)
     plan = bayes_rank.predict(toy_test, model)._jdf.queryExecution().executedPlan().toString()
     for operator in ("BroadcastNestedLoopJoin", "CartesianProduct", "SinglePartition"):
         assert operator not in plan
+
+
+def test_a_word_hot_only_in_the_scored_texts_is_split(spark, toy_train, model):
+    """A word that every text repeats but the model does not call hot: AQE splits its partition."""
+    docs = spark.range(20_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.lit("zzz fun w"), F.col("id") % 997).alias("text")).repartition(8)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.shuffle.partitions": "16",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40k"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        df = bayes_rank.scores(docs, model)
+        found = df.groupBy("label").count()
+        assert rows(found) == [(0, 20_000), (4, 20_000)]
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

@@ -1,9 +1,12 @@
+import statistics
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from tallystar.functions.money import exact_sum, hundredths
 from tallystar.functions.seconds import mean_seconds
+from tallystar.operators.median import mean_and_median
 from tallystar.operators.numbering import with_row_number
 from tallystar.operators.salting import salted_join
 from tallystar.operators.sizing import sized_sides
@@ -86,3 +89,11 @@ def test_money_sums_do_not_overflow(spark):
 def test_mean_seconds(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (None,)], "s double")
     assert df.agg(mean_seconds("s")).first()[0] == pytest.approx(0.15)
+
+
+def test_mean_and_median(spark):
+    values = {"odd": [5, 1, 9], "even": [4, 4, 10, 1], "one": [7], "equal": [2] * 6, "pair": [1, 2]}
+    df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs] + [("odd", None)],
+                               "k string, v bigint")
+    got = {r.k: (r.runs, r["mean"], r["median"]) for r in mean_and_median(df, "k", "v").collect()}
+    assert got == {k: (len(v), statistics.mean(v), statistics.median(v)) for k, v in values.items()}
