@@ -13,18 +13,15 @@ def mean_and_median(df: DataFrame, key: str, value: str) -> DataFrame:
     values with counts and is passed through a window that can spill, never held whole.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(key).orderBy(value)
-                            .rowsBetween(Window.unboundedPreceding, 0))
-    placed = counts.withColumn("_upto", upto)
-    totals = (counts.groupBy(key).agg(F.sum("_n").alias("runs"),
-                                      F.sum(F.col(value) * F.col("_n")).alias("_sum")))
-    middle = placed.join(totals, key)
-    first, second = F.expr("(runs + 1) div 2"), F.expr("runs div 2 + 1")
+    whole = Window.partitionBy(key)
+    upto = whole.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = counts.withColumns({"_upto": F.sum("_n").over(upto), "_runs": F.sum("_n").over(whole)})
 
     def at(position):
         here = (F.col("_upto") >= position) & (F.col("_upto") - F.col("_n") < position)
         return F.max(F.when(here, F.col(value)))
 
-    return middle.groupBy(key).agg(
-        F.max("runs").alias("runs"), (F.max("_sum") / F.max("runs")).alias("mean"),
-        ((at(first) + at(second)) / 2).alias("median"))
+    middle = (at(F.expr("(_runs + 1) div 2")) + at(F.expr("_runs div 2 + 1"))) / 2
+    return placed.groupBy(key).agg(
+        F.sum("_n").alias("runs"),
+        (F.sum(F.col(value) * F.col("_n")) / F.sum("_n")).alias("mean"), middle.alias("median"))

@@ -30,12 +30,14 @@ def measurements(records: DataFrame) -> DataFrame:
     projected = has_projection(F.col("name"))
     tail = F.when(projected, F.lit("-projection")).otherwise(F.lit(""))
     fields = [F.col("m")[name].alias(alias) for name, (alias, _) in MEASUREMENT_FIELDS.items()]
-    return (records.select(
+    named = records.select(
         F.concat(stem, F.lit("-"), kind, tail).alias("name"),
         F.split_part("name", F.lit("-"), F.lit(1)).alias("workload"),
-        projected.alias("projection"), "filepath", kind.alias("file_type"),
-        F.explode("measurements").alias("m"))
-        .select("name", "workload", "projection", "filepath", "file_type", *fields))
+        projected.alias("projection"), "filepath", kind.alias("file_type"), "measurements")
+    # The outer form keeps Spark from adding a filter that would parse the JSON a second time.
+    each = named.select("name", "workload", "projection", "filepath", "file_type",
+                        F.explode_outer("measurements").alias("m")).where("m is not null")
+    return each.select("name", "workload", "projection", "filepath", "file_type", *fields)
 
 
 def parse_source_records(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -69,7 +69,7 @@ def test_sql_names(spark):
 
 def test_names(spark):
     df = spark.createDataFrame([("SSBQ1v1S100T1", "file:///d/ssb_sf1.parquet", "ssb-parquet-projection"),
-                                ("SSBQ4v3S1T4", "/a.b/noext", "yelp-csv")],
+                                ("SSBQ4v3S1T4", "/a.b/noext", "reviews-csv")],
                                "b string, f string, n string")
     got = [tuple(r) for r in df.select(
         naming.query_name(F.col("b")), naming.file_stem(F.col("f")),
