@@ -2,6 +2,8 @@ import math
 import re
 
 import pytest
+from hypothesis import HealthCheck, Phase, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -260,3 +262,26 @@ def test_a_word_hot_only_in_the_scored_texts_is_split(spark, toy_train, model):
         for key in settings:
             spark.conf.unset(key)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+WORDS = ["good", "bad", "film", "Plot!", "café", "a\nb", "--", "x1"]
+TEXT = st.none() | st.lists(st.sampled_from(WORDS), max_size=6).map(" ".join)
+
+
+@settings(max_examples=4, deadline=None, derandomize=True, phases=[Phase.generate],
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from([0, 4, 7]), TEXT), min_size=2, max_size=12))
+def test_any_corpus_matches_brute_force(spark, toy_labels, corpus):
+    docs = spark.createDataFrame([(label, text, i) for i, (label, text) in enumerate(corpus)],
+                                 "label int, text string, doc_id bigint")
+    words = [(label, re.sub(r"[^A-Za-z 0-9]", "", text or "").lower().split())
+             for label, text in corpus if label in (0, 4)]
+    vocabulary = {w for _, ws in words for w in ws}
+    present = {label for label, _ in words}
+    totals = {l: sum(len(ws) for label, ws in words if label == l) for l in present}
+    expected = {(l, w): (sum(ws.count(w) for label, ws in words if label == l) + 1)
+                / (totals[l] + len(vocabulary)) for l in present for w in vocabulary}
+    got = bayes_fit.fit(docs, toy_labels)
+    assert {(r.label, r.value): r.word_prop for r in got.collect()} == expected
+    assert rows(got, "label", "value", "label_prop", "word_prop") == rows(
+        bayes_fit.fit_rows(docs, (0, 4)))
