@@ -6,7 +6,9 @@ import __spark_entry__ as registered
 from checks.compare import difference, oracle_connection
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+OWN = registered.GROUPS[:4]
+QUERIES = {name: query for group in OWN for name, query in group.QUERIES.items()}
+ORACLES = {name: sql for group in OWN for name, sql in group.ORACLES.items()}
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +25,11 @@ def test_query_equals_sql(spark, oracle, name):
     assert difference(QUERIES[name](spark, SF), oracle, ORACLES[name]) is None
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(registered.queries())
+    assert set(registered.oracle_sql()) <= set(registered.queries())
+
+
 def test_entry(spark):
     df = registered.entry(spark)
     assert df.columns == ["doc_id", "status", "predicted", "target", "text"] and df.count() > 0
