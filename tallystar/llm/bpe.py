@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import chunks
+from tallystar.llm.common import chunks, in_batches
 from tallystar.llm.pieces import PieceTable
 
 CHUNK_BYTES = 2_000_000
@@ -148,8 +148,8 @@ def encode(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id",
                     [batch.column(0).slice(start, len(ids)), pa.array(ids, pa.binary())],
                     ["id", "ids"])
 
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(encoded, f"id {kind}, ids binary")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return (in_batches(texts, encoded, f"id {kind}, ids binary")
             .select(F.col("id").alias(id_col), "ids"))
 
 
@@ -167,8 +167,8 @@ def decode(encoded: DataFrame, ranks_path: str, *, id_col: str = "doc_id",
                     [*(c.slice(start, len(ids)) for c in batch.columns),
                      pa.array(texts, pa.binary())], ["id", "ids", "text"])
 
-    return (encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
-            .mapInArrow(decoded, f"id {kind}, ids binary, text binary")
+    rows = encoded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
+    return (in_batches(rows, decoded, f"id {kind}, ids binary, text binary")
             .select(F.col("id").alias(id_col), "ids", "text"))
 
 

@@ -4,15 +4,41 @@ from __future__ import annotations
 
 import os
 import posixpath
+import tempfile
 import uuid
-from collections.abc import Iterator
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
+import tallystar
 from tallystar.sources.shared import fresh_path
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the library to the executors, once per application, as `--py-files` would."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        root = Path(tallystar.__file__).parent
+        path = os.path.join(tempfile.mkdtemp(prefix="tallystar-"), "tallystar.zip")
+        with zipfile.ZipFile(path, "w") as archive:
+            for source in sorted(root.rglob("*.py")):
+                archive.write(source, source.relative_to(root.parent))
+        context.addPyFile(path)
+        _shipped.add(context.applicationId)
+
+
+def in_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]],
+                                                 Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """`mapInArrow` whose function may use this package on any executor."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

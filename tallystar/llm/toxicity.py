@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallystar.llm.common import in_batches
+
 # Letters that look like Latin ones, and signs that stand for letters.
 HOMOGLYPHS = {
     "а": "a", "в": "b", "е": "e", "к": "k", "м": "m", "н": "h", "о": "o", "р": "p", "с": "c",
@@ -49,15 +51,31 @@ _LETTERS = {ord(c): v.replace("l", "i") for c, v in HOMOGLYPHS.items()} | {ord("
 _FOLD = _BREAKS | _DROPPED | _LETTERS
 
 
+#: Entries after which a task's table of folded words is begun anew: bounds its memory only.
+CACHE_WORDS = 500_000
+_folded: dict[str, str] = {}
+
+
+def _fold_word(word: str) -> str:
+    if not word.isascii():
+        word = unicodedata.normalize("NFKD", word).translate(_DROPPED)
+    word = _SIGN_RUN.sub(lambda m: m[0].translate(_SIGN_MAP), word.lower())
+    return " ".join(word.translate(_FOLD).split())
+
+
 def fold(text: str | None) -> tuple[str, int]:
-    """The folded words with a space before, between and after them, and their number."""
-    if not text:
-        return " ", 0
-    if not text.isascii():
-        text = unicodedata.normalize("NFKD", text).translate(_DROPPED)
-    text = _SIGN_RUN.sub(lambda m: m[0].translate(_SIGN_MAP), text.lower())
-    words = text.translate(_FOLD).split()
-    return f" {' '.join(words)} ", len(words)
+    """The folded words with a space before, between and after them, and their number.
+
+    What stands between white space is folded alone, so folded words can be kept.
+    """
+    words = text.split() if text else []
+    missing = set(words).difference(_folded)
+    if len(_folded) + len(missing) > CACHE_WORDS:
+        _folded.clear()
+        missing = set(words)
+    _folded.update((w, _fold_word(w)) for w in missing)
+    joined = " ".join(filter(None, map(_folded.__getitem__, words)))
+    return (f" {joined} ", joined.count(" ") + 1) if joined else (" ", 0)
 
 
 @dataclass(frozen=True)
@@ -156,9 +174,9 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     by_hash = (F.xxhash64("_id"), F.col("_id"))
     chosen = (seen.where("_toxic > 0").orderBy(*by_hash).limit(sample_toxic)
               .unionByName(seen.where("_toxic = 0").orderBy(*by_hash).limit(sample_clean)))
-    sample = (texts.join(F.broadcast(chosen), "_id")           # bounded by the two parameters
-              .groupBy("_id").agg(F.max("_toxic").alias("_toxic"), F.min("_text").alias("_text"))
-              .mapInArrow(_folded_sample, "folded string, toxic int, sig1 long, sig2 long")
+    rows = (texts.join(F.broadcast(chosen), "_id")             # bounded by the two parameters
+            .groupBy("_id").agg(F.max("_toxic").alias("_toxic"), F.min("_text").alias("_text")))
+    sample = (in_batches(rows, _folded_sample, "folded string, toxic int, sig1 long, sig2 long")
               .dropDuplicates(["sig1"]).dropDuplicates(["sig2"]).persist())
     try:
         sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
@@ -223,7 +241,7 @@ def _exceptions(sample: DataFrame, model: ToxicityModel, most: int) -> tuple[str
                 [pa.array([p for *_, p in out], pa.string()),
                  pa.array([t for _, t, _ in out], pa.int32())], ["phrase", "toxic"])
 
-    found = (sample.select("folded", "toxic").mapInArrow(contexts, "phrase string, toxic int")
+    found = (in_batches(sample.select("folded", "toxic"), contexts, "phrase string, toxic int")
              .groupBy("phrase").agg(F.sum("toxic").alias("t"), F.count("*").alias("n"))
              .where("t = 0 AND n >= 3").orderBy(F.desc("n"), "phrase").limit(most).collect())
     return tuple(r.phrase for r in found)
@@ -238,7 +256,7 @@ def _sample_features(sample: DataFrame, model: ToxicityModel) -> list[tuple[floa
                  pa.array([b for _, b in values], pa.float64()), batch.column("toxic")],
                 ["a", "b", "toxic"])
 
-    rows = sample.select("folded", "toxic").mapInArrow(measured, "a double, b double, toxic int")
+    rows = in_batches(sample.select("folded", "toxic"), measured, "a double, b double, toxic int")
     return [(r.a, r.b, r.toxic) for r in rows.collect()]        # one row per sampled document
 
 
@@ -255,8 +273,8 @@ def score(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id",
                 ["id", "score"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(scored, f"id {kind}, score double")
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return (in_batches(texts, scored, f"id {kind}, score double")
             .select(F.col("id").alias(id_col), "score"))
 
 
@@ -270,4 +288,4 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, *, text_col: str = "tex
             yield batch.filter(pa.array(
                 [held.value.score(t.as_py()) < threshold for t in batch.column(at)], pa.bool_()))
 
-    return docs.mapInArrow(kept, docs.schema)
+    return in_batches(docs, kept, docs.schema)
