@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import bpe, jaccard, toxicity
+from tallystar.llm import bpe, decontaminate, jaccard, toxicity
 from tallystar.llm.common import table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -25,6 +25,14 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per contaminated document: the items found in it, with the stretches of text."""
+    found = decontaminate.occurrences(table(spark, sf_dir, "documents"),
+                                      table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", F.col("start").alias("start_char"),
+                        F.col("end").alias("end_char"), "edits")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -32,6 +40,7 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
+    "op5_decontamination": op5_decontamination,
     "op7_jaccard_join": op7_jaccard_join,
 }
 
