@@ -153,11 +153,17 @@ class Items:
             return []
         at = np.repeat(shared, times)
         entry = np.arange(len(at)) - np.repeat(np.cumsum(times) - times - low, times)
-        return [found for band in self._bands(self.item[entry], self.place[entry], at)
-                if (found := self._verify(*band, points, origin)) is not None]
+        item, place = self.item[entry], self.place[entry]
+        enough = np.bincount(item, minlength=len(self.ids)) >= self.least
+        item, place, at = item[enough[item]], place[enough[item]], at[enough[item]]
+        out: dict[int, tuple[int, int, int, int]] = {}
+        for which, diagonal, starts in self._bands(item, place, at) if len(item) else ():
+            if which not in out and (found := self._verify(which, diagonal, starts, points, origin)):
+                out[which] = found
+        return list(out.values())
 
     def _bands(self, item: np.ndarray, place: np.ndarray, at: np.ndarray
-               ) -> Iterator[tuple[int, int, list[int]]]:
+               ) -> Iterator[tuple[int, int, np.ndarray]]:
         """(item, least diagonal, starts of the windows that reach the bound) per band."""
         edits, diagonal = self.edits[item], at - place
         step = step_of(edits)                         # bands [b * step, b * step + 2 * edits]
@@ -169,6 +175,9 @@ class Items:
         band = np.concatenate([band, band[lower] - 1])
         order = np.lexsort((place, band, item))
         item, band, place = item[order], band[order], place[order]
+        new = np.concatenate([[True], (item[1:] != item[:-1]) | (band[1:] != band[:-1])
+                              | (place[1:] != place[:-1])])
+        item, band, place = item[new], band[new], place[new]  # a q-gram of the item counts once
         # The hit `least - 1` further on must be of the same band and within one window.
         ahead = np.arange(len(item)) + self.least[item] - 1
         inside = ahead < len(item)
@@ -181,18 +190,19 @@ class Items:
                 k, width = item[part[0]], self.width[item[part[0]]]
                 first = np.maximum(0, place[ahead[part]] + self.q - width)
                 last = np.minimum(place[part], len(self.points[k]) - width)
+                change = np.zeros(len(self.points[k]) + 1, np.int64)
+                np.add.at(change, first, 1)
+                np.add.at(change, np.maximum(last + 1, first), -1)
                 yield (int(k), int(band[part[0]] * step_of(self.edits[k])),
-                       [s for a, b in zip(first.tolist(), last.tolist()) for s in range(a, b + 1)])
+                       np.flatnonzero(np.cumsum(change) > 0))
 
-    def _verify(self, item: int, diagonal: int, starts: list[int], points: np.ndarray,
+    def _verify(self, item: int, diagonal: int, starts: np.ndarray, points: np.ndarray,
                 origin: np.ndarray) -> tuple[int, int, int, int] | None:
         """The first of the windows that aligns with the text around the band's diagonals."""
         width, edits = int(self.width[item]), int(self.edits[item])
         pattern, span = self.points[item], width + 4 * edits + 1
         padded = np.concatenate([np.zeros(span, np.uint32), points, np.zeros(span, np.uint32)])
-        starts = sorted(set(starts))
-        for a in range(0, len(starts), 512):
-            at = np.array(starts[a:a + 512])
+        for at in np.split(starts, [8, *range(200, len(starts), 500)]):
             begin = np.clip(at + diagonal - edits, -span, len(points))
             windows = pattern[at[:, None] + np.arange(width)]
             texts = padded[(begin + span)[:, None] + np.arange(span)]
@@ -202,7 +212,7 @@ class Items:
                 end = int(ends[row])
                 _, back = align(windows[row:row + 1, ::-1], texts[row:row + 1, :end][:, ::-1])
                 last = int(begin[row]) + end
-                return (item, int(origin[last - int(back[0])]), int(origin[last - 1]) + 1,
+                return (item, int(origin[max(0, last - int(back[0]))]), int(origin[last - 1]) + 1,
                         int(found[row]))
         return None
 

@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import bpe, decontaminate, jaccard, toxicity
+from tallystar.llm import (bpe, decontaminate, jaccard, sharding, token_files, toxicity, warc)
 from tallystar.llm.common import table
+from tallystar.sources.shared import fresh_path
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -25,6 +27,22 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), RANKS)
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row and its text go through the shuffle; the digests are taken from its result."""
+    rows = sharding.uniform_shards(table(spark, sf_dir, "documents"), 24)
+    text = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
+    return rows.select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"),
+                       F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"),
+                       "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "warc")
+    index = warc.write(table(spark, sf_dir, "pages"), folder)
+    return warc.read(index, folder).select("page_id", "payload_bytes", "payload_digest",
+                                           "record_type", "refers_to")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per contaminated document: the items found in it, with the stretches of text."""
     found = decontaminate.occurrences(table(spark, sf_dir, "documents"),
@@ -37,11 +55,21 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_path(spark, "tokens")
+    files = token_files.write(table(spark, sf_dir, "documents"), folder, TOKENIZER)
+    return token_files.read(files, folder).select(
+        F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_byte_bpe": op2_byte_bpe,
+    "op3_sharding": op3_sharding,
+    "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
     "op7_jaccard_join": op7_jaccard_join,
+    "op10_token_files": op10_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_warc": warc.ORACLE}
