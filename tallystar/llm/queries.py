@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import (bpe, decontaminate, jaccard, sharding, token_files, toxicity, warc)
+from tallystar.llm import (bpe, decontaminate, html_text, jaccard, licenses, neighbours, sharding,
+                           token_files, toxicity, warc)
 from tallystar.llm.common import table
 from tallystar.sources.shared import fresh_path
 
@@ -51,10 +52,24 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.col("end").alias("end_char"), "edits")
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.summary(licenses.scan(table(spark, sf_dir, "documents")))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"))
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_path(spark, "tokens")
     files = token_files.write(table(spark, sf_dir, "documents"), folder, TOKENIZER)
@@ -68,7 +83,10 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_warc": op4_warc,
     "op5_decontamination": op5_decontamination,
+    "op6_licenses": op6_licenses,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_neighbours": op8_neighbours,
+    "op9_main_text": op9_main_text,
     "op10_token_files": op10_token_files,
 }
 
