@@ -256,7 +256,8 @@ FROM run_rows GROUP BY ALL"""
 
 def _series(series: str, values: tuple[int, ...], where: str) -> str:
     columns = ", ".join(
-        f"coalesce(max(CASE WHEN {series} = {v} THEN timing / threads END), 0) AS \"{v}\""
+        f"CASE WHEN query IN (SELECT query FROM types WHERE {where} AND {series} = {v}) THEN "
+        f"coalesce(max(CASE WHEN {series} = {v} THEN timing / threads END), 0) END AS \"{v}\""
         for v in values)
     return f"{PER_ORDER} SELECT query, operator_type, {columns} FROM types WHERE {where} GROUP BY ALL"
 

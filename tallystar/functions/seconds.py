@@ -11,7 +11,11 @@ NANO = 1e9
 def mean_seconds(name: str) -> Column:
     """Mean of a column of seconds, summed in whole nanoseconds.
 
-    The sum of whole numbers is the same in any order of rows, unlike that of doubles.
+    The sum of whole numbers is the same in any order of rows, unlike that of doubles. Whole
+    seconds and the rest are summed apart, so that neither sum leaves the range of BIGINT.
     """
     nanos = F.floor(F.col(name) * NANO + 0.5)
-    return F.sum(nanos) / (F.count(name) * F.lit(NANO))
+    whole = F.floor(nanos / NANO)
+    rest = F.sum(nanos - whole * F.lit(int(NANO))).cast("decimal(38,0)")
+    total = F.sum(whole).cast("decimal(28,0)") * F.lit(int(NANO)) + rest
+    return total.cast("double") / (F.count(name) * F.lit(NANO))

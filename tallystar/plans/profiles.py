@@ -80,12 +80,11 @@ def _children(at: Column) -> Column:
 def flatten(profiles: DataFrame, depth: int = PROFILE_DEPTH) -> DataFrame:
     """One row per operator of every run.
 
-    ``path`` holds the child positions from the root; the root is the first child of the
-    profile. The tree is walked level by level inside the row, so no shuffle is needed:
+    ``path`` holds the child positions, first that of the root among the profile's children. The tree is walked level by level inside the row, so no shuffle is needed:
     ``done`` collects operators and ``todo`` holds the subtrees still to visit. Operators
     below ``depth`` levels raise an error rather than getting lost.
     """
-    root = F.transform(F.slice("children", 1, 1), lambda child, i: F.struct(
+    root = F.transform(F.coalesce("children", F.array()), lambda child, i: F.struct(
         F.array(i).alias("path"), child.alias("node")))
     walk = profiles.select(
         "benchmark_name", query_name(F.col("benchmark_name")).alias("query"),
@@ -146,18 +145,30 @@ def largest_per_thread(types: DataFrame, metric: str = "timing") -> DataFrame:
 
 
 def pivot_series(df: DataFrame, x: str | Sequence[str], series: str, values: Sequence,
-                 value: str, missing: float | None = None) -> DataFrame:
+                 value: str) -> DataFrame:
     """One row per ``x`` and one column per listed value of ``series``.
 
-    The values are listed, so that no extra pass looks for them. ``missing`` replaces what
-    a series lacks.
+    The values are listed, so that no extra pass looks for them; a row of another value is
+    an error, as are two rows for one cell. What a series lacks stays null.
     """
     keys = [x] if isinstance(x, str) else list(x)
-    wide = df.groupBy(*keys).pivot(series, list(values)).agg(F.first(value))
-    return wide if missing is None else wide.na.fill(missing)
+    cells = df.groupBy(*keys, series).agg(F.max(value).alias(value), F.count("*").alias("_rows"))
+    wrong = (F.when(F.col("_rows") > 1, F.raise_error(F.lit("two rows for one cell")))
+             .when(~F.coalesce(F.col(series).isin(*values), F.lit(False)), F.raise_error(F.concat(
+                 F.lit(f"{series} is not listed: "),
+                 F.coalesce(F.col(series).cast("string"), F.lit("null"))))))
+    checked = cells.withColumn(value, F.coalesce(wrong.cast(df.schema[value].dataType), value))
+    return checked.groupBy(*keys).pivot(series, list(values)).agg(F.max(value))
 
 
 def timing_series(types: DataFrame, series: str, values: Sequence) -> DataFrame:
-    """Time per thread of each operator type, a column per scale factor or thread count."""
+    """Time per thread of each operator type, a column per scale factor or thread count.
+
+    An operator that a run does without took no time; a run that does not exist is null.
+    """
     per_thread = types.withColumn("value", F.col("timing") / F.col("threads"))
-    return pivot_series(per_thread, ["query", "operator_type"], series, values, "value", 0.0)
+    wide = pivot_series(per_thread, ["query", "operator_type"], series, values, "value")
+    there = [F.bool_or(F.col(series) == v).alias(f"_{v}") for v in values]
+    known = types.groupBy("query").agg(*there)
+    filled = [F.when(F.col(f"_{v}"), F.coalesce(f"`{v}`", F.lit(0.0))).alias(str(v)) for v in values]
+    return wide.join(known, "query").select("query", "operator_type", *filled)

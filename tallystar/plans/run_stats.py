@@ -53,10 +53,11 @@ def by_query_type(stats: DataFrame) -> DataFrame:
 
 
 def with_query_number(stats: DataFrame) -> DataFrame:
-    """The TPC-H number instead of the position; a position without one is dropped."""
+    """The TPC-H number instead of the position; a position without one is an error."""
     numbers = F.create_map(*(F.lit(v) for pair in QUERY_NUMBERS.items() for v in pair))
-    return stats.withColumn("query", F.try_element_at(numbers, "query_index")).where(
-        "query is not null")
+    unknown = F.raise_error(F.concat(F.lit("no query at position "), F.coalesce(
+        F.col("query_index").cast("string"), F.lit("null")))).cast("int")
+    return stats.withColumn("query", F.coalesce(F.try_element_at(numbers, "query_index"), unknown))
 
 
 def by_configuration(stats: DataFrame) -> DataFrame:

@@ -8,42 +8,31 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.sources.schemas import profile_schema
+from tallystar.sources.json_objects import read_objects
+from tallystar.sources.schemas import PROFILE_DEPTH, profile_schema
 
 
-def parse_profiles(lines: DataFrame, column: str = "value") -> DataFrame:
-    """One profile per row from JSON text; the other columns are kept."""
+def parse_profiles(lines: DataFrame, column: str = "value", depth: int = PROFILE_DEPTH) -> DataFrame:
+    """One profile per row from JSON text; the other columns are kept.
+
+    ``depth`` is the number of levels that operator trees may have.
+    """
     kept = [c for c in lines.columns if c != column]
-    parsed = F.from_json(column, profile_schema(), {"mode": "FAILFAST"}).alias("_p")
+    parsed = F.from_json(column, profile_schema(depth), {"mode": "FAILFAST"}).alias("_p")
     return lines.select(*kept, parsed).select(*kept, "_p.*")
 
 
-def read_profiles(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
-    """Files that each hold one JSON array of profiles, or one profile per line.
-
-    An array is read whole by one task, so large logs should be written as lines.
-    """
-    return (spark.read.schema(profile_schema()).option("multiLine", not lines)
-            .option("mode", "FAILFAST").json(path))
-
+def read_profiles(spark: SparkSession, path: str, lines: bool = False,
+                  depth: int = PROFILE_DEPTH) -> DataFrame:
+    """Files that each hold one JSON array of profiles, or one profile per line."""
+    if lines:
+        return (spark.read.schema(profile_schema(depth)).option("mode", "FAILFAST").json(path))
+    return parse_profiles(read_objects(spark, path), depth=depth)
 
-def read_back_to_back(spark: SparkSession, path: str, between: str = "}\n{") -> DataFrame:
-    """Profiles from objects that follow each other without commas.
 
-    ``between`` is the text where one object ends and the next begins. The file is cut
-    there by the text source, so that a large file is read by many tasks; the braces that
-    the cut takes away are put back.
-    """
-    cut = (spark.read.option("lineSep", between).text(path)
-           .select(F.trim(F.regexp_replace("value", r"^\s+|\s+$", "")).alias("value"))
-           .where("value <> ''"))
-    # The text of an object begins with a quoted name, so only an uncut one begins with a
-    # brace. Its end is known only from whether it parses.
-    opened = F.when(F.startswith("value", F.lit("{")), F.col("value")).otherwise(
-        F.concat(F.lit("{"), "value"))
-    whole = cut.select(opened.alias("value"))
-    closed = F.when(F.try_parse_json("value").isNull(), F.concat("value", F.lit("}")))
-    return parse_profiles(whole.select(F.coalesce(closed, "value").alias("value")))
+def read_back_to_back(spark: SparkSession, path: str, depth: int = PROFILE_DEPTH) -> DataFrame:
+    """Profiles from objects that follow each other, with any white space or none between."""
+    return parse_profiles(read_objects(spark, path), depth=depth)
 
 
 def split_by_benchmark(profiles: DataFrame, path: str, names: Sequence[str] | None = None) -> None:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.naming import file_extension, file_stem, has_projection
+from tallystar.sources.json_objects import read_objects
 from tallystar.sources.schemas import MEASUREMENT_FIELDS, SOURCE_RECORD
 
 
@@ -47,8 +48,7 @@ def parse_source_records(lines: DataFrame, column: str = "value") -> DataFrame:
 
 def read_source_records(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array of source-benchmark records."""
-    return (spark.read.schema(SOURCE_RECORD).option("multiLine", True)
-            .option("mode", "FAILFAST").json(path))
+    return parse_source_records(read_objects(spark, path))
 
 
 def read_numbers(spark: SparkSession, path: str) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tallystar.functions.seconds import mean_seconds
 from tallystar.plans import profiles as pf
 from tallystar.plans import run_stats
 from tallystar.plans.grid import run_grid
@@ -125,7 +126,15 @@ def test_series_fill_a_missing_operator(positions):
     wide = pf.timing_series(pf.by_type(positions), "scale_factor", [10, 100])
     got = {(r["query"], r.operator_type): (r["10"], r["100"]) for r in
            wide.where("operator_type = 'FILTER'").collect()}
-    assert got == {("2.2", "FILTER"): (0.002 / 4, 0.0)}
+    assert got == {("2.2", "FILTER"): (0.002 / 4, None)}      # 2.2 has no run at scale 100
+
+
+def test_series_fill_an_operator_that_a_run_does_without(spark):
+    both = [run("SSBQ2v2S10T4", 4, 0.5, with_filter=True), run("SSBQ2v2S100T4", 4, 0.5)]
+    lines = spark.createDataFrame([(json.dumps(r),) for r in both], "value string")
+    wide = pf.timing_series(pf.by_type(pf.by_position(pf.flatten(files.parse_profiles(lines)))),
+                            "scale_factor", [10, 100])
+    assert rows(wide.where("operator_type = 'FILTER'"), "10", "100") == [(0.002 / 4, 0.0)]
 
 
 def test_too_deep_a_tree_is_an_error(spark):
@@ -143,6 +152,7 @@ def test_too_deep_a_tree_is_an_error(spark):
     lines = spark.createDataFrame([(json.dumps(deep),)], "value string")
     with pytest.raises(Exception, match="deeper than"):
         pf.flatten(files.parse_profiles(lines)).collect()
+    assert pf.flatten(files.parse_profiles(lines, depth=21), depth=21).count() == 21
 
 
 @pytest.mark.parametrize("indent", [None, 2])
@@ -153,12 +163,63 @@ def test_back_to_back_objects(spark, profiles, tmp_path, indent):
     assert rows(pf.flatten(got)) == rows(pf.flatten(profiles))
 
 
-def test_back_to_back_with_another_gap(spark, profiles, tmp_path):
-    (tmp_path / "log.json").write_text("} {".join(json.dumps(r)[1:-1] for r in RUNS).join("{}"))
-    got = files.read_back_to_back(spark, str(tmp_path), "} {")
+@pytest.mark.parametrize("gap", [" ", "", "\r\n", "\n\n", "\t"])
+def test_back_to_back_with_any_gap(spark, profiles, tmp_path, gap):
+    (tmp_path / "log.json").write_text(gap.join(json.dumps(r) for r in RUNS))
+    got = files.read_back_to_back(spark, str(tmp_path))
     assert rows(pf.runs(got)) == rows(pf.runs(profiles))
 
 
+def test_braces_and_quotes_in_texts_do_not_cut(spark, tmp_path):
+    odd = [dict(RUNS[0], benchmark_name=name) for name in ("a } {", 'q " } \\ {"', "{{{", "}")]
+    (tmp_path / "log.json").write_text("\n".join(json.dumps(r, indent=1) for r in odd))
+    got = files.read_back_to_back(spark, str(tmp_path))
+    assert sorted(r.benchmark_name for r in got.collect()) == sorted(r["benchmark_name"] for r in odd)
+
+
+def test_a_file_of_many_blocks(spark, tmp_path):
+    names = [f"run {i} }} {{" for i in range(3000)]
+    (tmp_path / "log.json").write_text(" ".join(json.dumps({"benchmark_name": n}) for n in names))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        read = files.read_back_to_back(spark, str(tmp_path))
+        assert read.select("benchmark_name").distinct().count() == 3000 and read.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("text", ['{"benchmark_name": "a"} x', 'x {"benchmark_name": "a"}',
+                                  '{"benchmark_name": "a"} x {"benchmark_name": "b"}',
+                                  '{"benchmark_name": "a"'])
+def test_leftover_text_is_an_error(spark, tmp_path, text):
+    (tmp_path / "log.json").write_text(text)
+    with pytest.raises(Exception, match="text|MALFORMED"):
+        files.read_back_to_back(spark, str(tmp_path)).collect()
+
+
+def test_every_root_is_kept(spark):
+    two = dict(RUNS[0], children=[node("A", 1.0, 1, 1), node("B", 2.0, 1, 1)])
+    lines = spark.createDataFrame([(json.dumps(two),)], "value string")
+    got = pf.flatten(files.parse_profiles(lines))
+    assert rows(got, "path", "operator_type") == [([0], "A"), ([1], "B")]
+
+
+def test_means_of_large_sums(spark):
+    many = spark.range(100_000).select(F.lit(150_000.0).alias("seconds"))
+    assert many.agg(mean_seconds("seconds")).first()[0] == 150_000.0
+
+
+def test_series_cells_must_be_unique_and_listed(spark):
+    cells = spark.createDataFrame([("a", 1, 2.0), ("a", 4, 3.0), ("b", 4, 5.0)],
+                                  "x string, threads int, v double")
+    got = pf.pivot_series(cells, "x", "threads", [1, 4], "v")
+    assert rows(got) == [("a", 2.0, 3.0), ("b", None, 5.0)]
+    with pytest.raises(Exception, match="not listed"):
+        pf.pivot_series(cells, "x", "threads", [4], "v").collect()
+    with pytest.raises(Exception, match="two rows"):
+        pf.pivot_series(cells.unionAll(cells), "x", "threads", [1, 4], "v").collect()
+
+
 def test_split_by_benchmark(spark, profiles, tmp_path):
     target = str(tmp_path / "split")
     files.split_by_benchmark(profiles, target, ["SSBQ1v1S100T1", "SSBQ2v2S10T4"])
@@ -170,23 +231,24 @@ def test_split_by_benchmark(spark, profiles, tmp_path):
         pf.flatten(kept).drop("benchmark_name", "query"))
 
 
-SOURCE = [{"name": "ssb-parquet-projection", "filepath": "file:///d/ssb_sf1.parquet",
+SOURCE = [{"name": "orders-parquet-projection", "filepath": "file:///d/orders_small.parquet",
            "measurements": [{"Optimization": 1, "Execution": ms, "Post-processing": 3,
                              "par-ex-000": 4, "Estimate 1 (lower)": 9,
-                             "Measured cost-upper": 1.5} for ms in (6087, 6855, 6264)]},
-          {"name": "reviews-csv", "filepath": "file:///d/reviews-650000.csv",
+                             "Measured cost-upper": 1.5} for ms in (2000, 5000, 2600)]},
+          {"name": "letters-csv", "filepath": "file:///d/letters.csv",
            "measurements": [{"Execution": 1000}]}]
 
 
 def test_source_records(spark, tmp_path):
     (tmp_path / "results.json").write_text(json.dumps(SOURCE))
     got = measurements(read_source_records(spark, str(tmp_path)))
-    first = got.where("workload = 'ssb'").first()
-    assert (first.name, first.projection, first.file_type) == ("ssb_sf1-parquet-projection", True, "parquet")
+    first = got.where("workload = 'orders'").first()
+    assert (first.name, first.projection, first.file_type) == (
+        "orders_small-parquet-projection", True, "parquet")
     assert (first.Post_processing, first.par_ex_000, first.Estimate_1_lower, first.Measured_cost_upper) == (3, 4, 9, 1.5)
     means = [tuple(r) for r in run_stats.by_dataset(got).collect()]
-    assert means == [("ssb_sf1-parquet-projection", 3, pytest.approx(6.402), 6.264),
-                     ("reviews-650000-csv", 1, 1.0, 1.0)]
+    assert means == [("letters-csv", 1, 1.0, 1.0),
+                     ("orders_small-parquet-projection", 3, pytest.approx(3.2), 2.6)]
     lines = spark.createDataFrame([(json.dumps(r),) for r in SOURCE], "value string")
     assert rows(measurements(parse_source_records(lines))) == rows(got)
 
@@ -194,7 +256,10 @@ def test_source_records(spark, tmp_path):
 def test_tpch_statistics(spark):
     stats = spark.createDataFrame(
         [("a", 0, "TPCH_SF1", "Small", 1.0, 1000), ("b", 0, "TPCH_SF1", "Small", 3.0, 3000),
-         ("c", 2, "TPCH_SF1", "Large", 0.5, 500), ("d", 7, "TPCH_SF1", "Large", 9.0, 9000)], TPCH_RUNS)
+         ("c", 2, "TPCH_SF1", "Large", 0.5, 500)], TPCH_RUNS)
+    other = spark.createDataFrame([("d", 7, "TPCH_SF1", "Large", 9.0, 9000)], TPCH_RUNS)
+    with pytest.raises(Exception, match="no query at position 7"):
+        run_stats.by_configuration(stats.unionAll(other)).collect()
     means = run_stats.by_configuration(stats)
     assert rows(means, "query", "warehouse_size", "elapsed_seconds", "elapsed_ms") == [
         (1, "Small", 2.0, 2000.0), (18, "Large", 0.5, 500.0)]

@@ -68,12 +68,12 @@ def test_sql_names(spark):
 
 
 def test_names(spark):
-    df = spark.createDataFrame([("SSBQ1v1S100T1", "file:///d/ssb_sf1.parquet", "ssb-parquet-projection"),
-                                ("SSBQ4v3S1T4", "/a.b/noext", "reviews-csv")],
+    df = spark.createDataFrame([("SSBQ1v1S100T1", "file:///d/orders_small.parquet", "orders-parquet-projection"),
+                                ("SSBQ4v3S1T4", "/a.b/noext", "letters-csv")],
                                "b string, f string, n string")
     got = [tuple(r) for r in df.select(
         naming.query_name(F.col("b")), naming.file_stem(F.col("f")),
         naming.file_extension(F.col("f")), naming.has_projection(F.col("n"))).collect()]
-    assert got == [("1.1", "ssb_sf1", "parquet", True), ("4.3", "noext", "", False)]
+    assert got == [("1.1", "orders_small", "parquet", True), ("4.3", "noext", "", False)]
     value = df.select(naming.log_normalised(F.lit(0.0)).alias("v")).first().v
     assert value == pytest.approx(-23.025850929940457)
