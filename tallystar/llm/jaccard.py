@@ -235,7 +235,8 @@ def _tile_bounds(rows: pa.Table) -> np.ndarray:
 
 def _paired(rows: pa.Table, bounds: np.ndarray, percent: int, most: int = 4_000_000
             ) -> Iterator[pa.RecordBatch]:
-    sketch = np.stack([rows[f"s{i}"].to_numpy() for i in range(SKETCH_WORDS)], 1)
+    # Unsigned, as numpy counts the bits of a negative number in its absolute value.
+    sketch = np.stack([rows[f"s{i}"].to_numpy() for i in range(SKETCH_WORDS)], 1).view(np.uint64)
     node, label, n, side = (rows[c].to_numpy() for c in ("node", "label", "n", "side"))
     starts, ends = bounds[:-1], bounds[1:]
     rights = np.add.reduceat(side, starts)

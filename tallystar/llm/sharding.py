@@ -118,7 +118,7 @@ def uniform_shards(docs: DataFrame, shards: int, *, seed: int = 0) -> DataFrame:
                     [pa.array((at // ranges).astype(np.int32)), pa.array(at % ranges),
                      pa.array(count)], ["shard", "_range", "rows"])
 
-    schema = T.StructType(docs.schema.fields).add("shard", T.IntegerType()).add("_key", T.LongType()).add(
+    schema = T.StructType(list(docs.schema.fields)).add("shard", T.IntegerType()).add("_key", T.LongType()).add(
         "_range", T.LongType())
     sizes = in_batches(docs.sparkSession.range(len(ends)), counted,
                        "shard int, _range long, rows long")

@@ -32,6 +32,8 @@ from tallystar.llm.common import SharedFile, chunks, filesystem, in_batches, wri
 from tallystar.llm.pieces import PieceTable
 
 MAGIC = b"TOKENS01"
+# Frames without magic, dictionary id and size: the file's head and index have all three.
+_FORMAT = zstandard.FORMAT_ZSTD1_MAGICLESS
 _HEAD = struct.Struct("<8s32sB")
 _TAIL = struct.Struct("<QQ")
 _ENTRY = np.dtype([("id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("length", "<u8"),
@@ -99,7 +101,10 @@ class TokenFile:
         self.file = SharedFile(folder, ".tokens")
         self.file.write(_HEAD.pack(MAGIC, hashlib.sha256(dictionary).digest(), width))
         self._entries: list[tuple] = []
-        self._pack = zstandard.ZstdCompressor(level=3, dict_data=_dictionary(dictionary))
+        self._pack = zstandard.ZstdCompressor(
+            dict_data=_dictionary(dictionary),
+            compression_params=zstandard.ZstdCompressionParameters.from_level(
+                3, format=_FORMAT, write_dict_id=False, write_content_size=False))
         self._width, self.ids = width, 0
 
     def add(self, name: int | None, ids: np.ndarray) -> None:
@@ -175,7 +180,7 @@ def _unpacker(fs, root: str, name: bytes) -> zstandard.ZstdDecompressor:
         dictionary = source.read()
     if hashlib.sha256(dictionary).digest() != name:
         raise ValueError("the dictionary beside the file is not the one it was written with")
-    return zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary))
+    return zstandard.ZstdDecompressor(dict_data=_dictionary(dictionary), format=_FORMAT)
 
 
 def read_document(folder: str, file: str, place: int) -> np.ndarray:
@@ -185,7 +190,8 @@ def read_document(folder: str, file: str, place: int) -> np.ndarray:
         entries, name, width = open_index(source)
         entry = entries[place]
         frame = source.read_at(int(entry["length"]), int(entry["offset"]))
-    return np.frombuffer(_unpacker(fs, root, name).decompress(frame), f"<u{width}").astype("<u4")
+        data = _unpacker(fs, root, name).decompress(frame, int(entry["ids"]) * width)
+    return np.frombuffer(data, f"<u{width}").astype("<u4")
 
 
 def read(files: DataFrame, folder: str) -> DataFrame:
@@ -198,17 +204,19 @@ def read(files: DataFrame, folder: str) -> DataFrame:
                 with fs.open_input_file(f"{root}/{file}") as source:
                     entries, name, width = open_index(source)
                     unpacker = _unpacker(fs, root, name)
-                    starts = first + np.cumsum(entries["ids"].astype(np.int64)) - entries["ids"].astype(np.int64)
+                    counts = entries["ids"].astype(np.int64)
+                    starts = first + np.cumsum(counts) - counts
                     ends = (entries["offset"] + entries["length"]).astype(np.int64)
                     a = 0
                     while a < len(entries):
                         begin = int(entries["offset"][a])
                         b = max(a + 1, int(np.searchsorted(ends, begin + READ_BYTES, "right")))
                         data = source.read_at(int(ends[b - 1]) - begin, begin)
-                        ids = [np.frombuffer(unpacker.decompress(data[o - begin:o - begin + n]),
+                        ids = [np.frombuffer(unpacker.decompress(data[o - begin:o - begin + n],
+                                                                 k * width),
                                              f"<u{width}").astype("<u4").tobytes()
-                               for o, n in zip(entries["offset"][a:b].tolist(),
-                                               entries["length"][a:b].tolist())]
+                               for o, n, k in zip(*(entries[c][a:b].tolist()
+                                                    for c in ("offset", "length", "ids")))]
                         names = [x if k else None for x, k in zip(
                             entries["id"][a:b].tolist(), entries["known"][a:b].tolist())]
                         yield pa.RecordBatch.from_arrays(
