@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 
 from checks.common import Query, load
 from tallystar.plans import profiles, run_stats
-from tallystar.sources.profiles import parse_profiles, read_back_to_back, split_by_benchmark
+from tallystar.sources.profiles import (parse_profiles, read_back_to_back, read_profiles,
+                                        split_by_benchmark)
 from tallystar.sources.records import (measurements, parse_source_records, read_numbers,
-                                       read_stats, write_stats)
+                                       read_source_records, read_stats, write_stats)
 from tallystar.sources.schemas import TPCH_RUNS, profile_schema
 from tallystar.sources.shared import fresh_path
 
@@ -71,9 +72,9 @@ def types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.by_type(positions(spark, sf_dir))
 
 
-def rounded(df: DataFrame, *columns: str) -> DataFrame:
-    """Logarithms to the digits in which all engines agree."""
-    return df.select(*(F.round(c, 6).alias(c) if c in columns else F.col(c) for c in df.columns))
+def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
+    """Logarithms and means to the digits in which all engines agree."""
+    return df.select(*(F.round(c, digits).alias(c) if c in columns else F.col(c) for c in df.columns))
 
 
 def with_text_path(df: DataFrame) -> DataFrame:
@@ -105,6 +106,22 @@ def back_to_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.by_run_group(profiles.runs(read_back_to_back(spark, path)))
 
 
+def written_arrays(lines: DataFrame, name: str) -> str:
+    """The objects as JSON arrays of about a hundred, one array per file and several files."""
+    path = fresh_path(lines.sparkSession, name)
+    some = F.pmod(F.xxhash64("value"), F.greatest(F.lit(1), F.ceil(lines.agg(F.count("*")).scalar() / 100)))
+    arrays = lines.groupBy(some.alias("part")).agg(F.concat(
+        F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
+    arrays.select("value").write.text(path)
+    return path
+
+
+def profile_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles written as JSON arrays, read and grouped by run."""
+    path = written_arrays(profile_lines(spark, sf_dir), "arrays")
+    return profiles.by_run_group(profiles.runs(read_profiles(spark, path)))
+
+
 def split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs per benchmark after writing a folder for each name."""
     path = fresh_path(spark, "split")
@@ -162,16 +179,25 @@ SOURCE = ('{"name": "%s", "filepath": "file:///data/ssb/%s", "measurements": '
           '{"Optimization": 2, "Execution": %s}]}')
 
 
-def source_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each line as a source benchmark with two measurements, then per data set."""
+def source_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each line as a source benchmark with two measurements."""
     name = ("element_at(array('ssb-parquet', 'ssb-parquet-projection', 'ssb-csv'), "
             "int(l_orderkey % 3) + 1)")
     file = ("concat('ssb_sf', l_linenumber, "
             "if(l_orderkey % 3 = 2, '.csv', '.parquet'))")
-    lines = load(spark, sf_dir, "lineitem").select(F.format_string(
+    return load(spark, sf_dir, "lineitem").select(F.format_string(
         SOURCE, *(F.expr(e).cast("string") for e in (
             name, file, "bigint(floor(l_extendedprice))", "bigint(l_quantity)"))).alias("value"))
-    return run_stats.by_dataset(measurements(parse_source_records(lines)))
+
+
+def source_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_stats.by_dataset(measurements(parse_source_records(source_lines(spark, sf_dir))))
+
+
+def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from files that hold JSON arrays of records."""
+    path = written_arrays(source_lines(spark, sf_dir), "records")
+    return run_stats.by_dataset(measurements(read_source_records(spark, path)))
 
 
 def number_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,34 +209,36 @@ def number_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "profile_runs": run_rows,
-    "profile_by_run": lambda s, d: profiles.by_run_group(run_rows(s, d)),
+    "profile_by_run": lambda s, d: rounded(profiles.by_run_group(run_rows(s, d)), "avg_elapsed"),
     "profile_operators": lambda s, d: with_text_path(operators(s, d)),
-    "profile_by_position": named_positions,
-    "profile_by_type": types,
-    "profile_largest": lambda s, d: profiles.largest_per_thread(types(s, d)),
-    "profile_thread_series": thread_series,
-    "profile_scale_series": scale_series,
+    "profile_by_position": lambda s, d: rounded(named_positions(s, d), "timing", digits=12),
+    "profile_by_type": lambda s, d: rounded(types(s, d), "timing", digits=12),
+    "profile_largest": lambda s, d: rounded(
+        profiles.largest_per_thread(types(s, d)), "largest", digits=12),
+    "profile_thread_series": lambda s, d: rounded(
+        thread_series(s, d), *map(str, THREADS), digits=12),
+    "profile_scale_series": lambda s, d: rounded(scale_series(s, d), *map(str, SCALES), digits=12),
     "profile_distinct_queries": lambda s, d: profiles.distinct_values(run_rows(s, d), "query"),
-    "io_profiles_back_to_back": back_to_back,
+    "profile_distinct_threads": lambda s, d: profiles.distinct_values(run_rows(s, d), "threads"),
+    "profile_distinct_scales": lambda s, d: profiles.distinct_values(run_rows(s, d), "scale_factor"),
+    "io_profiles_array": lambda s, d: rounded(profile_arrays(s, d), "avg_elapsed"),
+    "io_source_records": source_files,
+    "io_profiles_back_to_back": lambda s, d: rounded(back_to_back(s, d), "avg_elapsed"),
     "io_profiles_split": split_files,
-    "runs_tpch_configurations": lambda s, d: rounded(configurations(s, d), "log_ms"),
+    "runs_tpch_configurations": lambda s, d: rounded(
+        rounded(configurations(s, d), "log_ms"), "elapsed_seconds", digits=7),
     "runs_tpch_log_series": lambda s, d: rounded(
         run_stats.log_series(configurations(s, d)), *run_stats.WAREHOUSES),
     "runs_tpch_largest_log": lambda s, d: rounded(
         run_stats.largest_log(configurations(s, d)), "largest"),
     "runs_by_repetition": lambda s, d: run_stats.by_repetition(statements(s, d)),
-    "runs_by_query_type": lambda s, d: run_stats.by_query_type(
-        run_stats.by_repetition(statements(s, d))),
+    "runs_by_query_type": lambda s, d: rounded(run_stats.by_query_type(
+        run_stats.by_repetition(statements(s, d))), "elapsed_seconds", digits=7),
     "runs_finished": finished,
     "source_by_dataset": source_means,
     "io_numbers_mean": number_mean,
 }
 
-def mean(seconds: str) -> str:
-    """Mean of seconds summed in whole nanoseconds."""
-    return f"sum(CAST(floor(({seconds}) * 1e9 + 0.5) AS BIGINT)) / (count(*) * 1e9)"
-
-
 PER_ORDER = f"""
 WITH per_order AS (
   SELECT o.*, n, q, CAST({SCALE} AS INTEGER) AS scale_factor, CAST({THREAD} AS INTEGER) AS threads,
@@ -232,7 +260,7 @@ operators AS (
 positions AS (
   SELECT benchmark_name, query, scale_factor, threads, path, min(operator_type) AS operator_type,
          min("table") AS "table", count(DISTINCT operator_type) = 1 AS consistent,
-         count(*) AS runs, {mean('timing')} AS timing, avg(rows_scanned) AS rows_scanned,
+         count(*) AS runs, avg(timing) AS timing, avg(rows_scanned) AS rows_scanned,
          avg(cardinality) AS cardinality, bool_and(has_filter) AS has_filter,
          bool_and(has_projection) AS has_projection
   FROM operators GROUP BY ALL),
@@ -249,17 +277,21 @@ run_rows AS (
 BY_RUN = f"""{PER_ORDER}
 SELECT benchmark_name, query, scale_factor, threads, count(*) AS runs,
        min(elapsed) AS min_elapsed, max(elapsed) AS max_elapsed,
-       {mean('elapsed')} AS avg_elapsed, avg(cumulative_rows_scanned) AS avg_rows_scanned,
+       round(avg(elapsed), 6) AS avg_elapsed, avg(cumulative_rows_scanned) AS avg_rows_scanned,
        avg(cumulative_cardinality) AS avg_cardinality
 FROM run_rows GROUP BY ALL"""
 
 
 def _series(series: str, values: tuple[int, ...], where: str) -> str:
-    columns = ", ".join(
-        f"CASE WHEN query IN (SELECT query FROM types WHERE {where} AND {series} = {v}) THEN "
-        f"coalesce(max(CASE WHEN {series} = {v} THEN timing / threads END), 0) END AS \"{v}\""
-        for v in values)
-    return f"{PER_ORDER} SELECT query, operator_type, {columns} FROM types WHERE {where} GROUP BY ALL"
+    """An operator that a run does without took no time; a run that is not there is null."""
+    cells = ", ".join(f"max(CASE WHEN {series} = {v} THEN timing / threads END) AS v{v}" for v in values)
+    there = ", ".join(f"bool_or({series} = {v}) AS r{v}" for v in values)
+    columns = ", ".join(f"round(CASE WHEN r{v} THEN coalesce(v{v}, 0) END, 12) AS \"{v}\"" for v in values)
+    return f"""{PER_ORDER},
+        chosen AS (SELECT * FROM types WHERE {where}),
+        cells AS (SELECT query, operator_type, {cells} FROM chosen GROUP BY query, operator_type),
+        there AS (SELECT query, {there} FROM chosen GROUP BY query)
+        SELECT query, operator_type, {columns} FROM cells JOIN there USING (query)"""
 
 
 CONFIGURATIONS = f"""
@@ -270,7 +302,7 @@ WITH tpch_runs AS (
          CAST(floor(o_totalprice) AS BIGINT) AS elapsed_ms
   FROM orders),
 configurations AS (
-  SELECT query, schema, warehouse_size, {mean('elapsed_ms / 1000')} AS elapsed_seconds,
+  SELECT query, schema, warehouse_size, avg(elapsed_ms / 1000) AS elapsed_seconds,
          avg(elapsed_ms) AS elapsed_ms, ln(avg(elapsed_ms)) AS log_ms
   FROM tpch_runs GROUP BY ALL)
 """
@@ -282,28 +314,40 @@ WITH by_repetition AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL)
 """
 
+BY_DATASET = """
+        SELECT name, count(*) AS runs, avg(ms) / 1000 AS mean_seconds,
+               median(ms) / 1000 AS median_seconds
+        FROM (SELECT concat('ssb_sf', l_linenumber, CASE l_orderkey % 3 WHEN 0 THEN '-parquet'
+                            WHEN 1 THEN '-parquet-projection' ELSE '-csv' END) AS name,
+                     unnest([CAST(floor(l_extendedprice) AS BIGINT),
+                             CAST(l_quantity AS BIGINT)]) AS ms
+              FROM lineitem) GROUP BY name"""
+
 ORACLES: dict[str, str] = {
     "profile_runs": f"{PER_ORDER} SELECT * FROM run_rows",
     "profile_by_run": BY_RUN,
     "profile_operators": f"{PER_ORDER} SELECT * FROM operators",
     "profile_by_position": f"""{PER_ORDER}
         SELECT benchmark_name, query, scale_factor, threads, path, consistent, runs,
-               timing, rows_scanned, cardinality, has_filter, has_projection,
+               round(timing, 12) AS timing, rows_scanned, cardinality, has_filter, has_projection,
                operator_type || coalesce(' (' || "table" || ')', '') AS name
         FROM positions""",
-    "profile_by_type": f"{PER_ORDER} SELECT * FROM types",
+    "profile_by_type": f"{PER_ORDER} SELECT * REPLACE (round(timing, 12) AS timing) FROM types",
     "profile_largest": f"""{PER_ORDER}
         SELECT benchmark_name, query, scale_factor, threads,
-               max(timing / threads) AS largest
+               round(max(timing / threads), 12) AS largest
         FROM types GROUP BY benchmark_name, query, scale_factor, threads""",
     "profile_thread_series": _series("threads", THREADS, "scale_factor = 100"),
     "profile_scale_series": _series("scale_factor", SCALES, "threads = 4"),
     "profile_distinct_queries": f"{PER_ORDER} SELECT DISTINCT query FROM per_order",
+    "profile_distinct_threads": f"{PER_ORDER} SELECT DISTINCT threads FROM per_order",
+    "profile_distinct_scales": f"{PER_ORDER} SELECT DISTINCT scale_factor FROM per_order",
+    "io_profiles_array": BY_RUN,
     "io_profiles_back_to_back": BY_RUN,
     "io_profiles_split": f"""{PER_ORDER}
         SELECT benchmark_name, count(*) AS runs FROM per_order GROUP BY benchmark_name""",
     "runs_tpch_configurations": f"""{CONFIGURATIONS}
-        SELECT query, schema, warehouse_size, elapsed_seconds, elapsed_ms,
+        SELECT query, schema, warehouse_size, round(elapsed_seconds, 7) AS elapsed_seconds, elapsed_ms,
                round(log_ms, 6) AS log_ms
         FROM configurations""",
     "runs_tpch_log_series": f"""{CONFIGURATIONS}
@@ -319,7 +363,7 @@ ORACLES: dict[str, str] = {
         SELECT repetition, query_type, elapsed_ms / 1000 AS elapsed_seconds, elapsed_ms
         FROM by_repetition""",
     "runs_by_query_type": f"""{STATEMENTS}
-        SELECT query_type, {mean('elapsed_ms / 1000')} AS elapsed_seconds
+        SELECT query_type, round(avg(elapsed_ms / 1000), 7) AS elapsed_seconds
         FROM by_repetition GROUP BY query_type""",
     "runs_finished": """
         SELECT o_orderkey AS query_id, 'S' AS schema_name, o_orderpriority AS warehouse_size,
@@ -328,13 +372,7 @@ ORACLES: dict[str, str] = {
                CAST(o_orderdate AS DATE) AS start_time
         FROM orders WHERE o_custkey % 2 = 0 AND o_orderstatus = 'F'
           AND o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 45)""",
-    "source_by_dataset": """
-        SELECT name, count(*) AS runs, avg(ms) / 1000 AS mean_seconds,
-               median(ms) / 1000 AS median_seconds
-        FROM (SELECT concat('ssb_sf', l_linenumber, CASE l_orderkey % 3 WHEN 0 THEN '-parquet'
-                            WHEN 1 THEN '-parquet-projection' ELSE '-csv' END) AS name,
-                     unnest([CAST(floor(l_extendedprice) AS BIGINT),
-                             CAST(l_quantity AS BIGINT)]) AS ms
-              FROM lineitem) GROUP BY name""",
+    "source_by_dataset": BY_DATASET,
+    "io_source_records": BY_DATASET,
     "io_numbers_mean": "SELECT avg(l_quantity) AS mean FROM lineitem",
 }

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 PROBABILITY_FLOOR = 1e-322
 
 # Log terms are summed as whole multiples of 1 / LOG_UNIT, so that a rank does not
-# depend on the order in which Spark adds the words of a document.
-LOG_UNIT = 1e9
+# depend on the order in which Spark adds the words of a document. Multiples of LOG_PART and
+# the rest are summed apart, so that neither sum leaves the range of BIGINT.
+LOG_UNIT = 1e12
+LOG_PART = 1e6
 
 
 def calc_prop(word_count: Column, label_words: Column, vocabulary: Column) -> Column:
@@ -24,7 +26,15 @@ def log_units(times: Column, probability: Column) -> Column:
     return F.floor(times * F.log(F.nullif(probability, F.lit(0.0))) * F.lit(LOG_UNIT) + F.lit(0.5))
 
 
-def rank_score(prior: Column, least: Column, units: Column) -> Column:
+def log_sum(times: Column, probability: Column) -> Column:
+    """The sum of ``times * ln(probability)`` over a group, factors of 0 left out."""
+    units = log_units(times, probability)
+    parts = F.floor(units / F.lit(LOG_PART))
+    rest = units - parts * F.lit(int(LOG_PART))
+    return F.coalesce(F.sum(parts) * F.lit(LOG_PART / LOG_UNIT) + F.sum(rest) / F.lit(LOG_UNIT),
+                      F.lit(0.0))
+
+
+def rank_score(prior: Column, least: Column, logs: Column) -> Column:
     """``ln(prior) + sum of logs``, or minus infinity when a factor is 0."""
-    return (F.when(least == 0, F.lit(float("-inf")))
-             .otherwise(F.log(prior) + units / F.lit(LOG_UNIT)))
+    return F.when(least == 0, F.lit(float("-inf"))).otherwise(F.log(prior) + logs)

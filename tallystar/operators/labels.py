@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 # Up to this many labels become literals of the plan; larger label tables are joined.
 FEW_LABELS = 100
+# Up to this many distinct labels, whole numbers all, are sent to every task.
+MOST_LABELS = 1_000_000
 
 
 def inline_labels(spark: SparkSession, labels: Iterable[int]) -> DataFrame:
@@ -18,11 +20,10 @@ def inline_labels(spark: SparkSession, labels: Iterable[int]) -> DataFrame:
 
 
 def few_labels(labels: DataFrame) -> list[int] | None:
-    """The label values if the table is a short list, else None."""
-    rows = labels.select("label").limit(FEW_LABELS + 1).collect()
-    if len(rows) > FEW_LABELS:
-        return None
-    return sorted({r.label for r in rows if r.label is not None})
+    """The distinct label values if they are few, else None."""
+    rows = (labels.select("label").where("label IS NOT NULL").distinct()
+            .limit(FEW_LABELS + 1).collect())
+    return sorted(r.label for r in rows) if len(rows) <= FEW_LABELS else None
 
 
 def with_label_in(docs: DataFrame, labels: Iterable[int]) -> DataFrame:
@@ -33,12 +34,16 @@ def with_label_in(docs: DataFrame, labels: Iterable[int]) -> DataFrame:
 def in_label_set(docs: DataFrame, labels: DataFrame, few: list[int] | None = None) -> DataFrame:
     """Rows whose label occurs in the label table, each kept once.
 
-    A short label table becomes a filter, because a shuffle on the label would gather the
-    texts in a few partitions. A long one is a semi join. ``few`` is ``few_labels(labels)``
-    if that is known already.
+    Few labels become a filter, more of them a semi join to which the distinct labels are
+    sent: a shuffle on the label would gather the texts in a few partitions. Beyond
+    MOST_LABELS, where every label has few texts, they are shuffled. ``few`` is
+    ``few_labels(labels)`` if that is known already.
     """
     if few is None:
         few = few_labels(labels)
     if few is not None:
         return with_label_in(docs, few)
-    return docs.join(labels.select("label"), "label", "left_semi").select(*docs.columns)
+    distinct = labels.select("label").distinct()
+    if distinct.count() <= MOST_LABELS:
+        distinct = F.broadcast(distinct)
+    return docs.join(distinct, "label", "left_semi").select(*docs.columns)

@@ -14,14 +14,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.functions.probability import LOG_UNIT
+from tallystar.functions.probability import LOG_PART, LOG_UNIT
 from tallystar.functions.text import clean
 from tallystar.operators.salting import salted_join
 from tallystar.operators.topk import best_label
 from tallystar.plans.bayes_rank import SALTS, best_prior, scores
 
-# A model up to this size, rows and bytes of words, is sent to the tasks.
-MAX_MODEL_ROWS = 1_000_000
+# A model up to this size, its words and its matrix of words and labels, is sent to the tasks.
 MAX_MODEL_BYTES = 64 * 1024 * 1024
 # A text that makes up this share of all rows or more has its copies spread.
 HOT_SHARE = 1_000
@@ -29,19 +28,31 @@ HOT_SHARE = 1_000
 PREDICTION = "predicted_label int, ranking double, known boolean"
 
 
-def fits_in_task(model: DataFrame, max_rows: int = MAX_MODEL_ROWS,
-                 max_bytes: int = MAX_MODEL_BYTES) -> bool:
+def model_bytes(model: DataFrame) -> int:
+    """The bytes of a complete model's words and matrix.
+
+    A model without words, or one in which a word and a label have no probability or two, is
+    an error: scores would depend on what is missing.
+    """
+    size = (model.groupBy("word").agg(F.count("*").alias("n"), F.count_distinct("label").alias("l"))
+            .agg(F.count("*").alias("words"), F.max("n").alias("most"), F.min("l").alias("least"),
+                 F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("bytes")).first())
+    if not size.words:
+        raise ValueError("the model has no words")
+    labels = model.agg(F.count_distinct("label")).first()[0]
+    if size.least != labels or size.most != labels:
+        raise ValueError("the model lacks a probability for some word and label, or repeats one")
+    return size.bytes + 8 * size.words * labels
+
+
+def fits_in_task(model: DataFrame, max_bytes: int = MAX_MODEL_BYTES) -> bool:
     """Whether the model is small enough to be held by every task."""
-    size = model.agg(F.count("*").alias("n"),
-                     F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("b")).first()
-    return size.n <= max_rows and size.b <= max_bytes
+    return model_bytes(model) <= max_bytes
 
 
 def _scorer(model: DataFrame):
     """An Arrow UDF from cleaned text to PREDICTION, its model broadcast once."""
     rows = model.select("label", "word", "label_probability", "word_probability").toArrow()
-    if not len(rows):
-        raise ValueError("the model has no words")
     encoded = rows["word"].combine_chunks().dictionary_encode()
     labels, column, at = np.unique(rows["label"].to_numpy(), return_index=True,
                                    return_inverse=True)
@@ -50,7 +61,7 @@ def _scorer(model: DataFrame):
         logs[encoded.indices.to_numpy(), at] = np.log(rows["word_probability"].to_numpy())
         base = np.log(rows["label_probability"].to_numpy()[column])
     held = model.sparkSession.sparkContext.broadcast((encoded.dictionary, logs, labels, base))
-    unit = LOG_UNIT
+    part, unit = LOG_PART, LOG_UNIT
 
     @F.arrow_udf(PREDICTION)
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -65,8 +76,15 @@ def _scorer(model: DataFrame):
                                   return_counts=True)
             doc, word = np.divmod(cells, max(len(words), 1))
             units = np.floor(tf[:, None] * logs[word] * unit + 0.5)
-            ranks = np.column_stack([base[k] + np.bincount(doc, units[:, k], n) / unit
-                                     for k in range(len(labels))])
+            whole = np.floor(units / part)
+            rest = units - whole * part
+            ranks = np.column_stack([
+                base[k] + (np.bincount(doc, whole[:, k], n) * (part / unit)
+                           + np.bincount(doc, rest[:, k], n) / unit) for k in range(len(labels))])
+            zero = np.isneginf(logs).any() and [  # a factor of 0 makes the rank minus infinity
+                np.bincount(doc, np.isneginf(logs[word][:, k]), n) > 0 for k in range(len(labels))]
+            if zero:
+                ranks[np.column_stack(zero)] = -np.inf
             best = ranks.argmax(axis=1)  # the first of equal ranks, so the lowest label
             yield pa.StructArray.from_arrays(
                 [pa.array(labels[best].astype(np.int32)), pa.array(ranks[np.arange(n), best]),
@@ -110,12 +128,15 @@ def predict_rows(docs: DataFrame, model: DataFrame, unknown_docs: str = "prior",
 
     ``model`` has the columns of ``fit_rows``. A text without a known word gets the label
     with the highest prior, or with ``unknown_docs="drop"`` is left out. ``in_tasks`` says
-    which way to score; by default the size of the model decides.
+    which way to score; by default the size of the model decides. Both give the same result,
+    and an incomplete model is an error in both.
     """
     if unknown_docs not in ("drop", "prior"):
         raise ValueError(f"unknown_docs must be 'drop' or 'prior', not {unknown_docs!r}")
-    if in_tasks is None:
-        in_tasks = fits_in_task(model)
+    small = fits_in_task(model)
+    if in_tasks and not small:
+        raise ValueError(f"the model is larger than {MAX_MODEL_BYTES} bytes")
+    in_tasks = small if in_tasks is None else in_tasks
     way = _predict_in_tasks if in_tasks else _predict_by_join
     rows = way(docs.select("label", "text"), model)
     if unknown_docs == "drop":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.functions.probability import log_units, rank_score
+from tallystar.functions.probability import log_sum, rank_score
 from tallystar.functions.text import tokens
 from tallystar.operators.salting import salted_join
 from tallystar.operators.topk import best_label, number_by_rank
@@ -26,9 +26,13 @@ def known_words(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(doc_id, value): the word occurrences whose word is in the vocabulary.
 
     Every occurrence is kept; words are counted per document before they meet the
-    vocabulary and repeated afterwards.
+    vocabulary and repeated afterwards. The words that are in most documents are spread.
     """
-    kept = word_frequencies(docs).join(vocabulary.select("value"), "value", "left_semi")
+    counted = word_frequencies(docs)
+    hot = (counted.groupBy("value").agg(F.count("*").alias("docs"))
+           .orderBy(F.desc("docs"), "value").limit(HOT_WORDS))
+    kept = salted_join(counted, vocabulary.select("value").distinct(), "value", hot,
+                       F.col("doc_id"), SALTS)
     return kept.select("doc_id", "value", F.explode(F.sequence(F.lit(1), "tf")).alias("_n")).drop("_n")
 
 
@@ -44,8 +48,8 @@ def scores(docs: DataFrame, model: DataFrame, salts: int = SALTS) -> DataFrame:
                           F.col("doc_id"), salts)
     sums = matched.groupBy("doc_id", "label").agg(
         F.max("label_prop").alias("prior"), F.min("word_prop").alias("least"),
-        F.sum(log_units(F.col("tf"), F.col("word_prop"))).alias("units"))
-    rank = rank_score(F.col("prior"), F.col("least"), F.coalesce("units", F.lit(0)))
+        log_sum(F.col("tf"), F.col("word_prop")).alias("logs"))
+    rank = rank_score(F.col("prior"), F.col("least"), F.col("logs"))
     return sums.select("doc_id", "label", rank.alias("rank"))
 
 

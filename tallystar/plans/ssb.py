@@ -2,7 +2,7 @@
 
 ``star`` maps the five table names to DataFrames. Dimensions are filtered first and joined
 in the order of their selectivity; the fact table is the probe side of every join and is
-never shuffled for a dimension that is small when measured. Totals are exact.
+never shuffled for a dimension that is small by its files. Totals are exact.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.functions.money import exact_sum
-from tallystar.operators.sizing import sized_sides
+from tallystar.plans.star import StarViews
 
 Star = Mapping[str, DataFrame]
 
@@ -22,22 +22,30 @@ JOINS = {"supplier": ("lo_suppkey", "s_suppkey"), "part": ("lo_partkey", "p_part
          "customer": ("lo_custkey", "c_custkey"), "date": ("lo_orderdate", "d_datekey")}
 
 
-def _joined(star: Star, fact: DataFrame, dimensions: Mapping[str, Column | None],
-            group: Sequence[str]) -> DataFrame:
-    """The fact rows that match every dimension, with the columns of ``group``."""
-    sides = {}
-    for name, condition in dimensions.items():
-        side = star[name] if condition is None else star[name].where(condition)
-        key = JOINS[name][1]
-        sides[name] = side.select(key, *(c for c in group if c in side.columns))
-    # The date table has one row per day, so its size is known without counting.
-    marked = sized_sides({n: s for n, s in sides.items() if n != "date"})
-    if "date" in sides:
-        marked["date"] = F.broadcast(sides["date"])
-    for name in (n for n in JOINS if n in dimensions):
-        foreign, key = JOINS[name]
-        fact = fact.join(marked[name], F.col(foreign) == F.col(key))
-    return fact
+def _joined(star: Star, dimensions: Mapping[str, Column | None], group: Sequence[str],
+            where: Column | None = None) -> DataFrame:
+    """The fact rows that match every dimension, with the columns of ``group``.
+
+    Where the fact table is a view, its two sides are cut by their own dimensions before they
+    meet. Spark broadcasts a dimension by its size and shuffles one that is too large.
+    """
+    def cut(fact: DataFrame, names: Sequence[str]) -> DataFrame:
+        for name in names:
+            if name in dimensions:
+                foreign, key = JOINS[name]
+                condition = dimensions[name]
+                side = star[name] if condition is None else star[name].where(condition)
+                side = side.select(key, *(c for c in group if c in side.columns))
+                fact = fact.join(side, F.col(foreign) == F.col(key))
+        return fact
+
+    def chosen(fact: DataFrame) -> DataFrame:
+        return fact if where is None else fact.where(where)
+
+    if isinstance(star, StarViews):
+        return cut(chosen(star.sides["lines"]), ("supplier", "part")).join(
+            cut(star.sides["orders"], ("date", "customer")), "lo_orderkey")
+    return cut(chosen(star["lineorder"]), tuple(JOINS))
 
 
 def _years(first: int, last: int) -> Column:
@@ -47,8 +55,7 @@ def _years(first: int, last: int) -> Column:
 # --- flight 1: one dimension, no groups ------------------------------------------------
 
 def _flight1(star: Star, dates: Column, discount: tuple[int, int], quantity: Column) -> DataFrame:
-    fact = star["lineorder"].where(F.col("lo_discount").between(*discount) & quantity)
-    lines = _joined(star, fact, {"date": dates}, [])
+    lines = _joined(star, {"date": dates}, [], F.col("lo_discount").between(*discount) & quantity)
     return (lines.withColumn("gain", F.col("lo_extendedprice") * F.col("lo_discount"))
                  .agg(exact_sum("gain", 0).alias("revenue")))
 
@@ -75,8 +82,7 @@ def q1_3(star: Star, week: int = 6, year: int = 1994, discount: tuple[int, int]
 
 def _flight2(star: Star, parts: Column, region: str) -> DataFrame:
     group = ["d_year", "p_brand1"]
-    lines = _joined(star, star["lineorder"],
-                    {"supplier": F.col("s_region") == region, "part": parts, "date": None}, group)
+    lines = _joined(star, {"supplier": F.col("s_region") == region, "part": parts, "date": None}, group)
     return (lines.groupBy(*group).agg(exact_sum("lo_revenue", 0).alias("revenue"))
                  .orderBy(*group))
 
@@ -99,8 +105,7 @@ def q2_3(star: Star, brand: str = "MFGR#2239", region: str = "EUROPE") -> DataFr
 def _flight3(star: Star, place: str, suppliers: Column, customers: Column,
              dates: Column) -> DataFrame:
     group = [f"c_{place}", f"s_{place}", "d_year"]
-    lines = _joined(star, star["lineorder"],
-                    {"supplier": suppliers, "customer": customers, "date": dates}, group)
+    lines = _joined(star, {"supplier": suppliers, "customer": customers, "date": dates}, group)
     return (lines.groupBy(*group).agg(exact_sum("lo_revenue", 0).alias("revenue"))
                  .orderBy("d_year", F.desc("revenue")))
 
@@ -132,8 +137,7 @@ def q3_4(star: Star, cities: Sequence[str] = ("UNITED KI1", "UNITED KI5"),
 
 def _flight4(star: Star, group: list[str], suppliers: Column, customers: Column,
              parts: Column, dates: Column | None) -> DataFrame:
-    lines = _joined(star, star["lineorder"],
-                    {"supplier": suppliers, "part": parts, "customer": customers, "date": dates},
+    lines = _joined(star, {"supplier": suppliers, "part": parts, "customer": customers, "date": dates},
                     group)
     return (lines.withColumn("gain", F.col("lo_revenue") - F.col("lo_supplycost"))
                  .groupBy(*group).agg(exact_sum("gain", 0).alias("profit"))

@@ -13,32 +13,40 @@ from tallystar.sources.lazy import LazyTables
 STAR_TABLES = ("lineorder", "date", "customer", "supplier", "part")
 
 
-def _lineorder(t: Mapping[str, DataFrame]) -> DataFrame:
-    """The fact table; money is a whole number of cents, as the benchmark has it."""
+class StarViews(LazyTables):
+    """The star as views; ``sides`` are the two tables of which the fact table is the join."""
+
+    sides: LazyTables
+
+
+def _lines(t: Mapping[str, DataFrame]) -> DataFrame:
+    """The line side of the fact; money is a whole number of cents, as the benchmark has it."""
     lineitem = t["lineitem"]
     lines = lineitem.select(
-        "l_orderkey", "l_partkey", "l_suppkey",
+        F.col("l_orderkey").alias("lo_orderkey"), F.col("l_partkey").alias("lo_partkey"),
+        F.col("l_suppkey").alias("lo_suppkey"),
         F.col("l_quantity").cast("int").alias("lo_quantity"),
         hundredths(lineitem, "l_extendedprice").alias("lo_extendedprice"),
         hundredths(lineitem, "l_discount").cast("int").alias("lo_discount"))
-    return (lines.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
-            .select(
-                F.col("l_orderkey").alias("lo_orderkey"),
-                F.col("o_custkey").alias("lo_custkey"),
-                F.col("l_partkey").alias("lo_partkey"),
-                F.col("l_suppkey").alias("lo_suppkey"),
-                F.to_date("o_orderdate").alias("lo_orderdate"),
-                "lo_quantity", "lo_discount", "lo_extendedprice",
-                F.expr("lo_extendedprice * (100 - lo_discount) div 100").alias("lo_revenue"),
-                # 60 % of the price of one piece.
-                F.expr("lo_extendedprice * 6 div nullif(lo_quantity * 10, 0)").alias("lo_supplycost")))
+    return lines.select(
+        "*", F.expr("lo_extendedprice * (100 - lo_discount) div 100").alias("lo_revenue"),
+        # 60 % of the price of one piece.
+        F.expr("lo_extendedprice * 6 div nullif(lo_quantity * 10, 0)").alias("lo_supplycost"))
+
+
+def _orders(t: Mapping[str, DataFrame]) -> DataFrame:
+    """The order side of the fact."""
+    return t["orders"].select(
+        F.col("o_orderkey").alias("lo_orderkey"), F.col("o_custkey").alias("lo_custkey"),
+        F.to_date("o_orderdate").alias("lo_orderdate"))
 
 
 def _calendar(t: Mapping[str, DataFrame]) -> DataFrame:
-    """One row per order day."""
+    """One row per day from the first order to the last; no row of the orders travels for it."""
     day = F.col("d_datekey")
-    return (t["orders"].select(F.to_date("o_orderdate").alias("d_datekey")).distinct()
-            .where(day.isNotNull())
+    ends = t["orders"].agg(F.min(F.to_date("o_orderdate")).alias("first"),
+                           F.max(F.to_date("o_orderdate")).alias("last"))
+    return (ends.select(F.explode(F.sequence("first", "last")).alias("d_datekey"))
             .select("d_datekey", F.year(day).alias("d_year"),
                     (F.year(day) * 100 + F.month(day)).alias("d_yearmonthnum"),
                     F.date_format(day, "MMMyyyy").alias("d_yearmonth"),
@@ -46,12 +54,19 @@ def _calendar(t: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _with_place(table: DataFrame, prefix: str, t: Mapping[str, DataFrame]) -> DataFrame:
-    """Key, city, nation and region; the tables know no city, so the nation stands for it."""
-    places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
-    return (table.join(places, F.col(f"{prefix}_nationkey") == F.col("n_nationkey"))
-            .select(F.col("n_name").alias(f"{prefix}_city"),
-                    F.col("n_name").alias(f"{prefix}_nation"),
-                    F.col("r_name").alias(f"{prefix}_region"),
+    """Key, city, nation and region; the tables know no city, so the nation stands for it.
+
+    The benchmark's 25 nations are one map, not a join: so the size that Spark estimates for
+    the table is its own, and decides whether it is broadcast.
+    """
+    places = (t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+              .agg(F.map_from_entries(F.collect_list(F.struct(
+                  "n_nationkey", F.struct("n_name", "r_name"))))).scalar())
+    placed = table.withColumn("_place", F.try_element_at(places, F.col(f"{prefix}_nationkey")))
+    return (placed.where("_place IS NOT NULL")
+            .select(F.col("_place.n_name").alias(f"{prefix}_city"),
+                    F.col("_place.n_name").alias(f"{prefix}_nation"),
+                    F.col("_place.r_name").alias(f"{prefix}_region"),
                     f"{prefix}_{'cust' if prefix == 'c' else 'supp'}key"))
 
 
@@ -63,12 +78,15 @@ def _parts(t: Mapping[str, DataFrame]) -> DataFrame:
         F.col("p_brand").alias("p_brand1"))
 
 
-def star_of(t: Mapping[str, DataFrame]) -> LazyTables:
+def star_of(t: Mapping[str, DataFrame]) -> StarViews:
     """The five star tables as views."""
-    return LazyTables({
-        "lineorder": lambda: _lineorder(t), "date": lambda: _calendar(t),
+    sides = LazyTables({"lines": lambda: _lines(t), "orders": lambda: _orders(t)})
+    star = StarViews({
+        "lineorder": lambda: sides["lines"].join(sides["orders"], "lo_orderkey"), "date": lambda: _calendar(t),
         "customer": lambda: _with_place(t["customer"], "c", t),
         "supplier": lambda: _with_place(t["supplier"], "s", t), "part": lambda: _parts(t)})
+    star.sides = sides
+    return star
 
 
 def write_star(star: Mapping[str, DataFrame], folder: str) -> None:

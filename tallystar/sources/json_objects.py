@@ -57,7 +57,7 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "text"))),
                                  lambda piece: piece["text"]), "{").alias("text"))
     # Number 0 is what stands before the first brace.
-    cleaned = F.regexp_replace("text", r"[\s,\]]+$", "")
+    cleaned = F.regexp_replace("text", r"[\s,\[\]]+$", "")
     value = F.when(F.col("object") == 0, F.when(
         F.col("text").rlike(r"[^\s\[\],\x{feff}]"), F.raise_error(F.lit("text before an object")))).when(
         ~cleaned.endswith("}"), F.raise_error(F.lit("text after an object, or an object cut off"))

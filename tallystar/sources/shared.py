@@ -35,5 +35,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses.
+
+    What is written there goes when the application ends, since results may be read until then.
+    """
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path

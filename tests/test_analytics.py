@@ -109,3 +109,21 @@ def test_golden_flight_one(spark):
     dates = spark.createDataFrame([(day, 1994), (datetime.date(1995, 1, 3), 1995)],
                                   "d_datekey date, d_year int")
     assert int(ssb.q1_1({"lineorder": fact, "date": dates}).first().revenue) == 130
+
+
+def test_results_come_in_their_order(tables, star):
+    def in_order(df, *keys):
+        got = [tuple(-r[k[1:]] if k[0] == "-" else r[k] for k in keys) for r in df.collect()]
+        assert got and got == sorted(got)
+
+    in_order(tpch.q1(tables), "l_returnflag", "l_linestatus")
+    in_order(tpch.q5(tables), "-revenue")
+    in_order(tpch.q18(tables, 200), "-o_totalprice", "o_orderdate")
+    in_order(ssb.q2_1(star, category="ECONOMY#2"), "d_year", "p_brand1")
+    in_order(ssb.q3_1(star, first=1995, last=2000), "d_year", "-revenue")
+    in_order(ssb.q4_1(star, mfgrs=["PROMO", "ECONOMY"]), "d_year", "c_nation")
+
+
+def test_views_cut_both_sides_before_they_meet(star):
+    plan = plan_of(ssb.q4_1(star, mfgrs=["PROMO"]))
+    assert plan.count("BroadcastHashJoin") >= 4 and plan.count("lineitem.parquet") == 1

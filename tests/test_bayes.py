@@ -205,8 +205,29 @@ def test_batch_scores_match_plain_python(spark, toy_train, row_model):
 
 def test_model_size_decides(row_model):
     assert bayes_batch.fits_in_task(row_model)
-    assert not bayes_batch.fits_in_task(row_model, max_rows=39)
-    assert not bayes_batch.fits_in_task(row_model, max_bytes=10)
+    assert bayes_batch.model_bytes(row_model) >= 20 * 2 * 8
+    assert not bayes_batch.fits_in_task(row_model, max_bytes=20 * 2 * 8)
+
+
+@pytest.mark.parametrize("in_tasks", [True, False, None])
+def test_an_incomplete_model_is_an_error_in_both_forms(spark, toy_train, row_model, in_tasks, monkeypatch):
+    for broken in (row_model.where("not (label = 0 and word = 'fun')"),
+                   row_model.unionAll(row_model.where("label = 4 and word = 'fun'")), row_model.limit(0)):
+        with pytest.raises(ValueError, match="the model"):
+            bayes_batch.predict_rows(toy_train, broken, in_tasks=in_tasks)
+    monkeypatch.setattr(bayes_batch.fits_in_task, "__defaults__", (10,))
+    if in_tasks:
+        with pytest.raises(ValueError, match="larger"):
+            bayes_batch.predict_rows(toy_train, row_model, in_tasks=True)
+
+
+def test_a_thousand_labels(spark, toy_train, model):
+    many = inline_labels(spark, [0, 4, 4, *range(1000, 2000)])
+    kept = in_label_set(toy_train, many)
+    assert rows(kept) == rows(toy_train)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(bayes_fit.fit(toy_train, many)) == rows(model)
 
 
 def test_hot_text_in_the_joined_form(spark, row_model, monkeypatch):

@@ -9,7 +9,6 @@ from tallystar.functions.seconds import mean_seconds
 from tallystar.operators.median import mean_and_median
 from tallystar.operators.numbering import with_row_number
 from tallystar.operators.salting import salted_join
-from tallystar.operators.sizing import sized_sides
 from tallystar.sources import shared
 
 
@@ -63,14 +62,6 @@ def test_salted_join_is_a_plain_join(spark, hot, salts):
     assert rows(got, "k", "v", "p") == rows(left.join(right, "k"), "k", "v", "p")
 
 
-def test_only_small_sides_are_marked(spark):
-    sides = sized_sides({"small": spark.range(5), "large": spark.range(50), "none": spark.range(0)}, 10)
-    plans = {n: df._jdf.queryExecution().analyzed().toString() for n, df in sides.items()}
-    assert ["broadcast" in plans[n] for n in ("small", "large", "none")] == [True, False, True]
-    assert {n: df.count() for n, df in sides.items()} == {"small": 5, "large": 50, "none": 0}
-    assert sized_sides({}) == {}
-
-
 @pytest.mark.parametrize("kind", ["double", "decimal(15,2)"])
 def test_money_sums_are_exact(spark, kind):
     values = ["0.10", "0.20", "-0.30", "104949.50", "0.01", "-7.29"]
@@ -92,7 +83,8 @@ def test_mean_seconds(spark):
 
 
 def test_mean_and_median(spark):
-    values = {"odd": [5, 1, 9], "even": [4, 4, 10, 1], "one": [7], "equal": [2] * 6, "pair": [1, 2]}
+    values = {"odd": [5, 1, 9], "even": [4, 4, 10, 1], "one": [7], "equal": [2] * 6, "pair": [1, 2],
+              None: [3, 8], "many": [i * i % 4099 for i in range(6001)]}
     df = spark.createDataFrame([(k, v) for k, vs in values.items() for v in vs] + [("odd", None)],
                                "k string, v bigint")
     got = {r.k: (r.runs, r["mean"], r["median"]) for r in mean_and_median(df, "k", "v").collect()}

@@ -51,10 +51,10 @@ def test_calc_prop_and_its_floor(spark):
 
 
 def test_rank_score_guard(spark):
-    df = spark.createDataFrame([(0.5, 0.0, 0), (0.5, 0.1, -2_000_000_000)],
-                               "p double, least double, units bigint")
+    df = spark.createDataFrame([(0.5, 0.0, 0.0), (0.5, 0.1, -2.0)],
+                               "p double, least double, logs double")
     low, normal = [r[0] for r in df.select(probability.rank_score(
-        F.col("p"), F.col("least"), F.col("units"))).collect()]
+        F.col("p"), F.col("least"), F.col("logs"))).collect()]
     assert low == float("-inf") and normal == pytest.approx(-2.693147, abs=1e-6)
     zero = df.select(probability.log_units(F.lit(3), F.lit(0.0)).alias("u")).first()
     assert zero.u is None
