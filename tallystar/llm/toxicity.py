@@ -1,7 +1,7 @@
 """Toxicity: a weighted lexicon matched by Aho-Corasick on folded text.
 
-Texts are folded first: compatibility forms and accents are resolved, look-alike letters of
-other scripts become Latin, digits and signs that stand for a letter inside a word become
+Texts are folded first: compatibility forms are resolved, accents stay, as they tell words
+apart, invisible characters go, look-alike letters of other scripts become Latin, digits and signs that stand for a letter inside a word become
 that letter, and i, l, 1, ! and | become one. The lexicon is learned: substrings of folded
 words (with their word ends) that labelled toxic documents have far more often than clean
 ones. Exception phrases are learned likewise: a matched term with its neighbouring word, of
@@ -41,6 +41,9 @@ HOMOGLYPHS = {
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "i"}
 
+#: Logarithms of the odds against chance that a whole word and a part of words must have.
+SURE_WORD, SURE_PART = 12.0, 20.0
+
 _SIGN_RUN = re.compile(r"(?:(?<=[^\W\d_])|(?<![\w@$!|])(?=[0134578@$]))[01345789@$!|]+(?=[^\W\d_])")
 _SIGN_MAP = str.maketrans(SIGNS)
 _BREAKS = ({c: " " for c in range(128) if not chr(c).isalnum()}
@@ -58,7 +61,7 @@ _folded: dict[str, str] = {}
 
 def _fold_word(word: str) -> str:
     if not word.isascii():
-        word = unicodedata.normalize("NFKD", word).translate(_DROPPED)
+        word = unicodedata.normalize("NFKC", word).translate(_DROPPED)
     word = _SIGN_RUN.sub(lambda m: m[0].translate(_SIGN_MAP), word.lower())
     return " ".join(word.translate(_FOLD).split())
 
@@ -159,7 +162,7 @@ def _folded_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample_toxic: int = 2500, sample_clean: int = 7500,
-          max_terms: int = 4000, min_docs: int = 10, min_log_odds: float = 2.5,
+          max_terms: int = 4000, min_docs: int = 4, min_log_odds: float = 2.0,
           max_exceptions: int = 1000) -> ToxicityModel:
     """Fit the model on a bounded sample of the labelled documents.
 
@@ -194,7 +197,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
 
 def _terms(sample: DataFrame, n_toxic: int, n_clean: int, max_terms: int, min_docs: int,
            min_log_odds: float) -> dict[str, float]:
-    """Substrings of words with their log odds; none contains or lies in a better one."""
+    """Substrings of words with their log odds; none contains or lies in a surer one."""
     words = (sample.select("toxic", F.explode(F.array_distinct(
                 F.split(F.trim("folded"), " "))).alias("word"))
              .where(F.length("word").between(2, 40))
@@ -205,6 +208,14 @@ def _terms(sample: DataFrame, n_toxic: int, n_clean: int, max_terms: int, min_do
     likely = words.where((F.col("t") * max(n_clean, 1)) > (F.col("c") * n_toxic * 4)
                          ).select(F.explode(grams).alias("term"), "t")
     least = max(min_docs, math.ceil(0.004 * n_toxic))
+    # Documents with the term, and how surely so many of them are not toxic by chance: the
+    # logarithm of Chernoff's bound, which whole words, being fewer, need not pass as far.
+    n, p = F.col("t") + F.col("c"), n_toxic / (n_toxic + n_clean)
+    share = F.col("t") / n
+    surely = n * (share * F.log(share / p) + F.when(share < 1, (1 - share) * F.log(
+        (1 - share) / (1 - p))).otherwise(0.0)) if n_clean else F.lit(0.0)
+    whole = F.col("term").startswith(" ") & F.col("term").endswith(" ")
+    sure = surely >= F.when(whole, SURE_WORD).otherwise(SURE_PART)
     frequent = (likely.groupBy("term").agg(F.sum("t").alias("t")).where(F.col("t") >= least)
                 .orderBy(F.desc("t"), "term").limit(20 * max_terms).select("term"))
     found = (words.select(F.explode(grams).alias("term"), "t", "c")
@@ -212,8 +223,8 @@ def _terms(sample: DataFrame, n_toxic: int, n_clean: int, max_terms: int, min_do
              .groupBy("term").agg(F.sum("t").alias("t"), F.sum("c").alias("c"))
              .withColumn("odds", F.log((F.col("t") + 0.5) / (n_toxic + 1.0))
                          - F.log((F.col("c") + 0.5) / (n_clean + 1.0)))
-             .where((F.col("t") >= least) & (F.col("odds") >= min_log_odds))
-             .orderBy(F.desc(F.round("odds", 1)), F.desc(F.length("term")), "term")
+             .where((F.col("t") >= least) & (F.col("odds") >= min_log_odds) & sure)
+             .orderBy(F.desc(F.round(surely, 1)), F.desc(F.length("term")), "term")
              .limit(5 * max_terms).collect())
     kept: dict[str, float] = {}
     for row in found:

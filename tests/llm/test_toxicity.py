@@ -27,7 +27,7 @@ def corpus(n=600, seed=1):
 
 def test_fold():
     assert fold("You 1d10t!! $cum ＩＤＩＯＴ idіot ndrea$$$ café 5") == (
-        " you idiot scum idiot idiot ndrea cafe 5 ", 8)
+        " you idiot scum idiot idiot ndrea café 5 ", 8)
     assert fold(None) == fold("") == fold(" \n") == (" ", 0)
     assert fold("a-b​c") == (" a bc ", 2)
 
