@@ -209,7 +209,7 @@ def number_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "profile_runs": run_rows,
-    "profile_by_run": lambda s, d: rounded(profiles.by_run_group(run_rows(s, d)), "avg_elapsed"),
+    "profile_by_run": lambda s, d: rounded(profiles.by_run_group(run_rows(s, d)), "avg_elapsed", digits=7),
     "profile_operators": lambda s, d: with_text_path(operators(s, d)),
     "profile_by_position": lambda s, d: rounded(named_positions(s, d), "timing", digits=12),
     "profile_by_type": lambda s, d: rounded(types(s, d), "timing", digits=12),
@@ -221,9 +221,9 @@ QUERIES: dict[str, Query] = {
     "profile_distinct_queries": lambda s, d: profiles.distinct_values(run_rows(s, d), "query"),
     "profile_distinct_threads": lambda s, d: profiles.distinct_values(run_rows(s, d), "threads"),
     "profile_distinct_scales": lambda s, d: profiles.distinct_values(run_rows(s, d), "scale_factor"),
-    "io_profiles_array": lambda s, d: rounded(profile_arrays(s, d), "avg_elapsed"),
+    "io_profiles_array": lambda s, d: rounded(profile_arrays(s, d), "avg_elapsed", digits=7),
     "io_source_records": source_files,
-    "io_profiles_back_to_back": lambda s, d: rounded(back_to_back(s, d), "avg_elapsed"),
+    "io_profiles_back_to_back": lambda s, d: rounded(back_to_back(s, d), "avg_elapsed", digits=7),
     "io_profiles_split": split_files,
     "runs_tpch_configurations": lambda s, d: rounded(
         rounded(configurations(s, d), "log_ms"), "elapsed_seconds", digits=7),
@@ -277,7 +277,7 @@ run_rows AS (
 BY_RUN = f"""{PER_ORDER}
 SELECT benchmark_name, query, scale_factor, threads, count(*) AS runs,
        min(elapsed) AS min_elapsed, max(elapsed) AS max_elapsed,
-       round(avg(elapsed), 6) AS avg_elapsed, avg(cumulative_rows_scanned) AS avg_rows_scanned,
+       round(avg(elapsed), 7) AS avg_elapsed, avg(cumulative_rows_scanned) AS avg_rows_scanned,
        avg(cumulative_cardinality) AS avg_cardinality
 FROM run_rows GROUP BY ALL"""
 
