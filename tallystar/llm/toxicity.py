@@ -4,14 +4,17 @@ Texts are folded first: compatibility forms are resolved, accents stay, as they
 apart, invisible characters go, look-alike letters of other scripts become Latin, digits and signs that stand for a letter inside a word become
 that letter, and i, l, 1, ! and | become one. The lexicon is learned: substrings of folded
 words (with their word ends) that labelled toxic documents have far more often than clean
-ones. Exception phrases are learned likewise: a matched term with its neighbouring word, of
+ones; how much is far more is bounded by what the toxic documents of the sample, if few, can
+show. Common insults of four languages enter without that proof if a labelled toxic document has
+one of them, but not those that clean documents have as well. Exception phrases are learned likewise: a matched term with its neighbouring word, of
 which clean documents have several and toxic ones none; a match inside one does not count.
 The sum of the matched weights, divided by the document's length, goes through a logistic
 curve fitted on the same sample.
 
 Null and empty texts have no match and get the curve's value at 0. Labels that are null, and
 labels of unknown documents, teach nothing; without toxic labels the lexicon is empty and
-every score is 0. Repeated rows are scored alike.
+every score is 0. Without clean labels nothing tells words apart, so only the common insults
+enter, with a fixed curve. Repeated rows are scored alike.
 """
 
 from __future__ import annotations
@@ -41,8 +44,28 @@ HOMOGLYPHS = {
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "9": "g",
          "@": "a", "$": "s", "!": "i", "|": "i"}
 
-#: Logarithms of the odds against chance that a whole word and a part of words must have.
+#: Logarithms of the odds against chance that a whole word and a part of words must have, and
+#: the shares of the most that any term of the sample can have which are enough instead.
 SURE_WORD, SURE_PART = 12.0, 20.0
+ENOUGH_WORD, ENOUGH_PART = 0.3, 0.5
+
+#: Common insults of four languages, which need no proof where labelled toxic
+#: documents have any of them, the least weight of one, and the curve without clean documents.
+SEEDS = """
+arsehole asshole bastard bitch clown coward creep cretin crybaby cunt degenerate despicable
+dickhead dimwit disgrace disgusting dumb dumbass fool freak garbage halfwit hypocrite idiot idiotic
+idiots imbecile jerk liar loser losers lowlife lunatic maggot moron moronic morons motherfucker
+nitwit pathetic prick retarded rubbish scoundrel scum scumbag shithead
+simpleton slut stupid swine thug traitor trash twat ugly vermin wanker weirdo whore wimp worthless
+abschaum arsch arschloch blödmann dreckig dummkopf dumm ekelhaft erbärmlich feigling
+hurensohn idioten lügner miststück nutte schlampe schwachkopf schwein trottel versager vollidiot
+wertlos wichser widerlich
+abruti bâtard connard connasse crétin débile dégoûtant enculé imbécile menteur minable
+ordure pitoyable pourriture raclure salaud salope stupide
+asqueroso basura bastardo cabrón cobarde escoria estúpido gilipollas hijoputa idiota imbécil
+mentiroso patético pendejo perdedor puta repugnante tonto
+""".split()
+SEED_WEIGHT, SEED_CURVE = 3.0, (-5.0, 3.0, 0.5)
 
 _SIGN_RUN = re.compile(r"(?:(?<=[^\W\d_])|(?<![\w@$!|])(?=[0134578@$]))[01345789@$!|]+(?=[^\W\d_])")
 _SIGN_MAP = str.maketrans(SIGNS)
@@ -190,7 +213,8 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
         plain = ToxicityModel(weights)
         exceptions = _exceptions(sample, plain, max_exceptions) if weights else ()
         model = ToxicityModel(weights, exceptions)
-        return ToxicityModel(weights, exceptions, _fit_curve(_sample_features(sample, model)))
+        return ToxicityModel(weights, exceptions, _fit_curve(_sample_features(sample, model))
+                             if n_clean else SEED_CURVE)
     finally:
         sample.unpersist()
 
@@ -214,8 +238,11 @@ def _terms(sample: DataFrame, n_toxic: int, n_clean: int, max_terms: int, min_do
     share = F.col("t") / n
     surely = n * (share * F.log(share / p) + F.when(share < 1, (1 - share) * F.log(
         (1 - share) / (1 - p))).otherwise(0.0)) if n_clean else F.lit(0.0)
+    # Few toxic documents cannot make any term that sure: then a share of the most is enough.
+    most = -n_toxic * math.log(p)
     whole = F.col("term").startswith(" ") & F.col("term").endswith(" ")
-    sure = surely >= F.when(whole, SURE_WORD).otherwise(SURE_PART)
+    sure = F.lit(bool(n_clean)) & (surely >= F.when(whole, min(SURE_WORD, ENOUGH_WORD * most))
+                                   .otherwise(min(SURE_PART, ENOUGH_PART * most)))
     frequent = (likely.groupBy("term").agg(F.sum("t").alias("t")).where(F.col("t") >= least)
                 .orderBy(F.desc("t"), "term").limit(20 * max_terms).select("term"))
     found = (words.select(F.explode(grams).alias("term"), "t", "c")
@@ -230,6 +257,14 @@ def _terms(sample: DataFrame, n_toxic: int, n_clean: int, max_terms: int, min_do
     for row in found:
         if len(kept) < max_terms and not any(k in row.term or row.term in k for k in kept):
             kept[row.term] = float(row.odds)
+    seeds = {f" {_fold_word(w)} ": (0, 0) for w in SEEDS}
+    seeds |= {r.word: (r.t, r.c) for r in words.where(F.col("word").isin(list(seeds))).collect()}
+    if any(t for t, _ in seeds.values()):
+        for term, (t, c) in seeds.items():
+            odds = math.log((t + 0.5) / (n_toxic + 1.0)) - math.log((c + 0.5) / (n_clean + 1.0))
+            if (not c or odds >= min_log_odds) and len(kept) < max_terms and not any(
+                    k in term or term in k for k in kept):
+                kept[term] = max(odds, SEED_WEIGHT)
     return kept
 
 

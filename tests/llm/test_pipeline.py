@@ -64,3 +64,9 @@ def test_run_is_its_stages(spark, stages):
     got = corpus_pipeline.run(spark, SF)
     assert got.exceptAll(stages["byte_bpe"]).count() == 0
     assert got.agg(F.count("*")).first()[0] == stages["byte_bpe"].count()
+
+
+def test_toxicity_stage_drops_toxic_documents(spark, stages):
+    toxic = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1").collect()}
+    kept = {r.doc_id for r in stages["toxicity"].select("doc_id").collect()}
+    assert len(toxic & kept) <= 0.2 * len(toxic)

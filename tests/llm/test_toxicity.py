@@ -74,3 +74,30 @@ def test_edges(spark):
     labels = spark.createDataFrame([(None, 1), (1, None), (99, 1), (1, 1), (1, 1)], "doc_id long, toxic int")
     assert toxicity.learn(docs, labels).weights == {}
     assert got.where(F.col("doc_id") == 2).first().score == got.where(F.col("doc_id") == 3).first().score
+
+
+def test_few_labels_are_enough(spark):
+    """Six labelled toxic documents: known insults are found, and a word that only they have."""
+    texts, labels = corpus(60)
+    marks = ["snarvelik"] * 4 + ["idiot", "Mor0n", "scum", "loser"]
+    marks += ["scumbag", "dummkopf", "1diot", "imbécil"]
+    for n, i in enumerate(i for i, toxic in labels if toxic):
+        words = texts[i].lower().replace("z0rgf00l", "").replace("zorgfool", "").replace("grumpox", "")
+        texts[i] = f"{words} {marks[n]}"
+    docs = plain(spark, [*texts, "some words and snarvelik among them"])
+    known = spark.createDataFrame([(i, t) for i, t in labels if not t or i < 30], "doc_id long, toxic int")
+    model = toxicity.learn(docs, known)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+    assert [i for i, toxic in labels if (got[i] >= 0.7) != bool(toxic)] == []
+    assert got[60] >= 0.7
+    seen = [i for i, toxic in labels if not toxic][:20]
+    harmless = toxicity.learn(
+        plain(spark, [f"{t} rubbish" if i in seen else t for i, t in enumerate(texts)]), known)
+    assert " rubbish " in model.weights and " rubbish " not in harmless.weights
+
+
+def test_only_toxic_labels(spark):
+    docs = plain(spark, ["you idiot and scum", "plain words about nothing", "what a moron", "idiots, all"])
+    model = toxicity.learn(docs, spark.createDataFrame([(0, 1), (2, 1)], "doc_id long, toxic int"))
+    got = {r.doc_id: r.score >= 0.7 for r in toxicity.score(docs, model).collect()}
+    assert got == {0: True, 1: False, 2: True, 3: True}
