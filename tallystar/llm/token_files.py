@@ -10,12 +10,14 @@ Rows are written in ascending order of the integer id (nulls first; rows with on
 order of their texts' hashes): ranges of ids are sorted, encoded and written by one task each.
 The running count of ids per file gives every document's place in the whole sequence. Null
 and empty texts have the end id only; repeated rows are written as often as they are there.
+The string of an added token in a text has that token's id, as the library gives it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import re
 import struct
 from collections.abc import Iterator
 from functools import cache
@@ -50,7 +52,7 @@ def _encoder(path: str) -> PieceTable:
     """The tokenizer's ids of single pieces; its own split would find each as it is."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True            # their strings in a text are plain text
+    tokenizer.encode_special_tokens = True            # no piece is an added token
 
     def encode(pieces: list[str]) -> Iterator[bytes]:
         for a in range(0, len(pieces), 20_000):
@@ -61,8 +63,45 @@ def _encoder(path: str) -> PieceTable:
     return PieceTable(encode)
 
 
+@cache
+def _added(path: str) -> tuple[re.Pattern | None, dict[str, bytes], Tokenizer | None]:
+    """The added tokens as a pattern, their packed ids, and the library if it must find them."""
+    tokenizer = Tokenizer.from_file(path)
+    tokens = tokenizer.get_added_tokens_decoder()
+    if not tokens:
+        return None, {}, None
+    longest_first = sorted((t.content for t in tokens.values()), key=len, reverse=True)
+    plain = not any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in tokens.values())
+    return (re.compile(f"({'|'.join(map(re.escape, longest_first))})"),
+            {t.content: np.uint32(i).tobytes() for i, t in tokens.items()},
+            None if plain else tokenizer)
+
+
+def encode_documents(path: str, texts: list[str | None], end_id: int) -> list[np.ndarray]:
+    """The ids the library gives each text, its added tokens found first, and the end id."""
+    pattern, known, library = _added(path)
+    texts = [t or "" for t in texts]
+    held = [i for i, t in enumerate(texts) if pattern.search(t)] if pattern else []
+    if not held:
+        return encode_texts(path, texts, end_id)
+    end = np.uint32(end_id).tobytes()
+    if library is not None:
+        special = {i: np.array(library.encode(texts[i], add_special_tokens=False).ids,
+                               "<u4").tobytes() for i in held}
+    else:
+        special = {}
+        for i in held:
+            parts = pattern.split(texts[i])
+            parts[::2] = _encoder(path).packed(parts[::2])
+            parts[1::2] = map(known.__getitem__, parts[1::2])
+            special[i] = b"".join(parts)
+    rest = iter(_encoder(path).packed([t for i, t in enumerate(texts) if i not in special]))
+    return [np.frombuffer((special[i] if i in special else next(rest)) + end, "<u4")
+            for i in range(len(texts))]
+
+
 def encode_texts(path: str, texts: list[str | None], end_id: int) -> list[np.ndarray]:
-    """The ids of each text and the end id."""
+    """The ids of each text and the end id; strings of added tokens are plain text here."""
     end = np.uint32(end_id).tobytes()
     return [np.frombuffer(p + end, "<u4") for p in _encoder(path).packed([t or "" for t in texts])]
 
@@ -77,7 +116,7 @@ def train_dictionary(docs: DataFrame, path: str, end_id: int, width: int, *, id_
     def sampled(batches):
         for batch in batches:
             for _, part in chunks(batch.column("text"), CHUNK_BYTES):
-                ids = encode_texts(path, part, end_id)
+                ids = encode_documents(path, part, end_id)
                 yield pa.RecordBatch.from_arrays([pa.array(
                     [x[:SAMPLE_BYTES // width].astype(f"<u{width}").tobytes() for x in ids],
                     pa.binary())], ["ids"])
@@ -139,7 +178,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, *, id_col: str = "d
         for batch in batches:
             for start, texts in chunks(batch.column("text"), CHUNK_BYTES):
                 names = batch.column("id").slice(start, len(texts)).to_pylist()
-                for name, ids in zip(names, encode_texts(tokenizer_path, texts, end_id)):
+                for name, ids in zip(names, encode_documents(tokenizer_path, texts, end_id)):
                     out = out or TokenFile(folder, held.value, width)
                     out.add(name, ids)
                     if out.file.size >= FILE_BYTES:

@@ -76,3 +76,18 @@ def test_empty_table(spark):
     folder = fresh_path(spark, "tokens")
     files = token_files.write(documents(spark).limit(0), folder, queries.TOKENIZER)
     assert files.count() == 0 and token_files.read(files, folder).count() == 0
+
+
+def test_added_tokens_as_the_unchanged_library(spark):
+    library = Tokenizer.from_file(queries.TOKENIZER)
+    texts = ["one <|endoftext|> two", "none here", "<|endoftext|><|endoftext|>", None,
+             "it's  <|endoftext|>  'tis\n\n<|endoftext|", "é<|endoftext|>漢 \n <|endoftext|>\n"]
+    want = [[*library.encode(t or "", add_special_tokens=False).ids, 2] for t in texts]
+    assert want[0] == [505, 220, 50256, 734, 2]
+    docs = spark.createDataFrame([(i, t, "", "", 0) for i, t in enumerate(texts)], SCHEMA)
+    folder = fresh_path(spark, "tokens")
+    rows = token_files.read(token_files.write(docs, folder, queries.TOKENIZER), folder).orderBy("id")
+    start = 0
+    for r, ids in zip(rows.collect(), want, strict=True):
+        assert np.frombuffer(r.ids, "<u4").tolist() == ids and (r.start, r.n_tokens) == (start, len(ids))
+        start += len(ids)
