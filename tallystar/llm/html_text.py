@@ -3,7 +3,10 @@
 A page is cut at block-level tags into text blocks. Each has its number of words and its link
 density (the share of words in links), the same of the blocks before and after it, and three
 signs of its place: inside an article, inside an element whose name or class marks menus,
-notices, adverts, comments and the like, and being a heading. A decision tree grown on a
+notices, adverts, comments and the like, and being a heading. Class names that tell the layout
+(has-sidebar, menu-open) mark nothing; an article or main element ends the mark of what wraps it,
+but for an article among comments, related pages, or in nav, aside and footer; long texts with
+few links in what only may be boilerplate (sidebar, widget, header) are judged as unmarked. A decision tree grown on a
 small labelled table of blocks tells main text from the rest. Scripts, styles, comments and
 forms have no text blocks.
 
@@ -18,6 +21,7 @@ import html as references
 import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,11 +40,21 @@ MARKED = frozenset("nav footer aside form menu dialog head fieldset".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("hr br img input meta link area base col embed source track wbr".split())
 
-_MARKS = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|consent|cookies?|copyright|"
-    r"disqus|footer|gdpr|header|login|masthead|menu|nav\w*|newsletter|notices?|pagination|popup|"
-    r"promo\w*|related|replies|search|share|sharing|sidebar|signup|social|sponsor\w*|subscribe|"
-    r"tags|toolbar|widget\w*)(?:$|[\s_-])", re.I)
+#: Elements and parts of names by how surely they mark boilerplate: 3 also what has articles of
+#: its own, 1 only what may as well wrap the page, so that its long texts are judged as others.
+SURENESS = {"nav": 3, "footer": 3, "aside": 3, "form": 1, "header": 1}
+LONG_WORDS, LONG_DENSITY = 100, 0.2
+_MARKS = (
+    (3, re.compile(r"comments?|disqus|related|replies|sponsor\w*")),
+    (2, re.compile(r"ads?|advert\w*|breadcrumbs?|consent|cookies?|copyright|footer|gdpr|login|"
+                   r"nav\w*|newsletter|notices?|pagination|popup|signup|subscribe")),
+    (1, re.compile(r"banner|header|masthead|menu|promo\w*|search|share|sharing|sidebar|social|"
+                   r"tags|toolbar|widget\w*")))
+#: A name with one of these tells how a page is laid out or what state it is in.
+_LAYOUT = frozenset("has have with without no not is layout open opened closed enabled disabled "
+                    "free hidden visible active collapsed expanded".split())
+_TITLES = frozenset("article content entry page post section story title".split())
+_PARTS = re.compile(r"[_-]+")
 _ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 _ARTICLE = re.compile(r"(?:^|\s)(?:article|main)(?:$|\s)", re.I)
 _TOKEN = re.compile(
@@ -50,6 +64,21 @@ _TOKEN = re.compile(
     r"|<[a-zA-Z/!?][^>]*+(?:>|\Z)", re.S | re.I)
 
 
+@lru_cache(20_000)
+def _mark(values: str) -> int:
+    """How surely the class names, id and role mark boilerplate; 0 if they do not."""
+    found = 0
+    for name in values.lower().split():
+        parts = [p for p in _PARTS.split(name) if p]
+        if not parts or not _LAYOUT.isdisjoint(parts) or parts[0] == "content":
+            continue
+        if "header" in parts and not _TITLES.isdisjoint(parts):
+            parts.remove("header")
+        found = max(found, *(level for level, words in _MARKS
+                             if any(map(words.fullmatch, parts))), 0)
+    return found
+
+
 @dataclass
 class Block:
     text: str
@@ -69,7 +98,7 @@ class _Page:
 
     def __init__(self):
         self.blocks: list[Block] = []
-        self._open: list[tuple[str, bool, bool]] = []        # name, in article, marked
+        self._open: list[tuple[str, bool, int]] = []         # name, in article, how surely marked
         self._parts: list[str] = []
         self._linked, self._in_link = 0, False
 
@@ -82,10 +111,13 @@ class _Page:
     def flush(self) -> None:
         text = " ".join(references.unescape("".join(self._parts)).split())
         if text:
-            _, article, marked = self._open[-1] if self._open else ("", False, False)
+            _, article, mark = self._open[-1] if self._open else ("", False, 0)
             heading = any(name in HEADINGS for name, _, _ in self._open[-2:])
             words = text.count(" ") + 1
-            self.blocks.append(Block(text, words, min(words, self._linked), article, marked, heading))
+            block = Block(text, words, min(words, self._linked), article, mark > 0, heading)
+            if mark == 1 and words >= LONG_WORDS and block.density <= LONG_DENSITY:
+                block.marked = False
+            self.blocks.append(block)
         self._parts, self._linked = [], 0
 
     def begin(self, name: str, attributes: str) -> None:
@@ -101,12 +133,17 @@ class _Page:
         self._in_link = False
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or name in HEADINGS:
             self._close_like(name)
-        _, article, marked = self._open[-1] if self._open else ("", False, False)
+        _, article, mark = self._open[-1] if self._open else ("", False, 0)
         values = " ".join(a or b or c for a, b, c in _ATTRIBUTE.findall(attributes)) if attributes else ""
-        own = name in MARKED or name == "header" and not article or bool(
-            values and name not in ("html", "body", "article", "main") and _MARKS.search(values))
+        own = _mark(values) if values else 0
+        if name == "main" or name == "article" and not article and max(mark, own) < 3:
+            mark = 0                              # the page's own text, whatever wraps it
+        elif name in MARKED or name == "header" and not article:
+            mark = max(mark, own, SURENESS.get(name, 2))
+        elif name not in ("html", "body", "article"):
+            mark = max(mark, own)
         article = article or name in ("article", "main") or bool(values and _ARTICLE.search(values))
-        self._open.append((name, article, marked or own))
+        self._open.append((name, article, mark))
 
     def _close_like(self, name: str) -> None:
         """A paragraph, item or heading ends an open one of the same kind beside it."""

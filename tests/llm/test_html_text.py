@@ -82,3 +82,44 @@ def test_edges(spark):
     assert got.columns == ["page_id", "url", "text"]
     assert sorted(len(r.text) for r in got.collect()) == [0, 0, *[len(text(ARTICLE))] * 2]
     assert ht.extract(pages.limit(0)).count() == 0
+
+
+BODY = " ".join(["several plain words that make up a sentence"] * 4)
+LONG_BODY = " ".join(["several plain words that make up a sentence"] * 20)
+
+
+@pytest.mark.parametrize("name", [
+    "content has-sidebar", "with-sidebar", "no-sidebar", "menu-open site", "sidebar", "ad-free",
+    "content-sidebar-wrap", "newsletter", "layout--with-sidebar", "site-search"])
+def test_wrapped_articles_are_kept(name):
+    want = f"The head line\n\n{BODY}\n\nOk."
+    inner = f"<h1>The head line</h1><p>{BODY}</p><p>Ok.</p>"
+    for tag in ("article", "main"):
+        assert text(f"<body><div class='{name}'><{tag}>{inner}</{tag}></div></body>") == want
+    assert text(f"<form id=f><div id='{name}'><article>{inner}</article></div></form>") == want
+
+
+@pytest.mark.parametrize("name", ["content has-sidebar", "no-sidebar", "menu-open site", "sidebar-layout"])
+def test_layout_names_mark_nothing(name):
+    assert text(f"<div class='{name}'><p>{BODY}</p><p>{BODY}</p></div>") == f"{BODY}\n\n{BODY}"
+
+
+def test_titles_in_an_entry_header_are_kept():
+    page = f"<article><div class='entry-header'><h1>The head line</h1></div><p>{BODY}</p></article>"
+    assert text(page) == f"The head line\n\n{BODY}"
+
+
+def test_long_texts_in_what_may_be_boilerplate():
+    assert text(f"<div class='widget'><p>{LONG_BODY}</p></div>") == LONG_BODY
+    linked = f"<div class='widget'><p><a href=x>{LONG_BODY}</a></p></div>"
+    assert text(linked) == text(f"<div class='comments'><p>{LONG_BODY}</p></div>") == ""
+
+
+@pytest.mark.parametrize("wrapper", ["div class='comments'", "div id=related-posts", "aside", "footer", "nav",
+                                     "div class='site-footer'", "div class='cookie-notice'"])
+def test_boilerplate_is_still_dropped(wrapper):
+    tag = wrapper.split()[0]
+    page = f"<body><article><p>{BODY}</p></article><{wrapper}><p>{BODY}</p></{tag}></body>"
+    assert text(page) == BODY
+    if "footer" not in wrapper and "cookie" not in wrapper:
+        assert text(page.replace(f"<{wrapper}><p>", f"<{wrapper}><article><p>")) == BODY
