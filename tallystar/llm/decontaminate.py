@@ -139,8 +139,12 @@ class Items:
         self.least = self.width + 1 - self.q * (self.edits + 1)
         return self
 
-    def occurrences(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item, start, end, edits) of the windows found, in places of the original text."""
+    def occurrences(self, text: str | None, any_hit: bool = False
+                    ) -> list[tuple[int, int, int, int]]:
+        """(item, start, end, edits) per item found, in places of the original text.
+
+        The first of the windows with the fewest edits, or any window if that is enough.
+        """
         points, origin = normalised(text)
         shared = np.flatnonzero(
             self.member[(h := grams(points, self.q)) >> np.uint64(64 - _FILTER_BITS)])
@@ -158,7 +162,10 @@ class Items:
         item, place, at = item[enough[item]], place[enough[item]], at[enough[item]]
         out: dict[int, tuple[int, int, int, int]] = {}
         for which, diagonal, starts in self._bands(item, place, at) if len(item) else ():
-            if which not in out and (found := self._verify(which, diagonal, starts, points, origin)):
+            if which in out and (any_hit or not out[which][3]):
+                continue                              # no window has fewer edits
+            found = self._verify(which, diagonal, starts, points, origin, any_hit)
+            if found and (which not in out or found[3] < out[which][3]):
                 out[which] = found
         return list(out.values())
 
@@ -197,8 +204,9 @@ class Items:
                        np.flatnonzero(np.cumsum(change) > 0))
 
     def _verify(self, item: int, diagonal: int, starts: np.ndarray, points: np.ndarray,
-                origin: np.ndarray) -> tuple[int, int, int, int] | None:
-        """The first of the windows that aligns with the text around the band's diagonals."""
+                origin: np.ndarray, any_hit: bool) -> tuple[int, int, int, int] | None:
+        """The window that aligns with the fewest edits around the band's diagonals, or any."""
+        best = None
         width, edits = int(self.width[item]), int(self.edits[item])
         pattern, span = self.points[item], width + 4 * edits + 1
         padded = np.concatenate([np.zeros(span, np.uint32), points, np.zeros(span, np.uint32)])
@@ -207,14 +215,16 @@ class Items:
             windows = pattern[at[:, None] + np.arange(width)]
             texts = padded[(begin + span)[:, None] + np.arange(span)]
             found, ends = align(windows, texts)
-            if len(hit := np.flatnonzero(found <= edits)):
-                row = hit[0]
+            row = int(np.argmax(found <= edits) if any_hit else np.argmin(found)) if len(found) else 0
+            if len(found) and found[row] <= (best[3] - 1 if best else edits):
                 end = int(ends[row])
                 _, back = align(windows[row:row + 1, ::-1], texts[row:row + 1, :end][:, ::-1])
                 last = int(begin[row]) + end
-                return (item, int(origin[max(0, last - int(back[0]))]), int(origin[last - 1]) + 1,
+                best = (item, int(origin[max(0, last - int(back[0]))]), int(origin[last - 1]) + 1,
                         int(found[row]))
-        return None
+                if any_hit or not best[3]:
+                    break
+        return best
 
 
 def blocks(benchmark: DataFrame, *, id_col: str = "item_id", text_col: str = "text",
@@ -245,7 +255,8 @@ def blocks(benchmark: DataFrame, *, id_col: str = "item_id", text_col: str = "te
 
 def occurrences(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id",
                 text_col: str = "text", item_col: str = "item_id", **parameters) -> DataFrame:
-    """(id, item, start, end, edits): per document and item the best stretch of the text."""
+    """(id, item, start, end, edits): per document and item the stretch of fewest edits, the first
+    found of several such."""
     kind = docs.schema[id_col].dataType.simpleString()
     item_kind = benchmark.schema[item_col].dataType.simpleString()
     schema = f"id {kind}, item {item_kind}, start long, end long, edits int"
@@ -286,7 +297,7 @@ def without_benchmark(docs: DataFrame, benchmark: DataFrame, *, text_col: str =
         def kept(batches):
             for batch in batches:
                 yield batch.filter(pa.array(
-                    [not held.value.occurrences(t.as_py()) for t in batch.column(at)], pa.bool_()))
+                    [not held.value.occurrences(t.as_py(), any_hit=True) for t in batch.column(at)], pa.bool_()))
         return kept
 
     for held in blocks(benchmark, id_col=item_col, **parameters):

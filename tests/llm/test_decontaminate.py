@@ -138,3 +138,14 @@ def test_short_items_are_one_window(length):
     item = prose(9, 30)[:length].strip(" .")
     block = items([item])
     assert block.least.min() >= 1 and block.occurrences(f"{prose(1, 9)} {item} {prose(2, 9)}")
+
+
+def test_of_several_stretches_the_one_of_fewest_edits():
+    item = prose(1, 40)[:90].strip()
+    block = items([item])
+    for copies in ([edited(item, 4, 3), item], [item, edited(item, 4, 3)]):
+        text = f"{prose(50, 30)} {copies[0]} {prose(51, 30)} {copies[1]} {prose(52, 30)}"
+        (_, start, end, edits), = block.occurrences(text)
+        assert edits == 0 and text[start:end].lower() in item.lower()
+        assert text.index(item) <= start < end <= text.index(item) + len(item)
+        assert len(block.occurrences(text, any_hit=True)) == 1
