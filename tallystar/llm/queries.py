@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystar.llm import (bpe, decontaminate, html_text, jaccard, licenses, line_dedup, merkle,
-                           neighbours, sharding, token_files, toxicity, warc)
+from tallystar.llm import (bpe, collocations, decontaminate, html_text, jaccard, licenses,
+                           line_dedup, merkle, neighbours, sharding, token_files, toxicity, warc)
 from tallystar.llm.common import table
 from tallystar.sources.shared import fresh_path
 
@@ -77,6 +77,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.query(table(spark, sf_dir, "documents"))
 
@@ -96,12 +100,14 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_main_text": op9_main_text,
     "op10_token_files": op10_token_files,
+    "op11_collocations": op11_collocations,
     "op12_line_dedup": op12_line_dedup,
     "op13_merkle": op13_merkle,
 }
 
 ORACLES: dict[str, str] = {
     "op4_warc": warc.ORACLE,
+    "op11_collocations": collocations.ORACLE,
     "op12_line_dedup": line_dedup.ORACLE,
     "op13_merkle": merkle.ORACLE,
 }
