@@ -62,7 +62,7 @@ def drop_common_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     ident = F.col("doc").getField(id_col)
     named = rows.select("row", "doc", ident.alias("id"),
                         F.when(ident.isNull(), F.col("row")).alias("own"))
-    lines = _lines(named, text, min_chars)
+    lines = written(_lines(named, text, min_chars), "lines")
     common = written(common_lines(lines, min_docs), "common")
     hot = common.orderBy(F.desc("n_docs"), "hash").limit(HOT_KEYS)
     found = salted_join(lines.select("row", "pos", "hash"), common.select("hash"), "hash", hot,
