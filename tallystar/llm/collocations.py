@@ -4,12 +4,12 @@ A text is lower-cased (A-Z), cut into pieces at `[.,;:!?\\x0A-\\x0D]` and these
 `[^\\x20\\x09]+`. Every word begins a suffix, of which the first `max_words` words of its piece
 matter. Counts and scores are per language (null: `und`).
 
-1. Words and neighbouring pairs are counted by 64-bit hashes. Those that are frequent set bits
-   in a filter of fixed size. A hash stands for at least the count of each word or pair that has
-   it, so the filter may let an infrequent one pass, but never stops a frequent one.
-2. Suffixes are cut where the filter stops them, equal ones of a stretch of text become one
-   pointer with a weight, and pointers are routed by their leading words: ranges of the words'
-   text, whose bounds Spark finds, so that many suffixes with one leading word fill many ranges.
+1. Pairs of neighbouring words are counted by 64-bit hashes. Those that are frequent set bits in
+   a filter of fixed size. A hash stands for at least the count of each pair that has it, so the
+   filter may let an infrequent pair pass, but never stops a frequent one.
+2. Suffixes are cut at pairs that the filter stops, equal ones of a task become one pointer with
+   a weight, and pointers are routed by their leading words: ranges of the words' text, whose
+   bounds Spark finds, so that many suffixes with one leading word fill many ranges.
 3. In each range, multikey three-way quicksort splits the pointers word by word down to
    `max_words`. The weight of an equal partition is the count of the phrase that its pointers
    share; a partition below the minimum is abandoned. Only the partitions that hold the first
@@ -35,11 +35,12 @@ from pyspark.sql import functions as F
 
 from tallystar.llm.common import in_batches, written
 
-#: Bytes of text within which equal suffixes meet before they are sent.
-STRETCH_BYTES = 12_000_000
+#: Bytes of text that are worked on at once, and pointers within which equal ones meet before
+#: they are sent: these bound a task's memory.
+STRETCH_BYTES, HELD_ROWS = 6_000_000, 1_500_000
 #: Pointers of one range: bounds a task's memory.
 RANGE_ROWS = 1_000_000
-#: Bits of the filter of frequent words and pairs: 16 MB whatever the corpus.
+#: Bits of the filter of frequent pairs: 16 MB whatever the corpus.
 FILTER_BITS = 1 << 27
 
 _WORD, _BREAK = 0, 2
@@ -106,20 +107,14 @@ def _stretches(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Words]:
 
 
 def _counted_keys(stretch_bytes: int):
-    """(lang, key, count): the words per language, and words and pairs by their hashes."""
+    """(lang, key, count): the words per language, and the pairs by their hashes."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for words in _stretches(batches, stretch_bytes):
             totals = np.bincount(words.lang, minlength=len(words.langs))
-            single, first, place, often = np.unique(
-                words.lang * max(1, len(words.names)) + words.word, return_index=True,
-                return_inverse=True, return_counts=True)
             before = np.flatnonzero(words.follows)
-            pair, pairs = np.unique(place[before] * max(1, len(single)) + place[before + 1],
-                                    return_counts=True)
-            names = words.key[first]
-            joint = _pair_keys(names[pair // max(1, len(single))], names[pair % max(1, len(single))])
+            joint, pairs = np.unique(_pair_keys(words.key[before], words.key[before + 1]),
+                                     return_counts=True)
             for langs, keys, counts in ((words.langs, np.zeros(len(words.langs), np.int64), totals),
-                                        (None, names.view(np.int64), often),
                                         (None, joint.view(np.int64), pairs)):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(langs, pa.string()) if langs is not None
@@ -152,7 +147,7 @@ def _pointers(bits: np.ndarray, max_words: int, words: Words) -> pa.RecordBatch:
     next to each other in the order of their text.
     """
     n = len(words.word)
-    start = np.flatnonzero(_passes(bits, words.key))
+    start = np.arange(n)
     joined = np.zeros(n + max_words, bool)
     joined[:max(0, n - 1)] = words.follows
     joined[:max(0, n - 1)] &= _passes(bits, _pair_keys(words.key[:-1], words.key[1:]))
@@ -184,6 +179,12 @@ def _pointers(bits: np.ndarray, max_words: int, words: Words) -> pa.RecordBatch:
          pa.concat_arrays(texts), pa.array(weight)], ["lang", "suffix", "n"])
 
 
+def _merged(held: list[pa.RecordBatch]) -> pa.Table:
+    """The pointers with equal ones added up."""
+    sums = pa.Table.from_batches(held).group_by(["lang", "suffix"]).aggregate([("n", "sum")])
+    return sums.rename_columns({"n_sum": "n"}).select(["lang", "suffix", "n"])
+
+
 def multikey_quicksort(keys: np.ndarray, weights: np.ndarray, least: int, open_rows: np.ndarray
                        ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, depth, weight) of the equal partitions of weight `least` or more, at every depth.
@@ -280,9 +281,19 @@ def frequent_phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str =
     held = spark.sparkContext.broadcast(_filter(keys.where("lang IS NULL").select("key")))
 
     def suffixes(batches):
+        met, rows = [], 0
         for words in _stretches(batches, stretch_bytes):
             if len(words.word):
-                yield _pointers(held.value, max_words, words)
+                met.append(_pointers(held.value, max_words, words))
+                rows += met[-1].num_rows
+            if rows >= HELD_ROWS:
+                merged = _merged(met)
+                met, rows = merged.to_batches(), merged.num_rows
+                if 2 * rows >= HELD_ROWS:                # too many are different
+                    yield from met
+                    met, rows = [], 0
+        if met:
+            yield from _merged(met).to_batches()
 
     pointers = written(in_batches(texts, suffixes, "lang string, suffix string, n long"),
                        "pointers")
