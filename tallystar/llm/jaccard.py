@@ -10,13 +10,16 @@ number of differing blocks never exceeds the symmetric difference. Taking the no
 blocks as tokens, A and B therefore share one among the first |A| / 4 + 1 of each in any
 common order (here: blocks of many elements first, which shared passages fill least). The
 number of blocks is fixed per size band; a set near the next band also gives that band's
-tokens. A second sketch of 512 parity bits, one flip per element, drops
-pairs whose Hamming distance is larger than the symmetric difference allowed; the rest are
-verified on the sets, which are computed again from the texts of the documents concerned.
+tokens. A second sketch, one flip per element, has as many parity bits as the largest set of
+the band has elements (512 at least), and folds to that of the band below. It drops pairs whose
+Hamming distance is larger than the symmetric difference allowed; the rest are verified on the
+sets, which are computed again from the texts of the documents concerned.
 
-Copies and near copies are not expanded into pairs. First every document is compared with
-the least one that shares a token and passes the sketches; then only documents of one token
-that are still in different components are compared, in tiles of bounded size.
+Copies and near copies are not expanded into pairs. The documents of a token are compared in
+tiles of bounded size, and in every round each document gives only its closest partner by sketch
+from another component, so the pairs of a round are as many as the tokens at most. Links merge
+components; rounds go on while that leaves much to compare. At the end all pairs that still lie
+in different components and pass the sketches are verified, so no link is lost.
 
 Only the named id and text columns are read. Equal texts form one class whatever their ids;
 a null id never is a component's id unless all are null. Repeated rows give repeated rows.
@@ -25,20 +28,23 @@ a null id never is a component's id unless all are null. Repeated rows give repe
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.llm.common import chunks, in_batches, written
 from tallystar.llm.components import components
 
 CHUNK_BYTES = 4_000_000
-SKETCH_WORDS = 8
+#: The sketch of a small set; those of larger bands double.
+SKETCH_BITS = 512
 #: Documents of one token that one task compares with as many others at a time.
 TILE = 1500
+#: Rounds end when documents have so few partners left on average.
+FEW_PARTNERS = 3
 #: Bits of the filter by which texts are chosen for verification: 16 MB whatever the corpus.
 FILTER_BITS = 1 << 27
 
@@ -96,10 +102,20 @@ def _identity(elements: np.ndarray) -> bytes:
             + np.bitwise_xor.reduce(elements, initial=np.uint64(0)).tobytes())
 
 
-def _sketch(elements: np.ndarray) -> np.ndarray:
-    flips = np.bincount((elements & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64),
-                        minlength=64 * SKETCH_WORDS) & 1
-    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+def _sketch(elements: np.ndarray, bits: int) -> bytes:
+    flips = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(flips.astype(np.uint8)).tobytes()
+
+
+def _folded(sketches: pa.Array, size: int) -> np.ndarray:
+    """Sketches of `size` bytes or a multiple as rows of 64-bit words, folded to `size` bytes."""
+    out = np.empty((len(sketches), size // 8), np.uint64)
+    lengths = pc.binary_length(sketches).to_numpy()
+    for length in np.unique(lengths):
+        at = np.flatnonzero(lengths == length)
+        data = np.frombuffer(b"".join(sketches.take(pa.array(at)).to_pylist()), np.uint64)
+        out[at] = np.bitwise_xor.reduce(data.reshape(len(at), length // size, size // 8), axis=1)
+    return out
 
 
 def _tokens(elements: np.ndarray, band: int, prefix: int) -> np.ndarray:
@@ -122,15 +138,16 @@ def _tokens(elements: np.ndarray, band: int, prefix: int) -> np.ndarray:
     return out
 
 
-def tokens(elements: np.ndarray, percent: int) -> np.ndarray:
-    """All tokens under which a set meets every set that it may link with."""
+def tokens(elements: np.ndarray, percent: int) -> tuple[np.ndarray, int]:
+    """All tokens under which a set meets every set it may link with, and its sketch's bits."""
     n = len(elements)
     prefix = n * (100 - percent) // percent + 1      # the most elements that may differ, and one
     band = n.bit_length() - 1
     out = [_tokens(elements, band, prefix)]
     if 100 * n >= percent * 2 ** (band + 1):         # a partner may be in the next band
-        out.append(_tokens(elements, band + 1, prefix))
-    return np.concatenate(out)
+        band += 1
+        out.append(_tokens(elements, band, prefix))
+    return np.concatenate(out), max(SKETCH_BITS, 2 ** (band + 1))
 
 
 def _described(batches: Iterator[pa.RecordBatch], words: int, percent: int
@@ -149,36 +166,31 @@ def _described(batches: Iterator[pa.RecordBatch], words: int, percent: int
                 met.add(name)
                 names.append(name)
                 sizes.append(len(elements))
-                sketches.append(_sketch(elements))
-                keys.append(tokens(elements, percent).view(np.int64) if new else None)
-            matrix = np.stack(sketches)
+                own, bits = tokens(elements, percent) if new else (None, 0)
+                sketches.append(_sketch(elements, bits) if new else None)
+                keys.append(own.view(np.int64) if new else None)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c).slice(start, len(texts)) for c in ("id", "mark")),
-                 pa.array(names, pa.binary()),
-                 pa.array(sizes, pa.int64()),
-                 *(pa.array(np.ascontiguousarray(matrix[:, i])) for i in range(SKETCH_WORDS)),
-                 pa.array(keys, pa.list_(pa.int64()))],
-                ["id", "mark", "class", "n", *(f"s{i}" for i in range(SKETCH_WORDS)), "tokens"])
+                 pa.array(names, pa.binary()), pa.array(sizes, pa.int64()),
+                 pa.array(sketches, pa.binary()), pa.array(keys, pa.list_(pa.int64()))],
+                ["id", "mark", "class", "n", "sketch", "tokens"])
 
 
 def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in order of (token, node), those whose token has another node, with its least."""
+    """Of rows in order of the token, those whose token has another row."""
     token = np.empty(0, np.int64)
     node = np.empty(0, np.int64)
-    first: tuple[int, int] | None = None             # token and least node of a run begun before
+    last: int | None = None                          # token of a run begun before
 
-    def emit(t: np.ndarray, n: np.ndarray, open_run: tuple[int, int] | None):
+    def emit(t: np.ndarray, n: np.ndarray, open_run: int | None):
         starts = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]]))
         sizes = np.diff(np.append(starts, len(t)))
-        least = n[starts]
         shared = sizes > 1
-        if open_run is not None and t[0] == open_run[0]:
-            least[0], shared[0] = open_run[1], True
+        shared[0] |= open_run is not None and t[0] == open_run
         keep = np.repeat(shared, sizes)
-        rows = pa.RecordBatch.from_arrays(
-            [pa.array(t[keep]), pa.array(n[keep]), pa.array(np.repeat(least, sizes)[keep])],
-            ["token", "node", "least"])
-        return rows, (int(t[-1]), int(least[-1]))
+        rows = pa.RecordBatch.from_arrays([pa.array(t[keep]), pa.array(n[keep])],
+                                          ["token", "node"])
+        return rows, int(t[-1])
 
     for batch in batches:
         if not batch.num_rows:
@@ -188,29 +200,21 @@ def _shared_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         # The last row waits, since only the next one shows whether its token is shared.
         if len(token) > 1:
             held = 1 if token[-1] != token[-2] else 0
-            rows, first = emit(token[:len(token) - held], node[:len(node) - held], first)
+            rows, last = emit(token[:len(token) - held], node[:len(node) - held], last)
             if held == 0:
                 token, node = np.empty(0, np.int64), np.empty(0, np.int64)
             else:
                 token, node = token[-1:], node[-1:]
             yield rows
     if len(token):
-        yield emit(token, node, first)[0]
-
+        yield emit(token, node, last)[0]
 
-def _may_link(a: str, b: str, percent: int) -> Column:
-    """Whether sizes and the Hamming distance of the sketches allow a link."""
-    distance = reduce(lambda x, y: x + y, (F.bit_count(F.col(f"{a}.s{i}").bitwiseXOR(
-        F.col(f"{b}.s{i}"))) for i in range(SKETCH_WORDS)))
-    small, large = F.least(f"{a}.n", f"{b}.n"), F.greatest(f"{a}.n", f"{b}.n")
-    return ((100 * small >= percent * large)
-            & (distance * (100 + percent) <= (small + large) * (100 - percent)))
 
-
-def _tile_pairs(percent: int):
+def _tile_pairs(percent: int, all_pairs: bool):
     """Pairs between the sides of each tile that differ in component and pass the sketches.
 
     Rows come in order of (token, i, j, side); many small tiles are paired in one operation.
+    Either all pairs (a > b) are given, or for each row a the closest b and the number of others.
     """
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -219,10 +223,10 @@ def _tile_pairs(percent: int):
             rest = pa.concat_tables([rest, rows]).combine_chunks() if rest is not None else rows
             bounds = _tile_bounds(rest)
             if len(bounds) > 2:                       # the last tile may go on
-                yield from _paired(rest.slice(0, int(bounds[-2])), bounds[:-1], percent)
+                yield from _paired(rest.slice(0, int(bounds[-2])), bounds[:-1], percent, all_pairs)
                 rest = rest.slice(int(bounds[-2]))
         if rest is not None and rest.num_rows:
-            yield from _paired(rest, _tile_bounds(rest), percent)
+            yield from _paired(rest, _tile_bounds(rest), percent, all_pairs)
 
     return pairs
 
@@ -233,15 +237,29 @@ def _tile_bounds(rows: pa.Table) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(new) + 1, [len(token)]])
 
 
-def _paired(rows: pa.Table, bounds: np.ndarray, percent: int, most: int = 4_000_000
+def _paired(rows: pa.Table, bounds: np.ndarray, percent: int, all_pairs: bool
             ) -> Iterator[pa.RecordBatch]:
-    # Unsigned, as numpy counts the bits of a negative number in its absolute value.
-    sketch = np.stack([rows[f"s{i}"].to_numpy() for i in range(SKETCH_WORDS)], 1).view(np.uint64)
+    """The pairs of tiles whose sketches have one length, all such tiles together."""
+    rows = rows.combine_chunks()
+    sketches = rows["sketch"].chunk(0)
+    # A band's sketches have its length, or twice that of sets that belong to the next one too.
+    size = np.minimum.reduceat(pc.binary_length(sketches).to_numpy(), bounds[:-1])
+    for length in np.unique(size):
+        tiles = np.flatnonzero(size == length)
+        lengths = bounds[tiles + 1] - bounds[tiles]
+        at = np.repeat(bounds[tiles] - (np.cumsum(lengths) - lengths), lengths)
+        at += np.arange(len(at))
+        yield from _paired_alike(rows.take(pa.array(at)), _folded(sketches.take(pa.array(at)),
+                                 int(length)), np.append(0, np.cumsum(lengths)), percent, all_pairs)
+
+
+def _paired_alike(rows: pa.Table, sketch: np.ndarray, bounds: np.ndarray, percent: int,
+                  all_pairs: bool, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     node, label, n, side = (rows[c].to_numpy() for c in ("node", "label", "n", "side"))
     starts, ends = bounds[:-1], bounds[1:]
     rights = np.add.reduceat(side, starts)
     lefts = ends - starts - rights
-    # Every left row meets the right rows of its tile, at most `most` pairs at a time.
+    # Every left row meets the right rows of its tile, about `most` pairs at a time.
     row = np.flatnonzero(side == 0)
     begin, size = np.repeat(starts + lefts, lefts), np.repeat(rights, lefts)
     step = np.searchsorted(np.cumsum(size), np.arange(0, size.sum() + most, most))
@@ -251,17 +269,33 @@ def _paired(rows: pa.Table, bounds: np.ndarray, percent: int, most: int = 4_000_
         x = np.repeat(row[a:b], size[a:b])
         y = np.arange(len(x)) - np.repeat(np.cumsum(size[a:b]) - size[a:b], size[a:b])
         y += np.repeat(begin[a:b], size[a:b])
-        total = n[x] + n[y]
-        ok = ((label[x] != label[y]) & (node[x] != node[y])
+        ok = ((label[x] != label[y])
               & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])))
-        x, y, total = x[ok], y[ok], total[ok]
+        x, y = x[ok], y[ok]
+        allowed = (n[x] + n[y]) * (100 - percent) // (100 + percent)
         apart = np.zeros(len(x), np.int64)
-        for k in range(SKETCH_WORDS):
+        # A part of the bits bounds the difference too, so distant pairs go early.
+        for k in range(sketch.shape[1]):
             apart += np.bitwise_count(sketch[x, k] ^ sketch[y, k])
-        ok = apart * (100 + percent) <= total * (100 - percent)
-        found = np.unique(np.stack([np.maximum(node[x], node[y])[ok],
-                                    np.minimum(node[x], node[y])[ok]], 1), axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+            if k % 8 == 7:
+                ok = apart <= allowed
+                x, y, apart, allowed = x[ok], y[ok], apart[ok], allowed[ok]
+        if all_pairs:
+            found = np.unique(np.stack([np.maximum(node[x], node[y]),
+                                        np.minimum(node[x], node[y])], 1), axis=0)
+            found = np.column_stack([found, np.zeros(len(found), np.int64)])
+        else:
+            found = _closest(node[np.append(x, y)], node[np.append(y, x)], np.append(apart, apart))
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, c]) for c in range(3)],
+                                         ["a", "b", "others"])
+
+
+def _closest(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
+    """Per a: a, the b that is least apart (ties: the least b), and how many other b it has."""
+    order = np.lexsort((b, apart, a))
+    a, b = a[order], b[order]
+    first = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else order
+    return np.column_stack([a[first], b[first], np.diff(np.append(first, len(a))) - 1])
 
 
 class JaccardJoin:
@@ -272,25 +306,40 @@ class JaccardJoin:
         self.kind = docs.schema[id_col].dataType.simpleString()
         self.texts = docs.select(F.col(id_col).alias("id"),
                                  F.col(text_col).cast("binary").alias("text"))
-        sketch = ", ".join(f"s{i} long" for i in range(SKETCH_WORDS))
         marked = self.texts.withColumn("mark", F.unhex(F.md5("text")))
         described = in_batches(
             marked, lambda batches: _described(batches, words, percent),
-            f"id {self.kind}, mark binary, class binary, n long, {sketch}, tokens array<long>")
+            f"id {self.kind}, mark binary, class binary, n long, sketch binary, tokens array<long>")
         self.rows = written(described.withColumn("node", F.monotonically_increasing_id()), "sets")
         self.nodes = self.rows.where("tokens IS NOT NULL")
 
     def linked(self) -> DataFrame:
         """(a, b) edges between nodes that yield the components of all links."""
         pairs = self.nodes.select(F.explode("tokens").alias("token"), "node")
-        self.shared = written(in_batches(
-            pairs.repartition("token").sortWithinPartitions("token", "node"),
-            _shared_tokens, "token long, node long, least long"), "tokens")
-        same = self._same_class()
-        first = self._verified(self._least_candidates())
-        labels = components(same.union(first))
-        second = self._verified(self._open_candidates(labels, first))
-        return written(same.union(first).union(second), "links")
+        shared = written(in_batches(pairs.repartition("token").sortWithinPartitions("token"),
+                                    _shared_tokens, "token long, node long"), "tokens")
+        edges, tested, sets = self._same_class(), None, None
+        while True:
+            labels = components(edges)
+            found = written(self._pairs(shared, labels, all_pairs=False), "pairs")
+            partners = found.agg(F.count("*").alias("rows"), F.sum("others").alias("others")).first()
+            if not partners.rows:
+                return edges
+            # Who has no partner now will have none later: components only grow.
+            open_nodes = written(found.select(F.col("a").alias("node")).distinct(), "open")
+            shared = written(shared.join(open_nodes, "node", "left_semi"), "tokens")
+            if sets is None:
+                sets = written(self._sets(open_nodes), "sets")
+            pairs = _ordered(found)
+            pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"),
+                            "pairs")
+            links = self._verified(pairs, sets)
+            edges, merged = edges.union(links), not links.isEmpty()
+            tested = pairs if tested is None else tested.union(pairs)
+            if not merged or partners.others <= FEW_PARTNERS * partners.rows:
+                rest = _ordered(self._pairs(shared, components(edges), all_pairs=True))
+                rest = written(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
+                return edges.union(self._verified(rest, sets))
 
     def _same_class(self) -> DataFrame:
         """Nodes of one class that several tasks described, each with the least of them."""
@@ -299,24 +348,9 @@ class JaccardJoin:
         return written(self.nodes.join(several, "class").where("node > b")
                        .select(F.col("node").alias("a"), "b"), "links")
 
-    def _sketches(self, name: str) -> DataFrame:
-        return self.nodes.select("node", "n", *(f"s{i}" for i in range(SKETCH_WORDS))).alias(name)
-
-    def _least_candidates(self) -> DataFrame:
-        """Per node, the least node that shares a token and passes the sketches."""
-        pairs = written(self.shared.where("node > least").groupBy("node", "least").agg(
-            F.count("*").alias("times")), "pairs")
-        x, y = self._sketches("x"), self._sketches("y")
-        held = pairs.join(x, F.col("x.node") == pairs.node).select(
-            F.col("x.node").alias("a"), pairs.least.alias("b"),
-            F.struct("x.n", *(f"x.s{i}" for i in range(SKETCH_WORDS))).alias("v"))
-        return (held.join(y, F.col("y.node") == F.col("b"))
-                .where(_may_link("v", "y", self.percent))
-                .groupBy("a").agg(F.min("b").alias("b")))
-
-    def _open_candidates(self, labels: DataFrame, tested: DataFrame) -> DataFrame:
-        """Pairs that share a token, pass the sketches and are not yet in one component."""
-        named = written(self.shared.select("token", "node").join(labels, "node", "left")
+    def _pairs(self, shared: DataFrame, labels: DataFrame, all_pairs: bool) -> DataFrame:
+        """(a, b, others) that share a token, pass the sketches and are not in one component."""
+        named = written(shared.join(labels, "node", "left")
                         .withColumn("label", F.coalesce("label", "node")), "tokens")
         mixed = written(named.groupBy("token").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
@@ -324,32 +358,28 @@ class JaccardJoin:
         sides = F.ceil(F.col("size") / TILE).cast("int")
         own = F.pmod(F.xxhash64("node"), sides).cast("int")
         placed = (named.join(mixed, "token").withColumn("sides", sides).withColumn("own", own)
-                  .join(self._sketches("k"), "node"))
+                  .join(self.nodes.select("node", "n", "sketch"), "node"))
         # Tile (i, j), i <= j, compares part i (side 0) with part j (side 1) of a token.
         tiles = placed.select("*", F.explode(F.expr("""concat(
             transform(sequence(own, sides - 1), j -> struct(own AS i, j AS j, 0 AS side)),
             transform(sequence(0, own), i -> struct(i AS i, own AS j, 1 AS side)))""")).alias("at"))
-        columns = ["token", "at.i", "at.j", "at.side", "node", "label", "n",
-                   *(f"s{i}" for i in range(SKETCH_WORDS))]
+        columns = ["token", "at.i", "at.j", "at.side", "node", "label", "n", "sketch"]
         return in_batches(tiles.select(*columns).repartition("token", "i", "j")
                           .sortWithinPartitions("token", "i", "j", "side"),
-                          _tile_pairs(self.percent), "a long, b long").distinct()
+                          _tile_pairs(self.percent, all_pairs), "a long, b long, others long")
 
-    def _verified(self, candidates: DataFrame) -> DataFrame:
+    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose sets link, decided on the sets."""
-        pairs = written(candidates, "pairs")
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        wanted = written(self.nodes.join(ends, "node").select("node", "id", "class"), "wanted")
-        sets = written(self._sets(wanted), "sets")
         left = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a")
         both = left.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))
         union = F.size("x") + F.size("y") - common
         return written(both.where(100 * common >= self.percent * union).select("a", "b"), "links")
 
-    def _sets(self, wanted: DataFrame) -> DataFrame:
+    def _sets(self, nodes: DataFrame) -> DataFrame:
         """(node, elements): the texts that may be wanted are found by a filter of fixed size."""
-        spark = wanted.sparkSession
+        spark = nodes.sparkSession
+        wanted = written(self.nodes.join(nodes, "node").select("node", "id", "class"), "wanted")
         bits = np.zeros(FILTER_BITS // 64, np.int64)
         place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
         masks = (wanted.select((place / 64).cast("long").alias("word"),
@@ -397,6 +427,10 @@ class JaccardJoin:
             .otherwise(F.coalesce("low", "id")).alias("component"))
 
 
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = 5, percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id) per row, the least id of the linked documents.
