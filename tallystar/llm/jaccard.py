@@ -43,8 +43,9 @@ CHUNK_BYTES = 4_000_000
 SKETCH_BITS = 512
 #: Documents of one token that one task compares with as many others at a time.
 TILE = 1500
-#: Rounds end when documents have so few partners left on average.
-FEW_PARTNERS = 3
+#: Rounds end when documents have so few partners left on average, or when fewer than one in so
+#: many is linked: what is left to compare then grows with the documents, not with its square.
+FEW_PARTNERS, FEW_LINKS = 3, 10
 #: Bits of the filter by which texts are chosen for verification: 16 MB whatever the corpus.
 FILTER_BITS = 1 << 27
 
@@ -214,7 +215,7 @@ def _tile_pairs(percent: int, all_pairs: bool):
     """Pairs between the sides of each tile that differ in component and pass the sketches.
 
     Rows come in order of (token, i, j, side); many small tiles are paired in one operation.
-    Either all pairs (a > b) are given, or for each row a the closest b and the number of others.
+    Either all pairs (a > b) are given, or for each row a of a tile the closest b.
     """
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
@@ -257,18 +258,18 @@ def _paired_alike(rows: pa.Table, sketch: np.ndarray, bounds: np.ndarray, percen
                   all_pairs: bool, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
     node, label, n, side = (rows[c].to_numpy() for c in ("node", "label", "n", "side"))
     starts, ends = bounds[:-1], bounds[1:]
-    rights = np.add.reduceat(side, starts)
-    lefts = ends - starts - rights
-    # Every left row meets the right rows of its tile, about `most` pairs at a time.
-    row = np.flatnonzero(side == 0)
-    begin, size = np.repeat(starts + lefts, lefts), np.repeat(rights, lefts)
+    right = np.repeat(ends - np.add.reduceat((side == 1).astype(np.int64), starts), ends - starts)
+    # Every left row meets the right rows of its tile, and every row of a tile without sides the
+    # rows after it, about `most` pairs at a time.
+    row = np.flatnonzero(side != 1)
+    begin = np.where(side == 2, np.arange(len(side)) + 1, right)[row]
+    size = np.repeat(ends, ends - starts)[row] - begin
     step = np.searchsorted(np.cumsum(size), np.arange(0, size.sum() + most, most))
     for a, b in zip(step, np.append(step[1:], len(row))):
         if a >= b:
             continue
         x = np.repeat(row[a:b], size[a:b])
-        y = np.arange(len(x)) - np.repeat(np.cumsum(size[a:b]) - size[a:b], size[a:b])
-        y += np.repeat(begin[a:b], size[a:b])
+        y = np.arange(len(x)) + np.repeat(begin[a:b] - np.cumsum(size[a:b]) + size[a:b], size[a:b])
         ok = ((label[x] != label[y])
               & (100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])))
         x, y = x[ok], y[ok]
@@ -283,19 +284,20 @@ def _paired_alike(rows: pa.Table, sketch: np.ndarray, bounds: np.ndarray, percen
         if all_pairs:
             found = np.unique(np.stack([np.maximum(node[x], node[y]),
                                         np.minimum(node[x], node[y])], 1), axis=0)
-            found = np.column_stack([found, np.zeros(len(found), np.int64)])
+            found = np.column_stack([found, np.zeros((len(found), 2), np.int64)])
         else:
             found = _closest(node[np.append(x, y)], node[np.append(y, x)], np.append(apart, apart))
-        yield pa.RecordBatch.from_arrays([pa.array(found[:, c]) for c in range(3)],
-                                         ["a", "b", "others"])
+        yield pa.RecordBatch.from_arrays([pa.array(found[:, c]) for c in range(4)],
+                                         ["a", "b", "apart", "others"])
 
 
 def _closest(a: np.ndarray, b: np.ndarray, apart: np.ndarray) -> np.ndarray:
-    """Per a: a, the b that is least apart (ties: the least b), and how many other b it has."""
+    """Per a: the b that is least apart (ties: the least b), how far, and how many others it has."""
     order = np.lexsort((b, apart, a))
-    a, b = a[order], b[order]
+    a, b, apart = a[order], b[order], apart[order]
     first = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else order
-    return np.column_stack([a[first], b[first], np.diff(np.append(first, len(a))) - 1])
+    return np.column_stack([a[first], b[first], apart[first],
+                            np.diff(np.append(first, len(a))) - 1])
 
 
 class JaccardJoin:
@@ -321,7 +323,9 @@ class JaccardJoin:
         edges, tested, sets = self._same_class(), None, None
         while True:
             labels = components(edges)
-            found = written(self._pairs(shared, labels, all_pairs=False), "pairs")
+            found = written(self._pairs(shared, labels, all_pairs=False).groupBy("a").agg(
+                F.min(F.struct("apart", "b")).alias("to"), F.max("others").alias("others"))
+                .select("a", "to.b", "others"), "pairs")
             partners = found.agg(F.count("*").alias("rows"), F.sum("others").alias("others")).first()
             if not partners.rows:
                 return edges
@@ -334,9 +338,10 @@ class JaccardJoin:
             pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"),
                             "pairs")
             links = self._verified(pairs, sets)
-            edges, merged = edges.union(links), not links.isEmpty()
+            edges, linked = edges.union(links), links.count()
             tested = pairs if tested is None else tested.union(pairs)
-            if not merged or partners.others <= FEW_PARTNERS * partners.rows:
+            if (FEW_LINKS * linked <= partners.rows
+                    or partners.others <= FEW_PARTNERS * partners.rows):
                 rest = _ordered(self._pairs(shared, components(edges), all_pairs=True))
                 rest = written(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
                 return edges.union(self._verified(rest, sets))
@@ -349,7 +354,7 @@ class JaccardJoin:
                        .select(F.col("node").alias("a"), "b"), "links")
 
     def _pairs(self, shared: DataFrame, labels: DataFrame, all_pairs: bool) -> DataFrame:
-        """(a, b, others) that share a token, pass the sketches and are not in one component."""
+        """(a, b, apart, others) that share a token, pass the sketches and lie in two components."""
         named = written(shared.join(labels, "node", "left")
                         .withColumn("label", F.coalesce("label", "node")), "tokens")
         mixed = written(named.groupBy("token").agg(
@@ -359,14 +364,15 @@ class JaccardJoin:
         own = F.pmod(F.xxhash64("node"), sides).cast("int")
         placed = (named.join(mixed, "token").withColumn("sides", sides).withColumn("own", own)
                   .join(self.nodes.select("node", "n", "sketch"), "node"))
-        # Tile (i, j), i <= j, compares part i (side 0) with part j (side 1) of a token.
-        tiles = placed.select("*", F.explode(F.expr("""concat(
-            transform(sequence(own, sides - 1), j -> struct(own AS i, j AS j, 0 AS side)),
-            transform(sequence(0, own), i -> struct(i AS i, own AS j, 1 AS side)))""")).alias("at"))
+        # Tile (i, j) compares part i (side 0) of a token with part j (side 1), or i with itself.
+        tiles = placed.select("*", F.explode(F.expr("""transform(sequence(0, sides - 1), other ->
+            struct(least(own, other) AS i, greatest(own, other) AS j,
+                   CASE WHEN own < other THEN 0 WHEN own > other THEN 1 ELSE 2 END AS side))"""))
+            .alias("at"))
         columns = ["token", "at.i", "at.j", "at.side", "node", "label", "n", "sketch"]
         return in_batches(tiles.select(*columns).repartition("token", "i", "j")
                           .sortWithinPartitions("token", "i", "j", "side"),
-                          _tile_pairs(self.percent, all_pairs), "a long, b long, others long")
+                          _tile_pairs(self.percent, all_pairs), "a long, b long, apart long, others long")
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose sets link, decided on the sets."""

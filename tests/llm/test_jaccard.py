@@ -135,7 +135,7 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     r = random.Random(9)
     base = [f"w{r.randrange(400)}" for _ in range(100)]
     made = []
-    for copies in (75, 300):
+    for copies in (40, 160):
         texts = []
         for _ in range(copies):
             near = list(base)
