@@ -11,7 +11,7 @@ blocks as tokens, A and B therefore share one among the first |A| / 4 + 1 of eac
 common order (here: blocks of many elements first, which shared passages fill least). The
 number of blocks is fixed per size band; a set near the next band also gives that band's
 tokens. A second sketch, one flip per element, has as many parity bits as the largest set of
-the band has elements (512 at least), and folds to that of the band below. It drops pairs whose
+the band has elements (128 at least), and folds to that of the band below. It drops pairs whose
 Hamming distance is larger than the symmetric difference allowed; the rest are verified on the
 sets, which are computed again from the texts of the documents concerned.
 
@@ -40,12 +40,12 @@ from tallystar.llm.components import components
 
 CHUNK_BYTES = 4_000_000
 #: The sketch of a small set; those of larger bands double.
-SKETCH_BITS = 512
+SKETCH_BITS = 128
 #: Documents of one token that one task compares with as many others at a time.
 TILE = 1500
 #: Rounds end when documents have so few partners left on average, or when fewer than one in so
 #: many is linked: what is left to compare then grows with the documents, not with its square.
-FEW_PARTNERS, FEW_LINKS = 3, 10
+FEW_PARTNERS, FEW_LINKS = 3, 3
 #: Bits of the filter by which texts are chosen for verification: 16 MB whatever the corpus.
 FILTER_BITS = 1 << 27
 
@@ -278,7 +278,7 @@ def _paired_alike(rows: pa.Table, sketch: np.ndarray, bounds: np.ndarray, percen
         # A part of the bits bounds the difference too, so distant pairs go early.
         for k in range(sketch.shape[1]):
             apart += np.bitwise_count(sketch[x, k] ^ sketch[y, k])
-            if k % 8 == 7:
+            if k % 8 == 7 or k + 1 == sketch.shape[1]:
                 ok = apart <= allowed
                 x, y, apart, allowed = x[ok], y[ok], apart[ok], allowed[ok]
         if all_pairs:
@@ -315,20 +315,20 @@ class JaccardJoin:
         self.rows = written(described.withColumn("node", F.monotonically_increasing_id()), "sets")
         self.nodes = self.rows.where("tokens IS NOT NULL")
 
-    def linked(self) -> DataFrame:
-        """(a, b) edges between nodes that yield the components of all links."""
+    def labels(self) -> DataFrame:
+        """(node, label) of all nodes with links; the label is the least node of the component."""
         pairs = self.nodes.select(F.explode("tokens").alias("token"), "node")
         shared = written(in_batches(pairs.repartition("token").sortWithinPartitions("token"),
                                     _shared_tokens, "token long, node long"), "tokens")
         edges, tested, sets = self._same_class(), None, None
+        labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
         while True:
-            labels = components(edges)
             found = written(self._pairs(shared, labels, all_pairs=False).groupBy("a").agg(
                 F.min(F.struct("apart", "b")).alias("to"), F.max("others").alias("others"))
                 .select("a", "to.b", "others"), "pairs")
             partners = found.agg(F.count("*").alias("rows"), F.sum("others").alias("others")).first()
             if not partners.rows:
-                return edges
+                return components(edges)
             # Who has no partner now will have none later: components only grow.
             open_nodes = written(found.select(F.col("a").alias("node")).distinct(), "open")
             shared = written(shared.join(open_nodes, "node", "left_semi"), "tokens")
@@ -342,9 +342,12 @@ class JaccardJoin:
             tested = pairs if tested is None else tested.union(pairs)
             if (FEW_LINKS * linked <= partners.rows
                     or partners.others <= FEW_PARTNERS * partners.rows):
-                rest = _ordered(self._pairs(shared, components(edges), all_pairs=True))
+                labels = components(edges) if linked else labels
+                rest = _ordered(self._pairs(shared, labels, all_pairs=True))
                 rest = written(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
-                return edges.union(self._verified(rest, sets))
+                links = self._verified(rest, sets)
+                return labels if links.isEmpty() else components(edges.union(links))
+            labels = components(edges)
 
     def _same_class(self) -> DataFrame:
         """Nodes of one class that several tasks described, each with the least of them."""
@@ -419,7 +422,7 @@ class JaccardJoin:
 
     def membership(self) -> DataFrame:
         """(id, mark, n, component) per row; mark is the MD5 of the text, null for a null one."""
-        labels = components(self.linked())
+        labels = self.labels()
         least = self.nodes.groupBy("class").agg(F.min("node").alias("node"))
         named = least.join(labels, "node", "left").select(
             "class", F.coalesce("label", "node").alias("label"))
