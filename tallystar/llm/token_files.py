@@ -81,7 +81,7 @@ def encode_documents(path: str, texts: list[str | None], end_id: int) -> list[np
     """The ids the library gives each text, its added tokens found first, and the end id."""
     pattern, known, library = _added(path)
     texts = [t or "" for t in texts]
-    held = [i for i, t in enumerate(texts) if pattern.search(t)] if pattern else []
+    held = [i for i, t in enumerate(texts) if any(name in t for name in known)]
     if not held:
         return encode_texts(path, texts, end_id)
     end = np.uint32(end_id).tobytes()
