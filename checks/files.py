@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks.common import SCHEMAS, Query, load, plain
 from tallystar.functions.money import exact_sum, hundredths
+from tallystar.functions.naming import log_normalised
 from tallystar.sources.shared import fresh_path
 from tallystar.sources.tables import (TEXTS_PER_FILE, read_csv, read_parquet, replace_table,
                                       table, write_csv)
@@ -22,6 +23,23 @@ def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, path)
 
 
+def named_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced by name, twice, and read by a name that is a parameter, through a view."""
+    docs = load(spark, sf_dir, "documents")
+    name = "documents_by_name"
+    replace_table(docs.select("doc_id"), name, fresh_path(spark, "named"))
+    replace_table(docs, name, fresh_path(spark, "named"))
+    spark.sql("CREATE OR REPLACE TEMPORARY VIEW documents_read AS SELECT * FROM IDENTIFIER(:name)",
+              args={"name": name})
+    return table(spark, "documents_read").groupBy("lang", "source").agg(
+        F.count("*").alias("docs"), F.sum("n_chars").alias("chars"))
+
+
+def log_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load(spark, sf_dir, "orders").select("o_orderkey", F.round(
+        log_normalised(F.col("o_totalprice")), 6).alias("log_price"))
+
+
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with newlines and quotes to CSV and back."""
     docs = load(spark, sf_dir, "documents")
@@ -53,6 +71,8 @@ def scan_lines(spark: SparkSession, sf_dir: str, columns: dict[str, str] | None
 
 QUERIES: dict[str, Query] = {
     "io_parquet_ingest": ingest,
+    "io_named_tables": named_tables,
+    "fn_log_normalised": log_prices,
     "io_parquet_csv_roundtrip": csv_round_trip,
     "scan_csv": csv_scan,
     "scan_parquet_full": lambda s, d: plain(scan_lines(s, d)),
@@ -65,6 +85,10 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "io_parquet_ingest": "SELECT doc_id, text, CAST(n_chars AS INTEGER) AS n_chars FROM documents",
+    "io_named_tables": """SELECT lang, source, count(*) AS docs,
+        CAST(sum(n_chars) AS BIGINT) AS chars FROM documents GROUP BY lang, source""",
+    "fn_log_normalised": """SELECT o_orderkey, round(ln(o_totalprice + 1e-10::DOUBLE), 6) AS log_price
+        FROM orders""",
     "io_parquet_csv_roundtrip": "SELECT * FROM documents",
     "scan_csv": """SELECT l_returnflag, l_linestatus, count(*) AS n,
         CAST(sum(CAST(l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) AS sum_price

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystar.functions.probability import LOG_PART, LOG_UNIT
@@ -22,9 +22,12 @@ from tallystar.plans.bayes_rank import SALTS, best_prior, scores
 
 # A model up to this size, its words and its matrix of words and labels, is sent to the tasks.
 MAX_MODEL_BYTES = 64 * 1024 * 1024
+# A stored model with files up to this size is read without being measured first.
+FILE_BYTES = 16 * 1024 * 1024
 # A text that makes up this share of all rows or more has its copies spread.
 HOT_SHARE = 1_000
 
+INCOMPLETE = "the model lacks a probability for some word and label, or repeats one"
 PREDICTION = "predicted_label int, ranking double, known boolean"
 
 
@@ -41,7 +44,7 @@ def model_bytes(model: DataFrame) -> int:
         raise ValueError("the model has no words")
     labels = model.agg(F.count_distinct("label")).first()[0]
     if size.least != labels or size.most != labels:
-        raise ValueError("the model lacks a probability for some word and label, or repeats one")
+        raise ValueError(INCOMPLETE)
     return size.bytes + 8 * size.words * labels
 
 
@@ -50,65 +53,111 @@ def fits_in_task(model: DataFrame, max_bytes: int = MAX_MODEL_BYTES) -> bool:
     return model_bytes(model) <= max_bytes
 
 
-def _scorer(model: DataFrame):
+def planned_bytes(df: DataFrame) -> int:
+    """The size that Spark's planner expects; of a table that is read, the size of its files."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+class HeldModel:
+    """A complete model in memory: its words, the logs per word and label, labels and priors."""
+
+    def __init__(self, rows: pa.Table):
+        encoded = rows["word"].combine_chunks().dictionary_encode()
+        self.labels, column, at = np.unique(rows["label"].to_numpy(), return_index=True,
+                                            return_inverse=True)
+        self.words = encoded.dictionary
+        self.logs = np.full((len(self.words), len(self.labels)), np.nan)
+        if not len(self.words):
+            raise ValueError("the model has no words")
+        probabilities = rows["word_probability"].to_numpy()
+        if len(rows) != self.logs.size or len(np.unique(
+                encoded.indices.to_numpy().astype(np.int64) * len(self.labels) + at)) != len(rows):
+            raise ValueError(INCOMPLETE)
+        with np.errstate(divide="ignore"):
+            self.logs[encoded.indices.to_numpy(), at] = np.log(probabilities)
+            self.base = np.log(rows["label_probability"].to_numpy()[column])
+
+    @property
+    def nbytes(self) -> int:
+        return self.words.nbytes + self.logs.nbytes
+
+    def score(self, texts: pa.Array) -> pa.StructArray:
+        """A PREDICTION per cleaned text."""
+        n, logs, part, unit = len(texts), self.logs, LOG_PART, LOG_UNIT
+        split = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        at = pc.fill_null(pc.index_in(pc.list_flatten(split), self.words), -1).to_numpy()
+        doc = pc.list_parent_indices(split).to_numpy()
+        hit = at >= 0
+        cells, tf = np.unique(doc[hit].astype(np.int64) * len(self.words) + at[hit],
+                              return_counts=True)
+        doc, word = np.divmod(cells, len(self.words))
+        units = np.floor(tf[:, None] * logs[word] * unit + 0.5)
+        whole = np.floor(units / part)
+        rest = units - whole * part
+        ranks = np.column_stack([
+            self.base[k] + (np.bincount(doc, whole[:, k], n) * (part / unit)
+                            + np.bincount(doc, rest[:, k], n) / unit)
+            for k in range(len(self.labels))])
+        zero = np.isneginf(logs).any() and [  # a factor of 0 makes the rank minus infinity
+            np.bincount(doc, np.isneginf(logs[word][:, k]), n) > 0 for k in range(len(self.labels))]
+        if zero:
+            ranks[np.column_stack(zero)] = -np.inf
+        best = ranks.argmax(axis=1)  # the first of equal ranks, so the lowest label
+        return pa.StructArray.from_arrays(
+            [pa.array(self.labels[best].astype(np.int32)), pa.array(ranks[np.arange(n), best]),
+             pa.array(np.bincount(doc, minlength=n) > 0)],
+            names=["predicted_label", "ranking", "known"])
+
+
+def held_model(model: DataFrame, max_bytes: int = MAX_MODEL_BYTES) -> HeldModel | None:
+    """The model if a task may hold it, else None.
+
+    The files of a stored model say how large it can be, so it is read once. A model that is
+    computed, or has large files, is measured before it is collected.
+    """
+    if planned_bytes(model) > FILE_BYTES and not fits_in_task(model, max_bytes):
+        return None
+    held = HeldModel(model.select("label", "word", "label_probability", "word_probability").toArrow())
+    return held if held.nbytes <= max_bytes else None
+
+
+def _scorer(spark: SparkSession, model: HeldModel):
     """An Arrow UDF from cleaned text to PREDICTION, its model broadcast once."""
-    rows = model.select("label", "word", "label_probability", "word_probability").toArrow()
-    encoded = rows["word"].combine_chunks().dictionary_encode()
-    labels, column, at = np.unique(rows["label"].to_numpy(), return_index=True,
-                                   return_inverse=True)
-    logs = np.full((len(encoded.dictionary), len(labels)), np.nan)
-    with np.errstate(divide="ignore"):
-        logs[encoded.indices.to_numpy(), at] = np.log(rows["word_probability"].to_numpy())
-        base = np.log(rows["label_probability"].to_numpy()[column])
-    held = model.sparkSession.sparkContext.broadcast((encoded.dictionary, logs, labels, base))
-    part, unit = LOG_PART, LOG_UNIT
+    held = spark.sparkContext.broadcast(model)
 
     @F.arrow_udf(PREDICTION)
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        words, logs, labels, base = held.value
         for texts in batches:
-            n = len(texts)
-            split = pc.split_pattern(pc.fill_null(texts, ""), " ")
-            at = pc.fill_null(pc.index_in(pc.list_flatten(split), words), -1).to_numpy()
-            doc = pc.list_parent_indices(split).to_numpy()
-            hit = at >= 0
-            cells, tf = np.unique(doc[hit].astype(np.int64) * len(words) + at[hit],
-                                  return_counts=True)
-            doc, word = np.divmod(cells, max(len(words), 1))
-            units = np.floor(tf[:, None] * logs[word] * unit + 0.5)
-            whole = np.floor(units / part)
-            rest = units - whole * part
-            ranks = np.column_stack([
-                base[k] + (np.bincount(doc, whole[:, k], n) * (part / unit)
-                           + np.bincount(doc, rest[:, k], n) / unit) for k in range(len(labels))])
-            zero = np.isneginf(logs).any() and [  # a factor of 0 makes the rank minus infinity
-                np.bincount(doc, np.isneginf(logs[word][:, k]), n) > 0 for k in range(len(labels))]
-            if zero:
-                ranks[np.column_stack(zero)] = -np.inf
-            best = ranks.argmax(axis=1)  # the first of equal ranks, so the lowest label
-            yield pa.StructArray.from_arrays(
-                [pa.array(labels[best].astype(np.int32)), pa.array(ranks[np.arange(n), best]),
-                 pa.array(np.bincount(doc, minlength=n) > 0)],
-                names=["predicted_label", "ranking", "known"])
+            yield held.value.score(texts)
 
     return score
 
 
+def _checked(docs: DataFrame, model: DataFrame) -> DataFrame:
+    """The same rows; reading them is an error if the model is empty or not complete."""
+    labels = model.agg(F.count_distinct("label")).scalar()
+    per_word = model.groupBy("word").agg(F.count("*").alias("n"), F.count_distinct("label").alias("l"))
+    bad = per_word.where((F.col("n") != labels) | (F.col("l") != labels)).agg(F.count("*")).scalar()
+    words = model.agg(F.count("*")).scalar()
+    return docs.where(F.assert_true(words > 0, "the model has no words").isNull()
+                      & F.assert_true(bad == 0, INCOMPLETE).isNull())
+
+
 def _as_joined_model(model: DataFrame) -> DataFrame:
     return model.select("label", F.col("word").alias("value"),
                         F.col("label_probability").alias("label_prop"),
                         F.col("word_probability").alias("word_prop"))
 
 
-def _predict_in_tasks(docs: DataFrame, model: DataFrame) -> DataFrame:
-    scored = docs.withColumn("_p", _scorer(model)(clean("text")))
+def _predict_in_tasks(docs: DataFrame, model: HeldModel) -> DataFrame:
+    scored = docs.withColumn("_p", _scorer(docs.sparkSession, model)(clean("text")))
     return scored.select("label", "_p.predicted_label", "_p.ranking", "text", "_p.known")
 
 
 def _predict_by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
     """Score each distinct text once and bring the result back to all of its copies."""
     joined_model = _as_joined_model(model)
-    keyed = docs.withColumn("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256))
+    keyed = _checked(docs, model).withColumn("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256))
     texts = keyed.groupBy("doc_id").agg(F.any_value("text").alias("text"),
                                         F.count("*").alias("copies"))
     best = best_label(scores(texts, joined_model))
@@ -133,12 +182,11 @@ def predict_rows(docs: DataFrame, model: DataFrame, unknown_docs: str = "prior",
     """
     if unknown_docs not in ("drop", "prior"):
         raise ValueError(f"unknown_docs must be 'drop' or 'prior', not {unknown_docs!r}")
-    small = fits_in_task(model)
-    if in_tasks and not small:
+    held = held_model(model) if in_tasks in (None, True) else None
+    if in_tasks and held is None:
         raise ValueError(f"the model is larger than {MAX_MODEL_BYTES} bytes")
-    in_tasks = small if in_tasks is None else in_tasks
-    way = _predict_in_tasks if in_tasks else _predict_by_join
-    rows = way(docs.select("label", "text"), model)
+    rows = docs.select("label", "text")
+    rows = _predict_by_join(rows, model) if held is None else _predict_in_tasks(rows, held)
     if unknown_docs == "drop":
         rows = rows.where("known")
     return rows.select(F.col("label").alias("expected_label"), "predicted_label", "ranking", "text")

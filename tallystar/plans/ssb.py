@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.functions.money import exact_sum
-from tallystar.plans.star import StarViews
+from tallystar.plans.star import MONTH, StarViews
 
 Star = Mapping[str, DataFrame]
 
@@ -35,8 +35,12 @@ def _joined(star: Star, dimensions: Mapping[str, Column | None], group: Sequence
                 foreign, key = JOINS[name]
                 condition = dimensions[name]
                 side = star[name] if condition is None else star[name].where(condition)
-                side = side.select(key, *(c for c in group if c in side.columns))
-                fact = fact.join(side, F.col(foreign) == F.col(key))
+                match, keys = F.col(foreign) == F.col(key), [key]
+                if name == "date" and MONTH in fact.columns:   # prunes the months of a stored fact
+                    match, keys = match & (F.col(MONTH) == F.col("_month")), [
+                        key, F.col("d_yearmonthnum").alias("_month")]
+                side = side.select(*keys, *(c for c in group if c in side.columns))
+                fact = fact.join(side, match)
         return fact
 
     def chosen(fact: DataFrame) -> DataFrame:

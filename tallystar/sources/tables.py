@@ -40,13 +40,17 @@ def table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.parquet(name) if "/" in name else spark.table(name)
 
 
-def replace_table(df: DataFrame, target: str) -> None:
-    """Create or replace a table from a query, at a path or in the catalog."""
+def replace_table(df: DataFrame, target: str, folder: str | None = None) -> None:
+    """Create or replace a table from a query, at a path or in the catalog.
+
+    A catalog table lies in the warehouse, or in ``folder``; a replaced one that lay in another
+    folder leaves its files there.
+    """
     writer = df.write.mode("overwrite")
     if "/" in target:
         writer.parquet(target)
     else:
-        writer.saveAsTable(target)
+        (writer if folder is None else writer.option("path", folder)).saveAsTable(target)
 
 
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 0) -> None:

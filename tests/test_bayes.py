@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tallystar.operators.labels import FEW_LABELS, in_label_set, inline_labels, with_label_in
 from tallystar.operators.topk import best_label, number_by_rank
-from tallystar.plans import bayes_batch, bayes_fit, bayes_rank
+from tallystar.functions.text import clean
+from tallystar.plans import bayes_batch, bayes_fit, bayes_rank, bayes_sql
 from tallystar.sources.tables import replace_table
 
 
@@ -213,14 +214,65 @@ def test_model_size_decides(row_model):
 def test_an_incomplete_model_is_an_error_in_both_forms(spark, toy_train, row_model, in_tasks, monkeypatch):
     for broken in (row_model.where("not (label = 0 and word = 'fun')"),
                    row_model.unionAll(row_model.where("label = 4 and word = 'fun'")), row_model.limit(0)):
-        with pytest.raises(ValueError, match="the model"):
-            bayes_batch.predict_rows(toy_train, broken, in_tasks=in_tasks)
-    monkeypatch.setattr(bayes_batch.fits_in_task, "__defaults__", (10,))
+        with pytest.raises(Exception, match="the model"):
+            bayes_batch.predict_rows(toy_train, broken, in_tasks=in_tasks).collect()
+    monkeypatch.setattr(bayes_batch.held_model, "__defaults__", (10,))
     if in_tasks:
         with pytest.raises(ValueError, match="larger"):
             bayes_batch.predict_rows(toy_train, row_model, in_tasks=True)
 
 
+def test_a_stored_model_is_read_once_and_joined_without_a_job(spark, toy_train, row_model, tmp_path):
+    row_model.write.parquet(str(tmp_path / "model"))
+    stored = spark.read.parquet(str(tmp_path / "model"))
+    assert bayes_batch.planned_bytes(stored) < bayes_batch.FILE_BYTES
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs(in_tasks):
+        spark.sparkContext.setJobGroup(f"build-{in_tasks}", "")
+        bayes_batch.predict_rows(toy_train, stored, in_tasks=in_tasks)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return len(tracker.getJobIdsForGroup(f"build-{in_tasks}"))
+
+    assert jobs(True) == 1 and jobs(None) == 1 and jobs(False) == 0
+
+
+def test_training_by_a_table_function(spark, toy_train, row_model):
+    toy_train.repartition(3).createOrReplaceTempView("toy_train")
+    assert rows(bayes_sql.train(spark, "toy_train")) == rows(row_model.select(
+        "label", "word", "label_probability", "word_probability"))
+    plan = spark.sql("SELECT * FROM count_words(TABLE(SELECT label, text FROM toy_train))")
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPythonUDTF" in plan
+    assert "hashpartitioning" not in plan and "SinglePartition" not in plan
+
+
+def test_counting_words_by_partitions_and_in_little_memory(spark):
+    docs = spark.createDataFrame([(i % 3, t) for i, (_, t) in enumerate(CORPUS * 40)] + [
+        (1, ""), (1, None), (None, "no label")], "label int, text string").repartition(4)
+    docs.createOrReplaceTempView("docs_to_count")
+    expected = rows(docs.select("label", F.explode(F.split(clean("text"), " ")).alias("word"))
+                    .where("word <> ''").groupBy("label", "word").count())
+    for held in (5, 10**6):
+        bayes_sql.register_count_words(spark, "counting", held_counts=held)
+        for table in ("TABLE(docs_to_count)", "TABLE(docs_to_count) PARTITION BY label"):
+            got = spark.sql(f"SELECT * FROM counting({table})")
+            sums = got.groupBy("label", "word").agg(F.sum("word_count"), F.sum("doc_count"))
+            assert rows(sums.where("word IS NOT NULL").drop("sum(doc_count)")) == expected
+            assert rows(sums.where("word IS NULL").select("label", "sum(doc_count)")) == rows(
+                docs.groupBy("label").count())
+
+
+def test_scoring_by_a_table_function(spark, row_model):
+    docs = spark.createDataFrame(CORPUS, "label int, text string").repartition(3)
+    docs.createOrReplaceTempView("docs_to_score")
+    bayes_sql.register_classifier(spark, row_model, "classify_docs")
+    got = spark.sql("SELECT * FROM classify_docs(TABLE(SELECT label, text FROM docs_to_score))")
+    assert rows(got) == rows(bayes_batch.predict_rows(docs, row_model, in_tasks=True))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SinglePartition" not in plan
+
+
 def test_a_thousand_labels(spark, toy_train, model):
     many = inline_labels(spark, [0, 4, 4, *range(1000, 2000)])
     kept = in_label_set(toy_train, many)

@@ -22,6 +22,24 @@ def test_row_numbers_follow_the_order(spark):
     assert got.columns == ["n", "k", "t"]
 
 
+def test_row_numbers_by_a_key_write_the_key_only(spark, monkeypatch):
+    from tallystar.operators import numbering
+    written = []
+
+    def seen(df, kept=numbering.checkpointed):
+        written.append(df.columns)
+        return kept(df)
+
+    monkeypatch.setattr(numbering, "checkpointed", seen)
+    df = spark.range(500).select((F.col("id") * 37 % 500).alias("k"),
+                                 F.concat(F.lit("t"), F.col("id") % 7).alias("t"))
+    got = with_row_number(df.repartition(5), ["t", "k"], "n", key=["k"])
+    assert written == [["k", "_at", "_range"]] and got.columns == ["n", "k", "t"]
+    assert [(r.t, r.k) for r in got.orderBy("n").collect()] == sorted((r.t, r.k) for r in df.collect())
+    keys = with_row_number(df.select("k"), ["k"], key=["k"])
+    assert rows(keys) == [(i + 1, i) for i in range(500)] or rows(keys, "id")[0] == (1,)
+
+
 def test_row_numbers_of_equal_keys_and_of_nothing(spark):
     same = spark.range(200).select(F.lit("x").alias("t"))
     got = with_row_number(same, ["t"])
