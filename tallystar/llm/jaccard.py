@@ -317,11 +317,13 @@ class JaccardJoin:
 
     def labels(self) -> DataFrame:
         """(node, label) of all nodes with links; the label is the least node of the component."""
-        pairs = self.nodes.select(F.explode("tokens").alias("token"), "node")
+        same = self._same_class()
+        # One node of a class is enough; the others would share all its tokens.
+        alone = self.nodes.join(same.select(F.col("a").alias("node")), "node", "left_anti")
+        pairs = alone.select(F.explode("tokens").alias("token"), "node")
         shared = written(in_batches(pairs.repartition("token").sortWithinPartitions("token"),
                                     _shared_tokens, "token long, node long"), "tokens")
-        edges, tested, sets = self._same_class(), None, None
-        labels = edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
+        edges, labels, tested, sets = same, None, None, None
         while True:
             found = written(self._pairs(shared, labels, all_pairs=False).groupBy("a").agg(
                 F.min(F.struct("apart", "b")).alias("to"), F.max("others").alias("others"))
@@ -342,7 +344,7 @@ class JaccardJoin:
             tested = pairs if tested is None else tested.union(pairs)
             if (FEW_LINKS * linked <= partners.rows
                     or partners.others <= FEW_PARTNERS * partners.rows):
-                labels = components(edges) if linked else labels
+                labels = components(edges)
                 rest = _ordered(self._pairs(shared, labels, all_pairs=True))
                 rest = written(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
                 links = self._verified(rest, sets)
@@ -356,16 +358,28 @@ class JaccardJoin:
         return written(self.nodes.join(several, "class").where("node > b")
                        .select(F.col("node").alias("a"), "b"), "links")
 
-    def _pairs(self, shared: DataFrame, labels: DataFrame, all_pairs: bool) -> DataFrame:
-        """(a, b, apart, others) that share a token, pass the sketches and lie in two components."""
+    def _sized(self, shared: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """(token, node, label, size) of the tokens that nodes of several components have.
+
+        Before there are labels, every node is a component, and only crowded tokens are counted.
+        """
+        if labels is None:
+            crowded = written(shared.groupBy("token").agg(F.count("*").alias("size"))
+                              .where(F.col("size") > TILE), "crowded")
+            return shared.join(crowded, "token", "left").select(
+                "token", "node", F.col("node").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
         named = written(shared.join(labels, "node", "left")
                         .withColumn("label", F.coalesce("label", "node")), "tokens")
         mixed = written(named.groupBy("token").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
             .where("low < high").select("token", "size"), "tokens")
+        return named.join(mixed, "token")
+
+    def _pairs(self, shared: DataFrame, labels: DataFrame | None, all_pairs: bool) -> DataFrame:
+        """(a, b, apart, others) that share a token, pass the sketches and lie in two components."""
         sides = F.ceil(F.col("size") / TILE).cast("int")
         own = F.pmod(F.xxhash64("node"), sides).cast("int")
-        placed = (named.join(mixed, "token").withColumn("sides", sides).withColumn("own", own)
+        placed = (self._sized(shared, labels).withColumn("sides", sides).withColumn("own", own)
                   .join(self.nodes.select("node", "n", "sketch"), "node"))
         # Tile (i, j) compares part i (side 0) of a token with part j (side 1), or i with itself.
         tiles = placed.select("*", F.explode(F.expr("""transform(sequence(0, sides - 1), other ->
