@@ -17,26 +17,40 @@ TOXIC_FROM = 0.7
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that score as toxic, whether they are labelled or not."""
+    """Without the documents that score as toxic, whether they are labelled or not.
+
+    Null and empty texts are scored too and stay. No rows, no rows.
+    """
     model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     return toxicity.without_toxic(docs, model, threshold=TOXIC_FROM)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the least id of each group linked by 80 % of the word shingles."""
+    """The document of the least id of each group linked by 80 % of the word shingles.
+
+    Texts without words stay. Rows equal in id and text leave one row.
+    """
     return jaccard.one_per_group(docs)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents in which a passage of the benchmark occurs."""
+    """Without the documents in which a passage of the benchmark occurs.
+
+    Null and empty texts stay, rows with a null id are judged by their text.
+    """
     return decontaminate.without_benchmark(docs, table(spark, sf_dir, "benchmark"))
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each text, packed as little-endian unsigned 32-bit integers."""
-    encoded = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return encoded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-                          "ids")
+    """The ids of each text, packed as little-endian unsigned 32-bit integers, decoded again.
+
+    ``decoded_sha256`` is that of the bytes that the ids give: the text's own, or that of no
+    bytes for a null text. Rows with a null id stay, repeated rows give repeated rows.
+    """
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    back = bpe.decode(bpe.encode(docs, ranks), ranks)
+    return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                       "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
 
 STAGES = [("toxicity", drop_toxic), ("near_duplicates", drop_near_copies),
