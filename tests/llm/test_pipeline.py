@@ -1,3 +1,5 @@
+import hashlib
+
 import public_tokenizers
 import pytest
 import tiktoken
@@ -56,6 +58,7 @@ def test_each_stage_on_what_it_gets(spark, stages):
                                  special_tokens={})
     for r in stages["byte_bpe"].collect():
         want = encoding.encode_ordinary(text[r.doc_id])
+        assert r.decoded_sha256 == hashlib.sha256((text[r.doc_id] or "").encode()).hexdigest()
         assert r.n_tokens == len(want) and r.ids == b"".join(i.to_bytes(4, "little") for i in want)
     assert ids["byte_bpe"] == ids["decontamination"]
 
