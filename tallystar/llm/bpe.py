@@ -172,6 +172,26 @@ def decode(encoded: DataFrame, ranks_path: str, *, id_col: str = "doc_id",
             .select(F.col("id").alias(id_col), "ids", "text"))
 
 
+def round_trip(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """(id, ids, text) per row: `decode(encode(docs))` in one pass, with one vocabulary a worker."""
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def both(batches):
+        table, vocabulary = _encoder(ranks_path), Vocabulary.load(ranks_path)
+        for batch in batches:
+            for start, texts in chunks(batch.column(1), CHUNK_BYTES):
+                ids = table.packed([t or "" for t in texts])
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, len(ids)), pa.array(ids, pa.binary()),
+                     pa.array(list(map(vocabulary.decode, ids)), pa.binary())],
+                    ["id", "ids", "text"])
+
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return (in_batches(texts, both, f"id {kind}, ids binary, text binary")
+            .select(F.col("id").alias(id_col), "ids", "text"))
+
+
 def digests(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """Encode and decode; per row the number of ids and the SHA-256 of ids and decoded bytes."""

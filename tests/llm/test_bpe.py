@@ -8,7 +8,7 @@ from edge import documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallystar.llm import bpe
+from tallystar.llm import bpe, queries
 from tallystar.llm.pieces import PieceTable, split
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -70,3 +70,10 @@ def test_rank_file():
     assert VOCABULARY.tokens[int(rank)] == base64.b64decode(token)
     with pytest.raises(KeyError):
         VOCABULARY.ranks[b"no such token at all"]
+
+
+def test_round_trip_is_decode_of_encode(spark):
+    docs = documents(spark)
+    one = bpe.round_trip(docs, queries.RANKS)
+    two = bpe.decode(bpe.encode(docs, queries.RANKS), queries.RANKS)
+    assert one.columns == two.columns and one.exceptAll(two).count() == two.exceptAll(one).count() == 0
