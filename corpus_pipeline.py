@@ -47,8 +47,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ``decoded_sha256`` is that of the bytes that the ids give: the text's own, or that of no
     bytes for a null text. Rows with a null id stay, repeated rows give repeated rows.
     """
-    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    back = bpe.decode(bpe.encode(docs, ranks), ranks)
+    back = bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"))
     return back.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        "ids", F.sha2("text", 256).alias("decoded_sha256"))
 
