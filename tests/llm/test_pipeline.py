@@ -27,7 +27,7 @@ def stages(spark):
 def test_registered():
     names = registered.queries()
     assert "pipeline" in names and set(queries.QUERIES) <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_duplicates", "decontamination", "byte_bpe"]
 
