@@ -31,6 +31,8 @@ from tallystar.sources.shared import fresh_path
 
 BLOCK_ROWS = 1 << 14
 QUERY_ROWS = 2048
+#: Wider than what the order of addition changes in a cosine.
+NEAR_TIE = 1e-9
 #: Half-width of a window per unit of radius, and the radii in turn.
 HALF_WIDTH = 1.4
 RADII = (0.3, 0.7, 1.0, 1.15, 1.25, 1.35, 1.45)
@@ -63,6 +65,20 @@ def cosine(query: np.ndarray, vectors: np.ndarray, lengths: np.ndarray) -> np.nd
     return (vectors @ query) / (lengths * math.sqrt(query @ query))
 
 
+def exact_cosine(query: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """The cosine with sums in one order, whatever rows stand beside a vector.
+
+    A matrix product adds in an order that depends on the number of rows, so that equal
+    vectors may differ in the last bit.
+    """
+    product, square, own = np.zeros(len(vectors)), np.zeros(len(vectors)), 0.0
+    for value, column in zip(query.tolist(), vectors.T):
+        product += column * value
+        square += column * column
+        own += value * value
+    return product / (np.sqrt(square) * math.sqrt(own))
+
+
 class Index:
     """The lines of one block of vectors of one length."""
 
@@ -113,9 +129,9 @@ class Index:
             else:
                 verify(np.flatnonzero(open_rows))            # the windows span everything
             hit = np.flatnonzero(score > -np.inf)
-            if self.distinct and len(hit) > k:               # ties with the k-th stay
-                hit = hit[score[hit] >= np.partition(score[hit], -k)[-k]]
-            score = score[hit]
+            if self.distinct and len(hit) > k:               # what may tie with the k-th stays
+                hit = hit[score[hit] >= np.partition(score[hit], -k)[-k] - NEAR_TIE]
+            score = exact_cosine(queries[i], self.vectors[hit])
             ids = self.ids[hit]
             best = np.lexsort((ids, -score))
             ids, score = ids[best], score[best]

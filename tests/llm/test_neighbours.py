@@ -65,3 +65,24 @@ def test_blocks_cover_every_row(monkeypatch):
                                        ["id", "vector"])
     parts = [ids.to_pylist() for ids, _ in nn._blocks(iter([batch, batch.slice(0, 3)]))]
     assert sum(parts, []) == [*range(25), 0, 1, 2] and max(map(len, parts)) <= 7
+
+
+def test_equal_vectors_in_many_blocks_tie_to_the_smallest_ids(spark, monkeypatch):
+    r = np.random.default_rng(11)
+    same = r.standard_normal(48)
+    rows = [(i, (same if i % 11 == 0 else r.standard_normal(48)).tolist(), 0) for i in range(700)]
+    df = table(spark, rows).repartition(5)
+    got = nn.nearest(df, df.where("vec_id = 0 OR vec_id = 550")).collect()
+    for query in (0, 550):
+        found = sorted((x.rank, x.vec_id) for x in got if x.query_id == query)
+        assert [v for _, v in found] == [i for i in (0, 11, 22, 33, 44, 55) if i != query][:5]
+    assert len({x.score for x in got}) == 1
+
+
+def test_exact_cosine_is_the_same_beside_any_rows():
+    r = np.random.default_rng(12)
+    query, vectors = r.standard_normal(64), r.standard_normal((37, 64))
+    whole = nn.exact_cosine(query, vectors)
+    for n in range(1, 37):
+        assert (nn.exact_cosine(query, vectors[:n]) == whole[:n]).all()
+    assert whole == pytest.approx(vectors @ query / nn.norms(vectors) / np.sqrt(query @ query), abs=1e-14)
