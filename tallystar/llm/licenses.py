@@ -155,15 +155,17 @@ class LicenseScanner:
         self.sizes = list(map(len, split))
         self.known = {w: i for i, w in enumerate(dict.fromkeys(w for s in split + bases for w in s), 1)}
         self.automaton = SuffixAutomaton([[self.known[w] for w in s] for s in split + bases])
-        whole = {(len(split) + i, len(b)): (len(b), phrases[i][1]) for i, b in enumerate(bases)}
-        # Base phrases that are suffixes of a state's longest stretch, by their end places.
-        self.phrases = [[] for _ in self.automaton.next]
-        for state in sorted(range(1, len(self.phrases)), key=lambda s: self.automaton.length[s]):
+        whole = ({(i, n): (n, None, i) for i, n in enumerate(self.sizes)}
+                 | {(len(split) + i, len(b)): (len(b), phrases[i][1], -1) for i, b in enumerate(bases)})
+        # Templates and base phrases that are suffixes of a state's longest stretch, by their end
+        # places: also what stands inside a longer template.
+        self.whole = [[] for _ in self.automaton.next]
+        for state in sorted(range(1, len(self.whole)), key=lambda s: self.automaton.length[s]):
             own = [v for e in self.automaton.ends[state] if (v := whole.get(e))
                    and self.automaton.length[self.automaton.link[state]] < v[0]
                    <= self.automaton.length[state]]
-            self.phrases[state] = own + self.phrases[self.automaton.link[state]]
-        self.shortest = min([least_words, *map(len, bases)])
+            self.whole[state] = own + self.whole[self.automaton.link[state]]
+        self.shortest = min([least_words, *self.sizes, *map(len, bases)])
 
     def scan(self, text: bytes | None) -> Scan:
         found = words(text)
@@ -172,19 +174,21 @@ class LicenseScanner:
         # Only runs of template words can hold a match.
         edges = np.flatnonzero(np.diff(np.concatenate([[0], ids > 0, [0]])))
         matches: list[tuple[int, int, int]] = []
+        templates: list[tuple[int, int]] = []
         for a, b in zip(edges[0::2].tolist(), edges[1::2].tolist()):
             if b - a >= self.shortest:
-                self._walk(ids[a:b].tolist(), a, out, matches)
-        if matches:
+                self._walk(ids[a:b].tolist(), a, out, matches, templates)
+        if matches or templates:
             # Where spans of different templates overlap, the one that covers most words stays.
-            for _, _, span in sorted(self._chained(matches)):
+            for _, _, span in sorted(self._chained(matches, templates)):
                 if all(span[3] <= kept[2] or kept[3] <= span[2] for kept in out.spans):
                     out.spans.append(span)
             out.spans.sort(key=lambda span: span[2])
         return out
 
-    def _walk(self, run: list[int], first: int, out: Scan, matches: list) -> None:
-        """Matching statistics of one run, which begins at the word `first`."""
+    def _walk(self, run: list[int], first: int, out: Scan, matches: list, templates: list) -> None:
+        """Matching statistics of one run, which begins at the word `first`; (template, first
+        word) of whole templates."""
         after, link, length = self.automaton.next, self.automaton.link, self.automaton.length
         state = size = 0
         for place, word in enumerate(run, first):
@@ -198,21 +202,26 @@ class LicenseScanner:
                 state, size = after[state][word], size + 1
             else:
                 state = size = 0
-            for n, label in self.phrases[state]:
+            for n, label, template in self.whole[state]:
                 if n <= size:
-                    out.base.append((place + 1 - n, label))
+                    if template >= 0:
+                        templates.append((template, place + 1 - n))
+                    else:
+                        out.base.append((place + 1 - n, label))
         if size >= self.least:
             matches.append((first + len(run), size, state))
 
-    def _chained(self, matches: list[tuple[int, int, int]]
+    def _chained(self, matches: list[tuple[int, int, int]], templates: list[tuple[int, int]]
                  ) -> Iterator[tuple[int, int, tuple[str, int, int, int, float]]]:
         """(minus covered words, words spanned, span): per template, its chains of matches, in
         order in text and template, that cover enough of it."""
-        by_template: dict[int, list[tuple[int, int, int]]] = {}
+        by_template: dict[int, set[tuple[int, int, int]]] = {}
+        for template, begin in templates:
+            by_template.setdefault(template, set()).add((begin, 0, self.sizes[template]))
         for end, size, state in matches:
             for template, place in self.automaton.ends[state]:
                 if template < len(self.labels) and place >= size:
-                    by_template.setdefault(template, []).append((end - size, place - size, size))
+                    by_template.setdefault(template, set()).add((end - size, place - size, size))
         for template, pieces in by_template.items():
             open_chains: list[list] = []                   # file end, template end, covered, begin
             done = []

@@ -85,3 +85,15 @@ def test_summary_and_edges(spark):
             0, 0, None, None, "", "", 0.0)
     assert got[4].n_words == 40_000
     assert lic.summary(lic.scan(documents(spark).limit(0))).count() == 0
+
+
+def test_a_template_inside_a_longer_one_that_goes_on():
+    short, long = "alpha beta gamma delta", "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    scanner = lic.LicenseScanner([("short", short), ("long", long)], [], 4, 12, 0.75)
+    assert [s[:4] for s in scanner.scan(b"x alpha beta gamma delta epsilon y").spans] == [("short", 0, 1, 5)]
+    assert [s[:4] for s in scanner.scan(f"x {long} y".encode()).spans] == [("long", 1, 1, 11)]
+    inner = lic.LicenseScanner([("inner", "gamma delta epsilon zeta"), ("long", long)], [], 4, 12, 0.75)
+    got = inner.scan(b"beta gamma delta epsilon zeta eta x gamma delta epsilon zeta").spans
+    assert [s[:4] for s in got] == [("inner", 0, 1, 5), ("inner", 0, 7, 11)]
+    tiny = lic.LicenseScanner([("tiny", "public domain")], [], 4, 12, 0.75)
+    assert [s[:4] for s in tiny.scan(b"in the public domain now").spans] == [("tiny", 0, 2, 4)]
