@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -29,6 +30,8 @@ from tallystar.llm.common import SharedFile, filesystem, in_batches, written
 FILE_BYTES = 1 << 30
 #: Records closer together than this are read in one range, up to RANGE_BYTES.
 GAP_BYTES, RANGE_BYTES = 1 << 16, 1 << 23
+#: Archive bytes that a task reads, on average.
+TASK_BYTES = 1 << 27
 #: Copies of one payload are spread over so many parts when they look up their response.
 SALTS = 16
 
@@ -165,9 +168,13 @@ def read(index: DataFrame, folder: str) -> DataFrame:
     full payload, also of revisits) and payload (null for revisits). A payload whose digest
     is not the recorded one is an error.
     """
+    spark = index.sparkSession
+    total = index.agg(F.sum("length")).first()[0] or 0
+    # A given number of partitions is kept; the index alone would look small enough for one task.
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(total / TASK_BYTES))
     placed = (index.select("file", "offset", "length")
-              .withColumn("part", F.floor(F.col("offset") / (4 * RANGE_BYTES)))
-              .repartition("file", "part").sortWithinPartitions("file", "offset")
+              .withColumn("part", F.floor(F.col("offset") / RANGE_BYTES))
+              .repartition(tasks, "file", "part").sortWithinPartitions("file", "offset")
               .select("file", "offset", "length"))
     schema = ("page_id long, url string, record_type string, refers_to long, "
               "payload_digest string, payload_bytes long, payload binary")

@@ -75,3 +75,13 @@ def test_empty_table_and_damage(spark):
     index = warc.write(pages(spark, [(1, "u", "abc"), (2, "v", "abd")]), folder)
     with pytest.raises(Exception):
         warc.read(index.selectExpr("file", "offset + 1 AS offset", "length"), folder).collect()
+
+
+def test_archives_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(warc, "RANGE_BYTES", 4096)
+    pages = spark.range(600).selectExpr("id AS page_id", "concat('u', id) AS url",
+                                        "repeat(sha2(cast(id AS string), 256), 9) AS html")
+    index = warc.write(pages.coalesce(1), str(tmp_path))
+    found = warc.read(index, str(tmp_path)).withColumn("task", F.spark_partition_id())
+    assert found.count() == 600 and found.select("task").distinct().count() > 1
