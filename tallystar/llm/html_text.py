@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
@@ -99,6 +100,7 @@ class _Page:
     def __init__(self):
         self.blocks: list[Block] = []
         self._open: list[tuple[str, bool, int]] = []         # name, in article, how surely marked
+        self._count: Counter[str] = Counter()                # open elements by name
         self._parts: list[str] = []
         self._linked, self._in_link = 0, False
 
@@ -144,22 +146,23 @@ class _Page:
             mark = max(mark, own)
         article = article or name in ("article", "main") or bool(values and _ARTICLE.search(values))
         self._open.append((name, article, mark))
+        self._count[name] += 1
 
     def _close_like(self, name: str) -> None:
         """A paragraph, item or heading ends an open one of the same kind beside it."""
         kind = HEADINGS if name in HEADINGS else {name}
         if self._open and self._open[-1][0] in kind | {"p"}:
-            self._open.pop()
+            self._count[self._open.pop()[0]] -= 1
 
     def end(self, name: str) -> None:
         if name == "a":
             self._in_link = False
         if name in BLOCKS:
             self.flush()
-            for depth in range(len(self._open) - 1, -1, -1):
-                if self._open[depth][0] == name:
-                    del self._open[depth:]
-                    break
+            closed = "" if self._count[name] else name       # without an open one, nothing closes
+            while closed != name:
+                closed = self._open.pop()[0]
+                self._count[closed] -= 1
 
 
 def blocks(page: str) -> list[Block]:

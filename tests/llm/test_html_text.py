@@ -123,3 +123,15 @@ def test_boilerplate_is_still_dropped(wrapper):
     assert text(page) == BODY
     if "footer" not in wrapper and "cookie" not in wrapper:
         assert text(page.replace(f"<{wrapper}><p>", f"<{wrapper}><article><p>")) == BODY
+
+
+def test_unmatched_end_tags_take_linear_time():
+    import time
+    begun = time.perf_counter()
+    found = ht.blocks("<div>" * 8000 + "</p>x" * 8000)
+    assert time.perf_counter() - begun < 2 and len(found) == 8000     # about 0.1 s alone
+    page = ht._Page()
+    for name in ("div", "p", "li", "p", "h2", "h1"):
+        page.begin(name, "")
+    page.end("section"), page.end("li"), page.end("li")
+    assert [n for n, *_ in page._open] == ["div"] and +page._count == {"div": 1}
