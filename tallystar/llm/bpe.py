@@ -4,7 +4,8 @@ Each piece of a text is a row of byte positions. The leaves of its segment tree
 of the pair that begins at a live position (or none), packed with the position, so the root
 is the leftmost pair of the least rank. A merge kills the right position, and updates the
 leaves of the merged pair and of its left neighbour along their paths to the root. All pieces
-of a batch whose trees have the same width merge in step, one numpy operation for all.
+of a batch whose trees have the same width merge in step, one numpy operation for all; the few
+of a rare width, very long ones above all, merge one after the other by plain updates.
 
 Null texts count as empty and give no ids. Decoding returns the exact bytes of the text.
 Repeated rows are encoded alike; only the named id and text columns are read.
@@ -27,6 +28,8 @@ from tallystar.llm.pieces import PieceTable
 CHUNK_BYTES = 2_000_000
 _NONE = np.int64(1) << 62
 _POSITION_BITS = 32
+#: Pieces of one width from which a step for all of them costs less than a step for each.
+IN_STEP = 32
 
 
 class Vocabulary:
@@ -69,6 +72,10 @@ class Vocabulary:
                 width = max(4, 1 << (len(data) - 1).bit_length())
                 by_width.setdefault(width, []).append((i, data))
         for width, group in by_width.items():
+            if len(group) < IN_STEP:
+                for i, data in group:
+                    out[i] = self._merge_one(data, width)
+                continue
             step = max(1, 4_000_000 // width)              # bounds the memory of one forest
             for a in range(0, len(group), step):
                 part = group[a:a + step]
@@ -125,6 +132,51 @@ class Vocabulary:
         ends = np.cumsum(counts) * 4
         return (flat[b - 4 * c:b] for b, c in zip(ends.tolist(), counts.tolist()))
 
+    def _merge_one(self, data: bytes, width: int) -> bytes:
+        """The merges of one piece; node i has the children 2i and 2i + 1, the leaves come last."""
+        n, ranks, tokens, none = len(data), self.ranks, self.tokens, int(_NONE)
+        first = self._bytes[np.frombuffer(data, np.uint8)]
+        pairs = self.pair_ranks(first[:-1], first[1:])
+        leaves = np.full(width, _NONE)
+        leaves[:n - 1] = np.where(pairs < _NONE, (pairs << _POSITION_BITS) | np.arange(n - 1), _NONE)
+        levels = [leaves]
+        while len(levels[-1]) > 1:
+            levels.append(np.minimum(levels[-1][0::2], levels[-1][1::2]))
+        tree = [none, *np.concatenate(levels[::-1]).tolist()]
+        ids = first.tolist()
+        after, before = [*range(1, n), -1], list(range(-1, n - 1))
+
+        def update(at: int, value: int) -> None:
+            node = width + at
+            tree[node] = value
+            while node > 1:
+                other, node = tree[node ^ 1], node >> 1
+                if other < value:
+                    value = other
+                if tree[node] == value:
+                    return                                 # nothing changes further up
+                tree[node] = value
+
+        def pair_leaf(at: int) -> int:
+            if (nxt := after[at]) < 0:
+                return none
+            rank = ranks.get(tokens[ids[at]] + tokens[ids[nxt]])
+            return none if rank is None else (rank << _POSITION_BITS) | at
+
+        low = (1 << _POSITION_BITS) - 1
+        while (best := tree[1]) < none:
+            at = best & low
+            gone = after[at]
+            ids[at], ids[gone] = best >> _POSITION_BITS, -1
+            after[at] = nxt = after[gone]
+            if nxt >= 0:
+                before[nxt] = at
+            update(gone, none)
+            update(at, pair_leaf(at))
+            if (prev := before[at]) >= 0:
+                update(prev, pair_leaf(prev))
+        return np.array([i for i in ids if i >= 0], "<u4").tobytes()
+
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(packed, "<u4").tolist()))
 

@@ -77,3 +77,19 @@ def test_round_trip_is_decode_of_encode(spark):
     one = bpe.round_trip(docs, queries.RANKS)
     two = bpe.decode(bpe.encode(docs, queries.RANKS), queries.RANKS)
     assert one.columns == two.columns and one.exceptAll(two).count() == two.exceptAll(one).count() == 0
+
+
+def test_long_pieces_take_little_time_each_and_merge_as_in_step(monkeypatch):
+    import random
+    import time
+    r = random.Random(3)
+    text = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(20_000))
+    VOCABULARY.encode_pieces(["warm"])
+    begun = time.perf_counter()
+    one = VOCABULARY.encode_pieces([text])
+    assert time.perf_counter() - begun < 2            # 0.2 s where nothing else runs
+    assert ids([text]) == [ENCODING.encode_ordinary(text)]
+    part = text[:700]
+    plain = VOCABULARY.encode_pieces([part])
+    monkeypatch.setattr(bpe, "IN_STEP", 0)
+    assert VOCABULARY.encode_pieces([part]) == plain and len(one) == 1
