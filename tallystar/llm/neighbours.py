@@ -3,8 +3,8 @@
 Vectors are scaled to length 1, so that cosine is a matter of distance. Each of many random
 lines orders the vectors of a block by their projections. A query looks at a window of each
 line around its own projection; a vector collides if it lies in it. Windows grow with the
-radius, which is all the rehashing there is. A vector whose collisions reach what 97 % of the
-vectors within the radius reach is verified on the original vectors; the radius grows until
+radius, which is all the rehashing there is. A vector whose collisions reach what 84 % of the
+vectors at the radius reach, and more of the nearer ones, is verified on the original vectors; the radius grows until
 as many verified vectors as asked for lie within it; past the last radius all are verified.
 
 Every row is indexed, in blocks of bounded size within the tasks; every task reads the
@@ -34,7 +34,9 @@ QUERY_ROWS = 2048
 #: Wider than what the order of addition changes in a cosine.
 NEAR_TIE = 1e-9
 #: Half-width of a window per unit of radius, and the radii in turn.
-HALF_WIDTH = 1.4
+HALF_WIDTH = 1.1
+#: Standard deviations by which a vector at the radius may fall short of its mean collisions.
+SLACK = 1.0
 RADII = (0.3, 0.7, 1.0, 1.15, 1.25, 1.35, 1.45)
 
 
@@ -91,7 +93,7 @@ class Index:
         self.order = np.argsort(values, axis=1).astype(np.int32)
         self.values = np.sort(values, axis=1)
         inside = math.erf(HALF_WIDTH / math.sqrt(2))  # a vector at the radius collides so often
-        self.threshold = math.floor(lines * inside - 1.9 * math.sqrt(lines * inside * (1 - inside)))
+        self.threshold = math.floor(lines * inside - SLACK * math.sqrt(lines * inside * (1 - inside)))
 
     def windows(self, queries: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
         """First and last place of each query's window on each line."""
@@ -141,7 +143,7 @@ class Index:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, *, k: int = 5, id_col: str = "vec_id",
-            vector_col: str = "embedding", lines: int = 64, seed: int = 7) -> DataFrame:
+            vector_col: str = "embedding", lines: int = 192, seed: int = 7) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest found, ties to the smaller id."""
     spark = vectors.sparkSession
     columns = [F.col(id_col).cast("long").alias("id"),
