@@ -5,9 +5,9 @@ density (the share of words in links), the same of the blocks before and after i
 signs of its place: inside an article, inside an element whose name or class marks menus,
 notices, adverts, comments and the like, and being a heading. Class names that tell the layout
 (has-sidebar, menu-open) mark nothing; an article or main element ends the mark of what wraps it,
-but for an article among comments, related pages, or in nav, aside and footer; long texts with
-few links in what only may be boilerplate (sidebar, widget, header) are judged as unmarked. A decision tree grown on a
-small labelled table of blocks tells main text from the rest. Scripts, styles, comments and
+but for an article among comments, related pages, or in nav, aside and footer. A mark has a
+degree: what only may be boilerplate (sidebar, widget, header) is marked less surely. A decision
+tree grown on a small labelled table of blocks tells main text from the rest. Scripts, styles, comments and
 forms have no text blocks.
 
 Character references are decoded, white space in a block becomes one space, and the blocks
@@ -42,9 +42,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 VOID = frozenset("hr br img input meta link area base col embed source track wbr".split())
 
 #: Elements and parts of names by how surely they mark boilerplate: 3 also what has articles of
-#: its own, 1 only what may as well wrap the page, so that its long texts are judged as others.
+#: its own, 1 only what may as well wrap the page, so that the tree looks at its texts.
 SURENESS = {"nav": 3, "footer": 3, "aside": 3, "form": 1, "header": 1}
-LONG_WORDS, LONG_DENSITY = 100, 0.2
 _MARKS = (
     (3, re.compile(r"comments?|disqus|related|replies|sponsor\w*")),
     (2, re.compile(r"ads?|advert\w*|breadcrumbs?|consent|cookies?|copyright|footer|gdpr|login|"
@@ -86,7 +85,7 @@ class Block:
     words: int
     linked: int
     article: bool
-    marked: bool
+    mark: int
     heading: bool
 
     @property
@@ -116,10 +115,7 @@ class _Page:
             _, article, mark = self._open[-1] if self._open else ("", False, 0)
             heading = any(name in HEADINGS for name, _, _ in self._open[-2:])
             words = text.count(" ") + 1
-            block = Block(text, words, min(words, self._linked), article, mark > 0, heading)
-            if mark == 1 and words >= LONG_WORDS and block.density <= LONG_DENSITY:
-                block.marked = False
-            self.blocks.append(block)
+            self.blocks.append(Block(text, words, min(words, self._linked), article, mark, heading))
         self._parts, self._linked = [], 0
 
     def begin(self, name: str, attributes: str) -> None:
@@ -185,7 +181,7 @@ def blocks(page: str) -> list[Block]:
 
 
 # The labelled table: words and link density of a block, of the one before and the one after,
-# whether in an article, in a marked element, a heading; then whether it is main text.
+# whether in an article, how surely marked as boilerplate, a heading; then whether it is main text.
 LABELLED = (
     (1, 1.0, 0, 0.0, 1, 1.0, 0, 1, 0, 0), (2, 1.0, 1, 1.0, 1, 1.0, 0, 1, 0, 0),
     (1, 1.0, 2, 1.0, 9, 0.0, 0, 1, 0, 0), (12, 0.0, 1, 1.0, 10, 0.0, 0, 1, 0, 0),
@@ -203,7 +199,7 @@ LABELLED = (
     (5, 1.0, 2, 1.0, 60, 0.0, 1, 0, 0, 0), (4, 0.9, 70, 0.0, 1, 1.0, 1, 0, 0, 0),
     (1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0, 0), (2, 1.0, 1, 1.0, 3, 1.0, 0, 0, 0, 0),
     (4, 0.75, 2, 1.0, 60, 0.0, 0, 0, 0, 0), (3, 0.0, 1, 1.0, 2, 1.0, 0, 0, 0, 0),
-    (6, 0.0, 2, 0.0, 3, 0.0, 0, 0, 0, 0), (2, 0.0, 5, 0.0, 4, 0.0, 0, 0, 0, 0),
+    (6, 0.0, 2, 0.0, 3, 0.0, 0, 0, 0, 1), (2, 0.0, 5, 0.0, 4, 0.0, 0, 0, 0, 1),
     (8, 0.0, 6, 0.0, 1, 1.0, 0, 0, 0, 0), (12, 0.6, 4, 0.5, 10, 0.8, 0, 0, 0, 0),
     (20, 0.5, 3, 1.0, 15, 0.6, 0, 0, 0, 0), (7, 0.0, 3, 1.0, 70, 0.0, 0, 0, 1, 1),
     (9, 0.0, 0, 0.0, 55, 0.0, 0, 0, 1, 1), (5, 0.0, 80, 0.0, 90, 0.0, 0, 0, 1, 1),
@@ -220,10 +216,33 @@ LABELLED = (
     (5, 0.0, 12, 0.0, 15, 0.0, 1, 0, 1, 1), (2, 0.0, 25, 0.0, 11, 0.0, 1, 0, 1, 1),
     (8, 0.0, 2, 1.0, 3, 0.0, 1, 0, 1, 1), (1, 0.0, 9, 0.0, 1, 0.0, 1, 0, 1, 1),
     (16, 0.0, 5, 0.0, 4, 0.0, 1, 0, 0, 1), (3, 0.0, 60, 0.0, 16, 0.0, 1, 0, 0, 1),
-    (7, 0.0, 11, 0.0, 8, 0.0, 0, 0, 0, 0), (10, 0.0, 3, 0.0, 9, 0.0, 0, 0, 0, 0),
-    (5, 0.0, 9, 0.0, 2, 0.0, 0, 0, 0, 0), (4, 0.0, 1, 1.0, 12, 0.0, 0, 0, 0, 0),
+    (7, 0.0, 11, 0.0, 8, 0.0, 0, 0, 0, 1), (10, 0.0, 3, 0.0, 9, 0.0, 0, 0, 0, 1),
+    (5, 0.0, 9, 0.0, 2, 0.0, 0, 0, 0, 1), (4, 0.0, 1, 1.0, 12, 0.0, 0, 0, 0, 0),
     (9, 0.0, 16, 0.0, 30, 0.0, 0, 1, 0, 0), (11, 0.0, 4, 0.0, 6, 0.0, 0, 1, 0, 0),
     (15, 0.0, 25, 0.0, 18, 0.0, 0, 1, 0, 0), (70, 0.0, 20, 0.0, 90, 0.0, 1, 1, 0, 0),
+    (180, 0.0, 90, 0.0, 60, 0.0, 0, 2, 0, 0), (240, 0.0, 3, 0.0, 150, 0.0, 1, 3, 0, 0),
+    (150, 0.05, 90, 0.0, 60, 0.0, 0, 1, 0, 1), (110, 0.0, 5, 0.0, 140, 0.0, 0, 1, 0, 1),
+    (125, 0.1, 30, 0.0, 3, 1.0, 1, 1, 0, 1), (130, 0.6, 4, 1.0, 20, 0.7, 0, 1, 0, 0),
+    (160, 0.4, 2, 1.0, 5, 1.0, 0, 1, 0, 0), (90, 0.0, 12, 0.0, 8, 0.0, 0, 1, 0, 0),
+    (1, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1), (5, 0.0, 0, 0.0, 0, 0.0, 0, 0, 0, 1),
+    (4, 0.0, 0, 0.0, 6, 0.0, 0, 0, 1, 1), (12, 0.0, 14, 0.0, 10, 0.0, 0, 0, 0, 1),
+    (15, 0.1, 8, 0.2, 12, 0.0, 0, 0, 0, 1), (6, 0.0, 4, 1.0, 5, 0.9, 0, 0, 0, 0),
+    (14, 0.0, 3, 1.0, 6, 0.0, 0, 0, 0, 0), (11, 0.1, 9, 0.0, 2, 1.0, 0, 0, 0, 0),
+    (9, 0.2, 2, 0.8, 7, 0.6, 0, 0, 0, 0), (17, 0.0, 12, 0.5, 9, 0.0, 0, 0, 0, 0),
+    (2, 0.0, 3, 1.0, 4, 0.0, 0, 0, 1, 0), (22, 0.0, 2, 1.0, 1, 1.0, 0, 0, 0, 1),
+    (3, 1.0, 40, 0.0, 50, 0.0, 1, 0, 0, 0), (8, 0.8, 30, 0.0, 20, 0.0, 0, 0, 0, 0),
+    (5, 1.0, 12, 0.0, 8, 0.0, 0, 0, 0, 0), (2, 1.0, 60, 0.0, 25, 0.0, 1, 0, 0, 0),
+    (30, 0.9, 50, 0.0, 45, 0.0, 1, 0, 0, 0), (45, 0.7, 70, 0.0, 0, 0.0, 0, 0, 0, 0),
+    (12, 0.9, 0, 0.0, 30, 0.0, 1, 0, 1, 0), (160, 1.0, 10, 0.0, 12, 0.0, 1, 0, 0, 0),
+    (12, 0.0, 3, 1.0, 2, 1.0, 1, 0, 0, 1), (5, 0.0, 4, 1.0, 9, 0.0, 1, 0, 0, 1),
+    (3, 0.0, 2, 0.9, 7, 1.0, 1, 0, 0, 1), (8, 0.0, 20, 0.0, 3, 1.0, 1, 0, 0, 1),
+    (2, 0.0, 2, 1.0, 1, 1.0, 1, 0, 1, 1), (16, 0.1, 9, 0.8, 4, 1.0, 1, 0, 0, 1),
+    (1, 0.0, 1, 1.0, 6, 0.0, 1, 0, 0, 1), (6, 0.2, 5, 0.0, 2, 1.0, 1, 0, 0, 1),
+    (300, 0.0, 200, 0.0, 90, 0.0, 0, 1, 0, 1), (600, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1),
+    (170, 0.0, 0, 0.0, 0, 0.0, 0, 1, 0, 1), (200, 0.1, 4, 0.0, 250, 0.0, 0, 1, 0, 1),
+    (400, 0.0, 0, 0.0, 30, 0.0, 0, 2, 0, 0), (700, 0.0, 300, 0.0, 100, 0.0, 1, 3, 0, 0),
+    (120, 0.0, 40, 0.0, 60, 0.0, 1, 2, 0, 0), (130, 0.0, 0, 0.0, 9, 0.0, 0, 3, 0, 0),
+    (180, 0.9, 20, 0.0, 6, 0.0, 0, 1, 0, 0), (220, 0.7, 0, 0.0, 0, 0.0, 0, 1, 0, 0),
 )
 
 Tree = tuple | int
@@ -261,11 +280,11 @@ def judge(tree: Tree, features: Sequence[float]) -> int:
 def main_text(page: str | None, tree: Tree) -> str:
     """The kept blocks of the page, joined by an empty line."""
     found = blocks(page) if page else []
-    nothing = Block("", 0, 0, False, False, False)
+    nothing = Block("", 0, 0, False, 0, False)
     around = [nothing, *found, nothing]
     return "\n\n".join(b.text for before, b, after in zip(around, found, around[2:])
                        if judge(tree, (b.words, b.density, before.words, before.density, after.words,
-                                       after.density, b.article, b.marked, b.heading)))
+                                       after.density, b.article, b.mark, b.heading)))
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",

@@ -125,6 +125,31 @@ def test_boilerplate_is_still_dropped(wrapper):
         assert text(page.replace(f"<{wrapper}><p>", f"<{wrapper}><article><p>")) == BODY
 
 
+def test_short_pages_without_article_are_kept_by_their_neighbours():
+    assert text("<body><p>Hello world. Short page text.</p></body>") == "Hello world. Short page text."
+    assert text("<body><h2>Small head</h2><p>One line here.<p>And one more.</body>") == (
+        "Small head\n\nOne line here.\n\nAnd one more.")
+    between = "<div><a href=a>One</a></div><div>8 May</div><div><a href=b>Two links</a></div>"
+    assert text(f"<body>{between}</body>") == ""
+    features = set()
+
+    def used(tree):
+        if not isinstance(tree, int):
+            features.add(tree[0])
+            used(tree[2]), used(tree[3])
+    used(TREE)
+    assert {0, 1, 3, 5, 6, 7} <= features      # words, densities of all three, article, mark
+
+
+def test_marked_texts_are_judged_by_the_tree_at_any_length():
+    for n in (20, 150, 800, 5000):
+        body = " ".join(["plain"] * n)
+        assert text(f"<div class='comments'><p>{body}</p></div>") == ""
+        assert text(f"<article><p><a href=x>{body}</a></p></article>") == ""
+        assert text(f"<article><p>{body}</p></article>") == body
+        assert text(f"<div class='sidebar'><p>{body}</p></div>") == (body if n > 100 else "")
+
+
 def test_unmatched_end_tags_take_linear_time():
     import time
     begun = time.perf_counter()
