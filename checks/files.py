@@ -9,7 +9,7 @@ from checks.common import SCHEMAS, Query, load, plain
 from tallystar.functions.money import exact_sum, hundredths
 from tallystar.functions.naming import log_normalised
 from tallystar.sources.shared import fresh_path
-from tallystar.sources.tables import (TEXTS_PER_FILE, read_csv, read_parquet, replace_table,
+from tallystar.sources.tables import (BYTES_PER_FILE, read_csv, read_parquet, replace_table,
                                       table, write_csv)
 
 
@@ -44,7 +44,7 @@ def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts with newlines and quotes to CSV and back."""
     docs = load(spark, sf_dir, "documents")
     path = fresh_path(spark, "documents-csv")
-    write_csv(docs, path, TEXTS_PER_FILE)
+    write_csv(docs, path, BYTES_PER_FILE)
     return read_csv(spark, path, docs.schema, newlines_in_cells=True)
 
 

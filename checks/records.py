@@ -64,6 +64,27 @@ def operators(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.flatten(parse_profiles(profile_lines(spark, sf_dir)))
 
 
+LINK = ('{"operator_type": "STEP", "operator_timing": %s, "operator_rows_scanned": %s, '
+        '"operator_cardinality": %s, "extra_info": {"Text": "%s", "Filters": []}, "children": [')
+
+
+def deep_operators(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trees that are as deep as a part has lines, each line being the only child of the last."""
+    lines = load(spark, sf_dir, "lineitem").select(
+        "l_partkey", F.struct("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag").alias("line"))
+    link = lambda at: F.format_string(LINK, *(at[c].cast("string") for c in (
+        "l_quantity", "l_orderkey", "l_linenumber", "l_returnflag")))
+    trees = lines.groupBy("l_partkey").agg(F.array_sort(F.collect_list("line")).alias("lines")).select(
+        F.concat(F.lit('{"benchmark_name": "SSBQ1v1S1T1", "scale_factor": "'),
+                 F.col("l_partkey").cast("string"), F.lit('", "thread_count": "1", "children": ['),
+                 F.array_join(F.transform("lines", link), ""),
+                 F.repeat(F.lit("]}"), F.size("lines") + 1)).alias("value"))
+    found = profiles.flatten(parse_profiles(trees))
+    return found.select(F.col("scale_factor").alias("part"), F.size("path").alias("level"),
+                        F.array_max("path").alias("last_child"), "table", "timing", "rows_scanned",
+                        F.col("cardinality").cast("int").alias("cardinality"), "has_filter")
+
+
 def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.require_consistent(profiles.by_position(operators(spark, sf_dir)))
 
@@ -211,6 +232,7 @@ QUERIES: dict[str, Query] = {
     "profile_runs": run_rows,
     "profile_by_run": lambda s, d: rounded(profiles.by_run_group(run_rows(s, d)), "avg_elapsed", digits=7),
     "profile_operators": lambda s, d: with_text_path(operators(s, d)),
+    "profile_deep_operators": deep_operators,
     "profile_by_position": lambda s, d: rounded(named_positions(s, d), "timing", digits=12),
     "profile_by_type": lambda s, d: rounded(types(s, d), "timing", digits=12),
     "profile_largest": lambda s, d: rounded(
@@ -327,6 +349,13 @@ ORACLES: dict[str, str] = {
     "profile_runs": f"{PER_ORDER} SELECT * FROM run_rows",
     "profile_by_run": BY_RUN,
     "profile_operators": f"{PER_ORDER} SELECT * FROM operators",
+    "profile_deep_operators": """
+        SELECT CAST(l_partkey AS INTEGER) AS part, CAST(row_number() OVER (
+                   PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_quantity, l_returnflag
+               ) AS INTEGER) AS level, 0 AS last_child, l_returnflag AS "table",
+               CAST(l_quantity AS DOUBLE) AS timing, CAST(l_orderkey AS BIGINT) AS rows_scanned,
+               CAST(l_linenumber AS INTEGER) AS cardinality, true AS has_filter
+        FROM lineitem""",
     "profile_by_position": f"""{PER_ORDER}
         SELECT benchmark_name, query, scale_factor, threads, path, consistent, runs,
                round(timing, 12) AS timing, rows_scanned, cardinality, has_filter, has_projection,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,12 +79,49 @@ def _children(at: Column) -> Column:
         F.concat(at["path"], F.array(i)).alias("path"), child.alias("node")))
 
 
+#: What ``_node`` makes of an operator.
+_NODE = ("path array<int>, operator_type string, table string, timing double, "
+         "rows_scanned bigint, cardinality bigint, has_filter boolean, has_projection boolean")
+
+
+def _below(rests: str) -> Column:
+    """The operators in texts of children with their paths, however deep."""
+    node_type = pa.list_(pa.struct([
+        ("path", pa.list_(pa.int32())), ("operator_type", pa.string()), ("table", pa.string()),
+        ("timing", pa.float64()), ("rows_scanned", pa.int64()), ("cardinality", pa.int64()),
+        ("has_filter", pa.bool_()), ("has_projection", pa.bool_())]))
+
+    def walk(path: list[int], rest: str) -> Iterator[dict]:
+        todo = [([*path, i], node) for i, node in enumerate(json.loads(rest) or [])]
+        while todo:
+            path, node = todo.pop()
+            info = node.get("extra_info") or {}
+            text = info.get("Text")
+            if text is not None and not isinstance(text, str):
+                text = json.dumps(text, separators=(",", ":"), ensure_ascii=False)
+            yield {"path": path, "operator_type": node.get("operator_type"), "table": text,
+                   "timing": node.get("operator_timing"),
+                   "rows_scanned": node.get("operator_rows_scanned"),
+                   "cardinality": node.get("operator_cardinality"),
+                   "has_filter": "Filters" in info, "has_projection": "Projections" in info}
+            todo += [([*path, i], child) for i, child in enumerate(node.get("children") or [])]
+
+    def found(column: pa.Array) -> pa.Array:
+        return pa.array([[node for at in row or () for node in walk(at["path"], at["rest"])]
+                         for row in column.to_pylist()], node_type)
+
+    found.__annotations__ = {"column": pa.Array, "return": pa.Array}
+    return F.arrow_udf(found, f"array<struct<{_NODE}>>")(rests)
+
+
 def flatten(profiles: DataFrame, depth: int = PROFILE_DEPTH) -> DataFrame:
     """One row per operator of every run.
 
-    ``path`` holds the child positions, first that of the root among the profile's children. The tree is walked level by level inside the row, so no shuffle is needed:
-    ``done`` collects operators and ``todo`` holds the subtrees still to visit. Operators
-    below ``depth`` levels raise an error rather than getting lost.
+    ``path`` holds the child positions, first that of the root among the profile's children. The
+    tree is walked level by level inside the row, so no shuffle is needed: ``done`` collects
+    operators and ``todo`` holds the subtrees still to visit. ``depth`` is the number of levels
+    that the profiles were parsed to. Subtrees below them, of any depth that the JSON parser takes
+    (1,000 nested brackets, so about 490 levels), go through an Arrow function as their text.
     """
     root = F.transform(F.coalesce("children", F.array()), lambda child, i: F.struct(
         F.array(i).alias("path"), child.alias("node")))
@@ -96,12 +135,12 @@ def flatten(profiles: DataFrame, depth: int = PROFILE_DEPTH) -> DataFrame:
         if level < depth - 1:
             todo = F.flatten(F.transform("todo", _children))
         else:
-            todo = F.transform("todo", lambda at: F.coalesce(at["node"]["children"], F.lit("[]")))
+            rests = F.transform("todo", lambda at: F.struct(
+                at["path"].alias("path"), at["node"]["children"].alias("rest")))
+            todo = F.filter(rests, lambda at: F.trim(F.coalesce(at["rest"], F.lit("[]"))) != "[]")
         walk = walk.select(*RUN_KEYS, done.alias("done"), todo.alias("todo"))
-    deeper = F.exists("todo", lambda rest: F.trim(rest) != "[]")
-    checked = F.when(deeper, F.raise_error(F.lit(f"operator tree deeper than {depth} levels"))
-                     ).otherwise(F.col("done"))
-    return walk.select(*RUN_KEYS, F.inline(checked))
+    return (walk.withColumn("deeper", _below("todo"))
+            .select(*RUN_KEYS, F.inline(F.concat("done", "deeper"))))
 
 
 def by_position(operators: DataFrame) -> DataFrame:

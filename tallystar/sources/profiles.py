@@ -15,7 +15,8 @@ from tallystar.sources.schemas import PROFILE_DEPTH, profile_schema
 def parse_profiles(lines: DataFrame, column: str = "value", depth: int = PROFILE_DEPTH) -> DataFrame:
     """One profile per row from JSON text; the other columns are kept.
 
-    ``depth`` is the number of levels that operator trees may have.
+    ``depth`` is the number of levels of operators that become columns; what lies below stays
+    JSON text, which ``flatten`` reads when it is given the same depth.
     """
     kept = [c for c in lines.columns if c != column]
     parsed = F.from_json(column, profile_schema(depth), {"mode": "FAILFAST"}).alias("_p")

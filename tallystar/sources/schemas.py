@@ -12,8 +12,8 @@ TPCH_RUNS = ("query_id string, query_index int, schema string, warehouse_size st
              "elapsed_seconds double, elapsed_ms bigint")
 SENTIMENT_RUNS = "repetition int, query_type string, elapsed_seconds double, elapsed_ms bigint"
 
-# Deepest operator tree that is read, counted in levels below the root of a profile.
-PROFILE_DEPTH = 16
+# Levels of operators, below the root of a profile, that are read as columns.
+PROFILE_DEPTH = 10
 
 
 def _operator(levels_below: int) -> T.StructType:
@@ -37,8 +37,7 @@ def profile_schema(depth: int = PROFILE_DEPTH) -> T.StructType:
     """A run with its operator tree unrolled to ``depth`` levels.
 
     ``extra_info`` is a map to text, because its members are strings or arrays by turns; an
-    array is kept as its JSON text. So are the children below the last level, of which
-    there must be none.
+    array is kept as its JSON text. So are the children below the last level.
     """
     return T.StructType([
         T.StructField("benchmark_name", T.StringType()),

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from tallystar.sources.schemas import MODEL
 
@@ -16,7 +18,8 @@ CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"',
 # A missing value is written as nothing and an empty text as "". The reader tells them apart
 # only if its null marker is not empty too.
 READ_NULL = "\0"
-TEXTS_PER_FILE = 50_000
+FILE_COLUMN = "_file"
+BYTES_PER_FILE = 1 << 27
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Mapping[str, str] | None = None,
@@ -53,14 +56,51 @@ def replace_table(df: DataFrame, target: str, folder: str | None = None) -> None
         (writer if folder is None else writer.option("path", folder)).saveAsTable(target)
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 0) -> None:
+def _line_bytes(df: DataFrame) -> Column:
+    """At least what a row takes in a CSV file: quoted cells, doubled quotes, separators."""
+    sizes = [F.octet_length(F.replace(f"`{f.name}`", F.lit('"'), F.lit('""')))
+             if isinstance(f.dataType, StringType)
+             else F.octet_length(F.col(f"`{f.name}`").cast("string")) + 16 for f in df.schema]
+    return sum((F.coalesce(s, F.lit(0)).cast("bigint") + 3 for s in sizes), F.lit(0).cast("bigint"))
+
+
+def _cut_by_bytes(df: DataFrame, limit: int) -> DataFrame:
+    """Number the files of each task in a column of their own, rows in order, by running sums."""
+    header = sum(len(c.encode()) + 3 for c in df.columns)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, held = 0, header
+        for batch in batches:
+            ends = np.cumsum(batch.column(batch.num_columns - 1).to_numpy())
+            files, begin, before = np.empty(len(ends), np.int64), 0, 0
+            while begin < len(ends):
+                end = int(np.searchsorted(ends, before + limit - held, "right"))
+                if end <= begin:                    # the next row does not fit
+                    if held > header:
+                        file, held = file + 1, header
+                        continue
+                    end = begin + 1                 # a row above the limit has a file of its own
+                files[begin:end] = file
+                held += int(ends[end - 1]) - before
+                begin, before = end, int(ends[end - 1])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(files)], batch.schema.names)
+
+    sized = df.withColumn(FILE_COLUMN, _line_bytes(df))
+    return sized.mapInArrow(cut, StructType([*df.schema.fields, sized.schema[FILE_COLUMN]]))
+
+
+def write_csv(df: DataFrame, path: str, bytes_per_file: int = 0) -> None:
     """A folder of CSV files with headers and no index, one file per task.
 
-    A file with newlines inside cells is read by one task, so ``rows_per_file`` should cut
-    tables of texts into files that one task can read.
+    A file with newlines inside cells is read by one task, so ``bytes_per_file`` should cut
+    tables of texts into files that one task can read: no file is larger, but for a single row
+    that is. No row is shuffled for it.
     """
-    (df.write.mode("overwrite").options(**CSV_OPTIONS)
-       .option("maxRecordsPerFile", rows_per_file).csv(path))
+    if bytes_per_file:
+        writer = _cut_by_bytes(df, bytes_per_file).write.partitionBy(FILE_COLUMN)
+    else:
+        writer = df.write
+    writer.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str,
@@ -69,16 +109,16 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str,
 
     Without newlines inside cells a large file is split among tasks.
     """
-    return (spark.read.schema(schema).options(**CSV_OPTIONS)
+    return (spark.read.schema(schema).options(**CSV_OPTIONS).option("recursiveFileLookup", True)
             .option("nullValue", READ_NULL).option("multiLine", newlines_in_cells).option("mode", "FAILFAST")
             .csv(path))
 
 
 def convert_to_csv(spark: SparkSession, parquet_path: str, csv_path: str,
-                   columns: Sequence[str] | None = None, rows_per_file: int = 0) -> None:
+                   columns: Sequence[str] | None = None, bytes_per_file: int = 0) -> None:
     """Parquet to CSV, all columns or the named ones."""
     df = spark.read.parquet(parquet_path)
-    write_csv(df.select(*columns) if columns else df, csv_path, rows_per_file)
+    write_csv(df.select(*columns) if columns else df, csv_path, bytes_per_file)
 
 
 # The words of a model hold only letters and digits, so no cell is ever quoted; empty and

@@ -137,22 +137,24 @@ def test_series_fill_an_operator_that_a_run_does_without(spark):
     assert rows(wide.where("operator_type = 'FILTER'"), "10", "100") == [(0.002 / 4, 0.0)]
 
 
-def test_too_deep_a_tree_is_an_error(spark):
-    tree = node("LEAF", 0.1, 1, 1)
-    for _ in range(4):
-        tree = node("INNER", 0.1, 0, 1, children=[tree])
+def test_trees_of_any_depth(spark):
+    tree, want = node("LEAF", 0.1, 1, 1), 1
+    for i in range(400):
+        tree = node("INNER", 0.25, i, 1, children=[node("SIDE", 0.5, 7, 2), tree])
+        want += 2
     deep = dict(run("SSBQ1v1S1T1", 1, 1.0), children=[tree])
-    lines = spark.createDataFrame([(json.dumps(deep),)], "value string")
-    parsed = files.parse_profiles(lines)
-    assert pf.flatten(parsed).count() == 5
-    levels = 20
-    for _ in range(levels - 4):
-        tree = node("INNER", 0.1, 0, 1, children=[tree])
-    deep["children"] = [tree]
-    lines = spark.createDataFrame([(json.dumps(deep),)], "value string")
-    with pytest.raises(Exception, match="deeper than"):
-        pf.flatten(files.parse_profiles(lines)).collect()
-    assert pf.flatten(files.parse_profiles(lines, depth=21), depth=21).count() == 21
+    lines = spark.createDataFrame([(json.dumps(deep),), (json.dumps(run("SSBQ1v2S1T1", 1, 1.0)),)],
+                                  "value string")
+    flat = pf.flatten(files.parse_profiles(lines))
+    got = {tuple(r.path): r for r in flat.where("query = '1.1'").collect()}
+    assert len(got) == want and got[(0,) + (1,) * 400].operator_type == "LEAF"
+    for level in (1, 15, 16, 17, 250):
+        inner, side = got[(0,) + (1,) * level], got[(0,) + (1,) * level + (0,)]
+        assert (inner.operator_type, inner.timing, inner.rows_scanned) == ("INNER", 0.25, 399 - level)
+        assert (side.operator_type, side.timing, side.cardinality) == ("SIDE", 0.5, 2)
+    for depth in (1, 3):
+        shallow = pf.flatten(files.parse_profiles(lines, depth=depth), depth=depth)
+        assert rows(shallow) == rows(flat)
 
 
 @pytest.mark.parametrize("indent", [None, 2])

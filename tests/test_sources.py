@@ -36,6 +36,19 @@ def test_csv_round_trip(spark, people, tmp_path):
     assert rows(tables.read_csv(spark, target, df.schema, newlines_in_cells=True)) == rows(df)
 
 
+def test_csv_files_are_cut_by_bytes(spark, tmp_path):
+    target = tmp_path / "csv"
+    texts = [(i, (' "q",\n' + "word " * (i * 37 % 400)) * (50 if i == 77 else 1), i / 3, None) for i in range(200)]
+    df = spark.createDataFrame(texts, "id long, text string, x double, none string").coalesce(2)
+    tables.write_csv(df, str(target), bytes_per_file=6000)
+    sizes = sorted(f.stat().st_size for f in target.rglob("*.csv"))
+    assert sizes[-2] <= 6000 < sizes[-1] and len(sizes) > 20      # one text alone is larger
+    assert sum(sizes[:-1]) / len(sizes[:-1]) > 3000
+    assert rows(tables.read_csv(spark, str(target), df.schema, newlines_in_cells=True)) == rows(df)
+    tables.write_csv(df.limit(0), str(target), bytes_per_file=6000)
+    assert rows(tables.read_csv(spark, str(target), df.schema, newlines_in_cells=True)) == []
+
+
 def test_csv_of_some_columns_reads_only_these(spark, people, tmp_path):
     target = str(tmp_path / "csv")
     tables.convert_to_csv(spark, people, target, ["id", "x"])
