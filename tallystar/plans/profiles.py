@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystar.functions.naming import query_name
-from tallystar.functions.seconds import mean_seconds
+from tallystar.functions.seconds import mean_of_sums, mean_seconds, second_sums
 from tallystar.sources.schemas import PROFILE_DEPTH
 
 RUN_KEYS = ("benchmark_name", "query", "scale_factor", "threads")
@@ -149,14 +149,20 @@ def by_position(operators: DataFrame) -> DataFrame:
     ``consistent`` says whether all repetitions agree in operator and table there. A scan
     counts as filtered or projected if it is so in every repetition.
     """
-    return operators.groupBy(*RUN_KEYS, "path").agg(
+    # Operator and table are keys first: minima of texts would need all operators sorted.
+    each = operators.groupBy(*RUN_KEYS, "path", "operator_type", "table").agg(
+        F.count("*").alias("runs"), second_sums("timing").alias("timing"),
+        *(F.struct(F.sum(F.col(m).cast("double")).alias("sum"), F.count(m).alias("n")).alias(m)
+          for m in ("rows_scanned", "cardinality")),
+        F.bool_and("has_filter").alias("has_filter"), F.bool_and("has_projection").alias("has_projection"))
+    return each.groupBy(*RUN_KEYS, "path").agg(
         F.min("operator_type").alias("operator_type"), F.min("table").alias("table"),
         (F.min("operator_type").eqNullSafe(F.max("operator_type"))
          & F.min("table").eqNullSafe(F.max("table"))).alias("consistent"),
-        F.count("*").alias("runs"),
-        mean_seconds("timing").alias("timing"), F.avg("rows_scanned").alias("rows_scanned"),
-        F.avg("cardinality").alias("cardinality"), F.bool_and("has_filter").alias("has_filter"),
-        F.bool_and("has_projection").alias("has_projection"))
+        F.sum("runs").alias("runs"), mean_of_sums("timing").alias("timing"),
+        *(F.try_divide(F.sum(f"{m}.sum"), F.sum(f"{m}.n")).alias(m)
+          for m in ("rows_scanned", "cardinality")),
+        F.bool_and("has_filter").alias("has_filter"), F.bool_and("has_projection").alias("has_projection"))
 
 
 def require_consistent(positions: DataFrame) -> DataFrame:

@@ -300,3 +300,18 @@ def test_grid_records_every_run(spark):
     starts = [r.start_time for r in got.collect()]
     assert starts == sorted(starts, reverse=True)
     assert run_stats.finished_runs(renamed, "someone", ids).count() == 0
+
+
+def test_objects_are_cut_where_they_lie(spark, tmp_path):
+    (tmp_path / "log.json").write_text(json.dumps(RUNS))
+    plan = files.read_back_to_back(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    # Only block sums and the ends of blocks are shuffled, each by file.
+    assert all("hashpartitioning(file" in line for line in plan.split("\n") if " Exchange " in line)
+
+
+def test_positions_are_averaged_without_sorting_operators(spark, array_file):
+    flat = pf.flatten(files.read_profiles(spark, array_file))
+    plan = pf.by_position(flat)._jdf.queryExecution().executedPlan().toString()
+    first = [line for line in plan.split("\n") if "Aggregate(keys=[benchmark_name" in line][-1]
+    assert "HashAggregate" in first and "partial_" in first
