@@ -7,6 +7,9 @@ and numbers come from the row, so the work grows with the tables.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -120,20 +123,34 @@ def scale_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.timing_series(chosen, "scale_factor", SCALES)
 
 
+# Compressed files are read by one task each, so they are kept short.
+OBJECTS_PER_FILE = 50_000
+
+
+def write_texts(lines: DataFrame, path: str, lines_per_file: int) -> None:
+    """Compressed text files, a row per line, none longer than so many lines."""
+    (lines.write.option("compression", "gzip").option("maxRecordsPerFile", lines_per_file).text(path))
+
+
 def back_to_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profiles written one after the other without commas, read and grouped by run."""
     path = fresh_path(spark, "profiles")
-    profile_lines(spark, sf_dir).write.text(path)
+    write_texts(profile_lines(spark, sf_dir), path, OBJECTS_PER_FILE)
     return profiles.by_run_group(profiles.runs(read_back_to_back(spark, path)))
 
 
 def written_arrays(lines: DataFrame, name: str) -> str:
-    """The objects as JSON arrays of about a hundred, one array per file and several files."""
+    """The objects as JSON arrays of a hundred at most, several arrays per file, as they lie."""
     path = fresh_path(lines.sparkSession, name)
-    some = F.pmod(F.xxhash64("value"), F.greatest(F.lit(1), F.ceil(lines.agg(F.count("*")).scalar() / 100)))
-    arrays = lines.groupBy(some.alias("part")).agg(F.concat(
-        F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
-    arrays.select("value").write.text(path)
+
+    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array(
+                ["[\n" + ",\n".join(values[i:i + 100]) + "]" for i in range(0, len(values), 100)],
+                pa.string())], ["value"])
+
+    write_texts(lines.mapInArrow(arrays, "value string"), path, OBJECTS_PER_FILE // 100)
     return path
 
 

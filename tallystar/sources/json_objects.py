@@ -1,65 +1,150 @@
 """JSON objects from files that hold an array of them, or one after the other (IO15, IO16, IO18).
 
 The text source cuts a file at every opening brace, so many tasks read a large one. Whether a
-piece begins inside a string, and how deep in objects, are running sums over the pieces before
-it: of quotes and of braces outside strings, first within each block of a file, then over its
-blocks. An object of its own begins at depth 0; its pieces are put together again.
+block of a file begins inside a string, and how deep in objects, are running sums over the blocks
+before it: of quotes, and of braces outside strings for both cases. They take a first pass that
+gives one row per block. The second pass cuts each block at the objects of their own, those that
+begin at depth 0; only what lies at a block's ends travels to be put together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK = ("file", "block")
 
 
-def _running(pieces: DataFrame, value: Column, name: str) -> DataFrame:
-    """Add the sum of a value over all pieces of the file before this one."""
-    valued = pieces.withColumn("_value", value)
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (valued.groupBy(*BLOCK).agg(F.sum("_value").alias("_sum"))
-               .select(*BLOCK, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset")))
-    within = Window.partitionBy(*BLOCK).orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
-    inside = F.coalesce(F.sum("_value").over(within), F.lit(0))
-    return (valued.withColumn("_inside", inside).join(offsets, list(BLOCK))
-            .withColumn(name, F.col("_inside") + F.col("_offset"))
-            .drop("_value", "_inside", "_offset"))
-
-
-def _closing(parts: Column, first: int) -> Column:
-    """Closing braces in every second part between quotes, from the first on."""
-    chosen = F.filter(parts, lambda _, i: i % 2 == first)
-    return F.regexp_count(F.array_join(chosen, ""), F.lit(r"\}"))
-
-
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
     """(value): the text of every top-level object of every file under the path.
 
     Commas and brackets of an array and any white space may stand between objects; any other
     text there is an error.
     """
-    parts = F.split(F.regexp_replace("text", r"\\.", ""), '"')
-    pieces = (spark.read.option("lineSep", "{").text(path)
-              .select(F.col("value").alias("text"), F.col("_metadata.file_path").alias("file"),
-                      F.col("_metadata.file_block_start").alias("block"),
-                      F.monotonically_increasing_id().alias("at"))
-              .withColumns({"quotes": F.size(parts) - 1, "outside": _closing(parts, 0),
-                            "within": _closing(parts, 1)}))
-    counted = _running(_running(pieces, F.col("quotes"), "quoted"), F.lit(1), "number")
-    text = F.col("quoted") % 2 == 1                   # the piece begins inside a string
-    opened = ~text & (F.col("number") > 0)
-    deep = _running(counted.withColumn("opened", opened), F.col("opened").cast("int") - F.when(
-        text, F.col("within")).otherwise(F.col("outside")), "depth")
-    begins = F.col("opened") & (F.col("depth") == 0)
-    placed = _running(deep.withColumn("begins", begins), F.col("begins").cast("int"), "earlier")
-    whole = placed.groupBy("file", (F.col("earlier") + F.col("begins").cast("int")).alias("object")).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("number", "text"))),
-                                 lambda piece: piece["text"]), "{").alias("text"))
-    # Number 0 is what stands before the first brace.
+    # Functions that tasks run are nested, so that executors need no copy of this package.
+    quote, opening, closing, back = b'"{}\\'
+    marks = np.zeros(256, bool)
+    marks[[quote, opening, closing]] = True
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes]]:
+        """(columns but the text, bytes) of stretches of blocks, with the braces put back."""
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            texts = batch.column("text").to_pylist()
+            file, block = batch.column("file"), batch.column("block").to_numpy()
+            code = file.dictionary_encode().indices.to_numpy()
+            cuts = np.flatnonzero((np.diff(code) != 0) | (np.diff(block) != 0)) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
+                key = tuple(batch.column(i)[a].as_py() for i in range(1, batch.num_columns))
+                # No brace stands before a file's first piece.
+                start = b"" if key != last and not key[1] else b"{"
+                last = key
+                yield key, start + b"{".join(texts[a:b])
+
+    def scan(data: bytes, text: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+        """Positions of braces, 1 or -1 for each, whether a string holds it, quotes in all."""
+        chars = np.frombuffer(data, np.uint8)
+        at = np.flatnonzero(marks[chars])
+        kind = chars[at]
+        quotes = kind == quote
+        if back in data:
+            plain = np.maximum.accumulate(np.where(chars == back, -1, np.arange(len(chars))))
+            before = at[quotes] - 1
+            run = np.where(before >= 0, before - plain[np.maximum(before, 0)], 0)
+            quotes[quotes] = run % 2 == 0
+        held = (np.cumsum(quotes) + text) % 2
+        brace = kind != quote
+        return (at[brace], np.where(kind[brace] == opening, 1, -1), held[brace] == 1,
+                int(np.count_nonzero(quotes)))
+
+    def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, sums = None, [0, 0, 0]
+
+        def row():
+            return pa.RecordBatch.from_pylist([{"file": key[0], "block": key[1], "quotes": sums[0],
+                                                "outside": sums[1], "within": sums[2]}])
+        for at, data in blocks(batches):
+            if at != key:
+                if key is not None:
+                    yield row()
+                key, sums = at, [0, 0, 0]
+            _, step, held, quotes = scan(data, sums[0] % 2)
+            sums = [sums[0] + quotes, sums[1] + int(step[~held].sum()), sums[2] + int(step[held].sum())]
+        if key is not None:
+            yield row()
+
+    names = ["file", "block", "part", "text", "whole"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Objects that lie in a block, and apart from them what is at its ends (part 0 and 1)."""
+        key, open_, part, text, depth = None, [], 0, 0, 0
+
+        def rows(whole):
+            none = [pa.nulls(len(whole), kind) for kind in (pa.string(), pa.int64(), pa.int32(), pa.binary())]
+            return pa.RecordBatch.from_arrays([*none, pa.array(whole, pa.binary())], names)
+
+        def end(part):
+            return pa.RecordBatch.from_arrays(
+                [pa.array([key[0]]), pa.array([key[1]]), pa.array([part], pa.int32()),
+                 pa.array([b"".join(open_)], pa.binary()), pa.nulls(1, pa.binary())], names)
+
+        for at, data in blocks(batches):
+            if at != key:
+                if key is not None:
+                    yield end(part)
+                key, open_, part, text, depth = at, [], 0, at[2] % 2, at[3]
+            where, step, held, quotes = scan(data, text)
+            where, step = where[~held], step[~held]
+            deep = depth + np.cumsum(step)
+            begins = where[(step == 1) & (deep == 1)].tolist()
+            text = (text + quotes) % 2
+            depth = int(deep[-1]) if len(deep) else depth
+            if not begins:
+                open_.append(data)
+                continue
+            open_.append(data[:begins[0]])
+            whole = [data[a:b] for a, b in zip(begins, begins[1:])]
+            if part:
+                whole.append(b"".join(open_))
+            else:
+                yield end(0)
+            if whole:
+                yield rows(whole)
+            open_, part = [data[begins[-1]:]], 1
+        if key is not None:
+            yield end(part)
+
+    pieces = spark.read.option("lineSep", "{").text(path).select(
+        F.col("value").cast("binary").alias("text"), F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = lambda name: F.coalesce(F.sum(name).over(before), F.lit(0))
+    starts = (pieces.mapInArrow(
+        summaries, "file string, block long, quotes long, outside long, within long")
+        .withColumn("quoted", earlier("quotes"))
+        .withColumn("step", F.when(F.col("quoted") % 2 == 1, F.col("within")).otherwise(F.col("outside")))
+        .select(*BLOCK, "quoted", earlier("step").alias("depth")))
+    parts = (pieces.join(F.broadcast(starts), list(BLOCK)).select("text", *BLOCK, "quoted", "depth")
+             .mapInArrow(cut, "file string, block long, part int, text binary, whole binary"))
+    # An end belongs to the last object that began in a block before; number -1 is what stands
+    # before a file's first object.
+    upto = Window.partitionBy("file").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, 0)
+    ends = parts.where("file IS NOT NULL").withColumn("object", F.coalesce(F.last(
+        F.when(F.col("part") == 1, F.col("block")), True).over(upto), F.lit(-1)))
+    joined = ends.groupBy("file", "object").agg(F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.struct("block", "part", F.col("text").cast("string").alias("text")))),
+        lambda piece: piece["text"]), "").alias("text"))
+    whole = (parts.select(F.lit(0).alias("object"), F.col("whole").cast("string").alias("text"))
+             .unionAll(joined.select("object", "text")))
     cleaned = F.regexp_replace("text", r"[\s,\[\]]+$", "")
-    value = F.when(F.col("object") == 0, F.when(
+    value = F.when(F.col("object") == -1, F.when(
         F.col("text").rlike(r"[^\s\[\],\x{feff}]"), F.raise_error(F.lit("text before an object")))).when(
         ~cleaned.endswith("}"), F.raise_error(F.lit("text after an object, or an object cut off"))
-        ).otherwise(F.concat(F.lit("{"), cleaned))
+        ).otherwise(cleaned)
     return whole.select(value.cast("string").alias("value")).where("value IS NOT NULL")
