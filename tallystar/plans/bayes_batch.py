@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallystar.functions.arrow_text import row_words, slices
 from tallystar.functions.probability import LOG_PART, LOG_UNIT
 from tallystar.functions.text import clean
 from tallystar.operators.salting import salted_join
@@ -154,19 +155,33 @@ def _predict_in_tasks(docs: DataFrame, model: HeldModel) -> DataFrame:
     return scored.select("label", "_p.predicted_label", "_p.ranking", "text", "_p.known")
 
 
-def _predict_by_join(docs: DataFrame, model: DataFrame) -> DataFrame:
-    """Score each distinct text once and bring the result back to all of its copies."""
+def predict_by_join(docs: DataFrame, model: DataFrame, counted: DataFrame | None = None) -> DataFrame:
+    """Score each distinct text once and bring the result back to all of its copies.
+
+    No text is grouped: copies are known by their hash, and their words are counted in each, then
+    taken once. ``counted`` is (doc_id, value, tf) of the distinct texts,
+    named by ``unhex(sha2(text, 256))``, if that is known already.
+    """
     joined_model = _as_joined_model(model)
-    keyed = _checked(docs, model).withColumn("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256))
-    texts = keyed.groupBy("doc_id").agg(F.any_value("text").alias("text"),
-                                        F.count("*").alias("copies"))
-    best = best_label(scores(texts, joined_model))
+    keyed = _checked(docs, model).withColumn(
+        "doc_id", F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256)))
+    copies = keyed.groupBy("doc_id").agg(F.count("*").alias("copies"))
+    if counted is None:
+        def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in slices(batch):
+                    yield from row_words(part).to_batches()
+
+        found = keyed.select("doc_id", "text").mapInArrow(
+            words, "doc_id binary, value string, tf bigint")
+        counted = found.groupBy("doc_id", "value").agg(F.max("tf").alias("tf"))
+    best = best_label(scores(keyed, joined_model, counted=counted))
     prior = best_prior(joined_model)
-    scored = (texts.select("doc_id").join(best, "doc_id", "left")
+    scored = (copies.select("doc_id").join(best, "doc_id", "left")
               .select("doc_id", F.coalesce("label", prior["label"]).alias("predicted_label"),
                       F.coalesce("rank", prior["rank"]).alias("ranking"),
                       F.col("rank").isNotNull().alias("known")))
-    hot = texts.where(F.col("copies") * HOT_SHARE >= docs.agg(F.count("*")).scalar())
+    hot = copies.where(F.col("copies") * HOT_SHARE >= docs.agg(F.count("*")).scalar())
     return (salted_join(keyed, scored, "doc_id", hot, F.monotonically_increasing_id(), SALTS)
             .select("label", "predicted_label", "ranking", "text", "known"))
 
@@ -186,7 +201,7 @@ def predict_rows(docs: DataFrame, model: DataFrame, unknown_docs: str = "prior",
     if in_tasks and held is None:
         raise ValueError(f"the model is larger than {MAX_MODEL_BYTES} bytes")
     rows = docs.select("label", "text")
-    rows = _predict_by_join(rows, model) if held is None else _predict_in_tasks(rows, held)
+    rows = predict_by_join(rows, model) if held is None else _predict_in_tasks(rows, held)
     if unknown_docs == "drop":
         rows = rows.where("known")
     return rows.select(F.col("label").alias("expected_label"), "predicted_label", "ranking", "text")

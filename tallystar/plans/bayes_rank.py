@@ -36,16 +36,19 @@ def known_words(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return kept.select("doc_id", "value", F.explode(F.sequence(F.lit(1), "tf")).alias("_n")).drop("_n")
 
 
-def scores(docs: DataFrame, model: DataFrame, salts: int = SALTS) -> DataFrame:
+def scores(docs: DataFrame, model: DataFrame, salts: int = SALTS,
+           counted: DataFrame | None = None) -> DataFrame:
     """(doc_id, label, rank) of every document that has a known word, for every label.
 
     Words are counted per document before they travel. The join with the model drops
     unknown words; words that are frequent in some label are spread over ``salts`` places.
+    ``counted`` is ``word_frequencies(docs)`` if that is known already.
     """
+    if counted is None:
+        counted = word_frequencies(docs)
     hot = model.where(F.col("word_prop") >= 1.0 / HOT_WORDS).select("value")
     probabilities = model.select("value", "label", "word_prop", "label_prop")
-    matched = salted_join(word_frequencies(docs), probabilities, "value", hot,
-                          F.col("doc_id"), salts)
+    matched = salted_join(counted, probabilities, "value", hot, F.col("doc_id"), salts)
     sums = matched.groupBy("doc_id", "label").agg(
         F.max("label_prop").alias("prior"), F.min("word_prop").alias("least"),
         log_sum(F.col("tf"), F.col("word_prop")).alias("logs"))

@@ -16,18 +16,14 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udtf
 
-from tallystar.functions.text import DROPPED_CHARS
-from tallystar.plans.bayes_batch import MAX_MODEL_BYTES, held_model
+from tallystar.functions.arrow_text import cleaned, row_words, slices
+from tallystar.plans.bayes_batch import MAX_MODEL_BYTES, HeldModel, held_model, predict_by_join
 
 # Counts that a task holds before it adds equal ones up, and emits them if they stay many.
-HELD_COUNTS = 1_000_000
-
-
-def cleaned(texts: pa.Array) -> pa.Array:
-    """``functions.text.clean`` on an Arrow array."""
-    return pc.ascii_lower(pc.replace_substring_regex(texts, DROPPED_CHARS, ""))
+HELD_COUNTS = 300_000
 
 
 def partial_counts(rows: pa.RecordBatch, label: str = "label", text: str = "text") -> pa.Table:
@@ -62,14 +58,15 @@ def register_count_words(spark: SparkSession, name: str = "count_words",
             self.held, self.rows = [], 0
 
         def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
-            self.held.append(partial_counts(rows))
-            self.rows += self.held[-1].num_rows
-            if self.rows >= held_counts:
-                self.held = [added_up(self.held)]
-                self.rows = self.held[0].num_rows
-                if 2 * self.rows >= held_counts:          # most of them are different
-                    yield self.held.pop()
-                    self.rows = 0
+            for part in slices(rows):
+                self.held.append(partial_counts(part))
+                self.rows += self.held[-1].num_rows
+                if self.rows >= held_counts:
+                    self.held = [added_up(self.held)]
+                    self.rows = self.held[0].num_rows
+                    if 2 * self.rows >= held_counts:          # most of them are different
+                        yield self.held.pop()
+                        self.rows = 0
 
         def terminate(self) -> Iterator[pa.Table]:
             if self.held:
@@ -114,15 +111,51 @@ def register_classifier(spark: SparkSession, model: DataFrame, name: str = "baye
     held = held_model(model)
     if held is None:
         raise ValueError(f"the model is larger than {MAX_MODEL_BYTES} bytes")
+    register_held(spark, held, name)
+
+
+def register_held(spark: SparkSession, held: HeldModel, name: str = "bayes_classify") -> None:
     sent = spark.sparkContext.broadcast(held)
 
     @arrow_udtf(returnType="expected_label int, predicted_label int, ranking double, text string")
     class Classify:
         def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
-            texts = rows.column("text")
-            scored = sent.value.score(cleaned(texts))
-            yield pa.table({"expected_label": rows.column("label").cast(pa.int32()),
-                            "predicted_label": scored.field("predicted_label"),
-                            "ranking": scored.field("ranking"), "text": texts})
+            for part in slices(rows):
+                texts = part.column("text")
+                scored = sent.value.score(cleaned(texts))
+                yield pa.table({"expected_label": part.column("label").cast(pa.int32()),
+                                "predicted_label": scored.field("predicted_label"),
+                                "ranking": scored.field("ranking"), "text": texts})
 
     spark.udtf.register(name, Classify)
+
+
+def register_text_words(spark: SparkSession, name: str = "text_words") -> None:
+    """Make ``name(TABLE(doc_id, text))`` callable: how often each word occurs in each row."""
+    @arrow_udtf(returnType="doc_id binary, value string, tf bigint")
+    class TextWords:
+        def eval(self, rows: pa.RecordBatch) -> Iterator[pa.Table]:
+            for part in slices(rows):
+                yield row_words(part)
+
+    spark.udtf.register(name, TextWords)
+
+
+def classify(spark: SparkSession, docs: str, model: DataFrame) -> DataFrame:
+    """(expected_label, predicted_label, ranking, text) of a table named ``docs(label, text)``.
+
+    With a model of up to MAX_MODEL_BYTES the table function scores the texts as they lie. With
+    a larger one it counts the words of each text, which then meet the model in a join.
+    """
+    held = held_model(model)
+    if held is not None:
+        register_held(spark, held)
+        return spark.sql("SELECT * FROM bayes_classify(TABLE(SELECT label, text FROM IDENTIFIER(:docs)))",
+                         args={"docs": docs})
+    register_text_words(spark)
+    counted = spark.sql("""
+        SELECT doc_id, value, max(tf) AS tf FROM text_words(TABLE(
+            SELECT unhex(sha2(coalesce(text, ''), 256)) AS doc_id, text FROM IDENTIFIER(:docs)))
+        GROUP BY doc_id, value""", args={"docs": docs})
+    rows = predict_by_join(spark.table(docs).select("label", "text"), model, counted)
+    return rows.select(F.col("label").alias("expected_label"), "predicted_label", "ranking", "text")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from tallystar.operators.labels import FEW_LABELS, in_label_set, inline_labels, with_label_in
 from tallystar.operators.topk import best_label, number_by_rank
+from tallystar.functions import arrow_text
 from tallystar.functions.text import clean
 from tallystar.plans import bayes_batch, bayes_fit, bayes_rank, bayes_sql
 from tallystar.sources.tables import replace_table
@@ -273,6 +274,35 @@ def test_scoring_by_a_table_function(spark, row_model):
     assert "hashpartitioning" not in plan and "SinglePartition" not in plan
 
 
+def test_a_table_function_scores_with_a_model_too_large_for_a_task(spark, row_model, monkeypatch):
+    docs = spark.createDataFrame(CORPUS + CORPUS[:3], "label int, text string").repartition(3)
+    docs.createOrReplaceTempView("docs_to_score")
+    small = bayes_sql.classify(spark, "docs_to_score", row_model)
+    assert rows(small) == rows(bayes_batch.predict_rows(docs, row_model, in_tasks=True))
+    monkeypatch.setattr(bayes_batch.held_model, "__defaults__", (10,))
+    large = bayes_sql.classify(spark, "docs_to_score", row_model)
+    assert rows(large.withColumn("ranking", F.round("ranking", 9))) == rows(
+        small.withColumn("ranking", F.round("ranking", 9)))
+    plan = large._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPythonUDTF" in plan
+
+
+def test_texts_are_taken_apart_in_bounded_slices(monkeypatch):
+    monkeypatch.setattr(arrow_text, "SLICE_BYTES", 10)
+    texts = ["abc", None, "x" * 30, "", "defgh", "ijklmn", "o"]
+    batch = arrow_text.pa.RecordBatch.from_pydict({"text": texts})
+    parts = [part.column("text").to_pylist() for part in arrow_text.slices(batch)]
+    assert [t for part in parts for t in part] == texts
+    assert all(len(part) == 1 or sum(len(t or "") for t in part) <= 10 for part in parts)
+    assert len(parts) == 4
+
+
+def test_no_text_is_grouped_in_the_joined_form(spark, toy_train, row_model):
+    plan = bayes_batch.predict_rows(toy_train, row_model, in_tasks=False)._jdf.queryExecution()
+    assert "any_value(text" not in plan.optimizedPlan().toString()
+    assert "first(text" not in plan.executedPlan().toString()
+
+
 def test_a_thousand_labels(spark, toy_train, model):
     many = inline_labels(spark, [0, 4, 4, *range(1000, 2000)])
     kept = in_label_set(toy_train, many)
