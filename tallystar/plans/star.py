@@ -12,6 +12,8 @@ from tallystar.sources.lazy import LazyTables
 
 # The partitions of a stored fact table, as in the date table's d_yearmonthnum.
 MONTH = "lo_yearmonthnum"
+# What follows from the other columns of a line.
+DERIVED = ("lo_revenue", "lo_supplycost")
 STAR_TABLES = ("lineorder", "date", "customer", "supplier", "part")
 
 
@@ -24,12 +26,16 @@ class StarViews(LazyTables):
 def _lines(t: Mapping[str, DataFrame]) -> DataFrame:
     """The line side of the fact; money is a whole number of cents, as the benchmark has it."""
     lineitem = t["lineitem"]
-    lines = lineitem.select(
+    return lineitem.select(
         F.col("l_orderkey").alias("lo_orderkey"), F.col("l_partkey").alias("lo_partkey"),
         F.col("l_suppkey").alias("lo_suppkey"),
         F.col("l_quantity").cast("int").alias("lo_quantity"),
         hundredths(lineitem, "l_extendedprice").alias("lo_extendedprice"),
         hundredths(lineitem, "l_discount").cast("int").alias("lo_discount"))
+
+
+def _with_derived(lines: DataFrame) -> DataFrame:
+    """Revenue and cost; a row that is stored travels without them."""
     return lines.select(
         "*", F.expr("lo_extendedprice * (100 - lo_discount) div 100").alias("lo_revenue"),
         # 60 % of the price of one piece.
@@ -82,9 +88,11 @@ def _parts(t: Mapping[str, DataFrame]) -> DataFrame:
 
 def star_of(t: Mapping[str, DataFrame]) -> StarViews:
     """The five star tables as views."""
-    sides = LazyTables({"lines": lambda: _lines(t), "orders": lambda: _orders(t)})
+    sides = LazyTables({"lines": lambda: _with_derived(_lines(t)), "orders": lambda: _orders(t)})
     star = StarViews({
-        "lineorder": lambda: sides["lines"].join(sides["orders"], "lo_orderkey"), "date": lambda: _calendar(t),
+        "lineorder": lambda: sides["lines"].join(
+            # A hash table of a partition's orders saves the sort of all lines.
+            sides["orders"].hint("shuffle_hash"), "lo_orderkey"), "date": lambda: _calendar(t),
         "customer": lambda: _with_place(t["customer"], "c", t),
         "supplier": lambda: _with_place(t["supplier"], "s", t), "part": lambda: _parts(t)})
     star.sides = sides
@@ -103,9 +111,11 @@ def write_star(star: Mapping[str, DataFrame], folder: str) -> None:
         table = star[name]
         if name == "lineorder":
             day = F.col("lo_orderdate")
-            monthly = table.withColumn(MONTH, F.year(day) * 100 + F.month(day))
-            writer = (monthly.hint("rebalance", MONTH).sortWithinPartitions(MONTH, day)
-                      .write.partitionBy(MONTH))
+            held = table.drop(*DERIVED) if isinstance(star, StarViews) else table
+            monthly = held.withColumn(MONTH, F.year(day) * 100 + F.month(day))
+            placed = monthly.hint("rebalance", MONTH).sortWithinPartitions(MONTH, day)
+            full = placed if held is table else _with_derived(placed).select(*table.columns, MONTH)
+            writer = full.write.partitionBy(MONTH)
         else:
             writer = table.write
         writer.mode("overwrite").parquet(f"{folder}/{name}")

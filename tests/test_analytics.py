@@ -129,3 +129,9 @@ def test_results_come_in_their_order(tables, star):
 def test_views_cut_both_sides_before_they_meet(star):
     plan = plan_of(ssb.q4_1(star, mfgrs=["PROMO"]))
     assert plan.count("BroadcastHashJoin") >= 4 and plan.count("lineitem.parquet") == 1
+
+
+def test_the_stored_fact_is_joined_without_sorting_lines(star, stored):
+    plan = plan_of(star["lineorder"])
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
+    assert rows(stored["lineorder"].drop("lo_yearmonthnum"), *star["lineorder"].columns) == rows(star["lineorder"])
