@@ -37,9 +37,9 @@ from tallystar.llm.common import in_batches, written
 
 #: Bytes of text that are worked on at once, and pointers within which equal ones meet before
 #: they are sent: these bound a task's memory.
-STRETCH_BYTES, HELD_ROWS = 6_000_000, 1_500_000
+STRETCH_BYTES, HELD_ROWS = 3_000_000, 600_000
 #: Pointers of one range: bounds a task's memory.
-RANGE_ROWS = 1_000_000
+RANGE_ROWS = 400_000
 #: Bits of the filter of frequent pairs: 16 MB whatever the corpus.
 FILTER_BITS = 1 << 27
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import posixpath
 import tempfile
@@ -37,7 +39,19 @@ def in_batches(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]],
                                                  Iterator[pa.RecordBatch]], schema) -> DataFrame:
     """`mapInArrow` whose function may use this package on any executor."""
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        released()
+
+    return df.mapInArrow(whole, schema)
+
+
+def released() -> None:
+    """Give free memory back to the system: a worker stays after its task, beside the next ones."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):     # other C libraries than glibc
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
