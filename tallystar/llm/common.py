@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 import tallystar
 from tallystar.sources.shared import fresh_path
 
+#: Rows that a task takes at least once every core has one.
+ROWS_A_TASK = 50_000
 _shipped: set[str] = set()
 
 
@@ -65,6 +67,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def tasks_for(df: DataFrame, rows_a_task: int = ROWS_A_TASK) -> int:
+    """To how many tasks what is made of so many rows may be coalesced: one per core at least.
+
+    A shuffle has as many tasks as the session says, whatever there is to do; where many rounds
+    go over few rows, starting these tasks would be most of the work. Large tables keep them all.
+    """
+    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_a_task))
+
+
 def chunks(column: pa.Array, chunk_bytes: int) -> Iterator[tuple[int, list]]:
     """(position of the first, values) of slices with about `chunk_bytes` each, one value at least."""
     start, held, size = 0, [], 0

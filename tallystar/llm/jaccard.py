@@ -18,7 +18,8 @@ sets, which are computed again from the texts of the documents concerned.
 Copies and near copies are not expanded into pairs. The documents of a token are compared in
 tiles of bounded size, and in every round each document gives only its closest partner by sketch
 from another component, so the pairs of a round are as many as the tokens at most. Links merge
-components; rounds go on while that leaves much to compare. At the end all pairs that still lie
+components; rounds go on while that leaves much to compare. Later rounds have few rows, so tables
+are coalesced by their rows, and only the last labels and the new links are labelled anew. At the end all pairs that still lie
 in different components and pass the sketches are verified, so no link is lost.
 
 Only the named id and text columns are read. Equal texts form one class whatever their ids;
@@ -35,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallystar.llm.common import chunks, in_batches, written
+from tallystar.llm.common import ROWS_A_TASK, chunks, in_batches, tasks_for, written
 from tallystar.llm.components import components
 
 CHUNK_BYTES = 4_000_000
@@ -46,6 +47,8 @@ TILE = 1500
 #: Rounds end when documents have so few partners left on average, or when fewer than one in so
 #: many is linked: what is left to compare then grows with the documents, not with its square.
 FEW_PARTNERS, FEW_LINKS = 3, 3
+#: Documents, with their sets or sketches, that a task takes at least once every core has one.
+DOCS_A_TASK = 5_000
 #: Bits of the filter by which texts are chosen for verification: 16 MB whatever the corpus.
 FILTER_BITS = 1 << 27
 
@@ -314,6 +317,7 @@ class JaccardJoin:
             f"id {self.kind}, mark binary, class binary, n long, sketch binary, tokens array<long>")
         self.rows = written(described.withColumn("node", F.monotonically_increasing_id()), "sets")
         self.nodes = self.rows.where("tokens IS NOT NULL")
+        self.tasks = tasks_for(self.rows, DOCS_A_TASK)
 
     def labels(self) -> DataFrame:
         """(node, label) of all nodes with links; the label is the least node of the component."""
@@ -321,66 +325,76 @@ class JaccardJoin:
         # One node of a class is enough; the others would share all its tokens.
         alone = self.nodes.join(same.select(F.col("a").alias("node")), "node", "left_anti")
         pairs = alone.select(F.explode("tokens").alias("token"), "node")
-        shared = written(in_batches(pairs.repartition("token").sortWithinPartitions("token"),
+        # Equal tokens lie in one partition, so partitions may follow each other in a task.
+        shared = written(in_batches(pairs.repartition("token").sortWithinPartitions("token")
+                                    .coalesce(self._token_tasks()),
                                     _shared_tokens, "token long, node long"), "tokens")
         edges, labels, tested, sets = same, None, None, None
         while True:
-            found = written(self._pairs(shared, labels, all_pairs=False).groupBy("a").agg(
+            n = max(self.tasks, tasks_for(shared))
+            found = written(self._pairs(shared, labels, all_pairs=False, tasks=n).groupBy("a").agg(
                 F.min(F.struct("apart", "b")).alias("to"), F.max("others").alias("others"))
-                .select("a", "to.b", "others"), "pairs")
+                .select("a", "to.b", "others").coalesce(n), "pairs")
             partners = found.agg(F.count("*").alias("rows"), F.sum("others").alias("others")).first()
             if not partners.rows:
                 return components(edges)
             # Who has no partner now will have none later: components only grow.
-            open_nodes = written(found.select(F.col("a").alias("node")).distinct(), "open")
-            shared = written(shared.join(open_nodes, "node", "left_semi"), "tokens")
+            open_nodes = found.select(F.col("a").alias("node"))
+            shared = written(shared.join(open_nodes, "node", "left_semi").coalesce(n), "tokens")
             if sets is None:
                 sets = written(self._sets(open_nodes), "sets")
             pairs = _ordered(found)
-            pairs = written(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"),
-                            "pairs")
+            pairs = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = written(pairs.coalesce(self.tasks), "pairs")
             links = self._verified(pairs, sets)
             edges, linked = edges.union(links), links.count()
             tested = pairs if tested is None else tested.union(pairs)
             if (FEW_LINKS * linked <= partners.rows
                     or partners.others <= FEW_PARTNERS * partners.rows):
                 labels = components(edges)
-                rest = _ordered(self._pairs(shared, labels, all_pairs=True))
-                rest = written(rest.join(tested, ["a", "b"], "left_anti"), "pairs")
+                rest = _ordered(self._pairs(shared, labels, all_pairs=True, tasks=n))
+                rest = written(rest.join(tested, ["a", "b"], "left_anti").coalesce(n), "pairs")
                 links = self._verified(rest, sets)
-                return labels if links.isEmpty() else components(edges.union(links))
+                return labels if links.isEmpty() else components(_stars(labels).union(links))
             labels = components(edges)
+            edges = _stars(labels)
+
+    def _token_tasks(self) -> int:
+        """To how many tasks all tokens may be coalesced."""
+        rows = self.nodes.agg(F.sum(F.size("tokens"))).first()[0] or 0
+        return max(self.tasks, -(-rows // ROWS_A_TASK))
 
     def _same_class(self) -> DataFrame:
         """Nodes of one class that several tasks described, each with the least of them."""
         least = self.nodes.groupBy("class").agg(F.min("node").alias("b"), F.max("node").alias("top"))
         several = least.where("b < top").select("class", "b")
         return written(self.nodes.join(several, "class").where("node > b")
-                       .select(F.col("node").alias("a"), "b"), "links")
+                       .select(F.col("node").alias("a"), "b").coalesce(self.tasks), "links")
 
-    def _sized(self, shared: DataFrame, labels: DataFrame | None) -> DataFrame:
+    def _sized(self, shared: DataFrame, labels: DataFrame | None, tasks: int) -> DataFrame:
         """(token, node, label, size) of the tokens that nodes of several components have.
 
         Before there are labels, every node is a component, and only crowded tokens are counted.
         """
         if labels is None:
             crowded = written(shared.groupBy("token").agg(F.count("*").alias("size"))
-                              .where(F.col("size") > TILE), "crowded")
+                              .where(F.col("size") > TILE).coalesce(tasks), "crowded")
             return shared.join(crowded, "token", "left").select(
                 "token", "node", F.col("node").alias("label"), F.coalesce("size", F.lit(1)).alias("size"))
         named = written(shared.join(labels, "node", "left")
-                        .withColumn("label", F.coalesce("label", "node")), "tokens")
+                        .withColumn("label", F.coalesce("label", "node")).coalesce(tasks), "tokens")
         mixed = written(named.groupBy("token").agg(
             F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"))
-            .where("low < high").select("token", "size"), "tokens")
+            .where("low < high").select("token", "size").coalesce(tasks), "tokens")
         return named.join(mixed, "token")
 
-    def _pairs(self, shared: DataFrame, labels: DataFrame | None, all_pairs: bool) -> DataFrame:
+    def _pairs(self, shared: DataFrame, labels: DataFrame | None, all_pairs: bool, tasks: int
+               ) -> DataFrame:
         """(a, b, apart, others) that share a token, pass the sketches and lie in two components."""
         sides = F.ceil(F.col("size") / TILE).cast("int")
         own = F.pmod(F.xxhash64("node"), sides).cast("int")
-        placed = (self._sized(shared, labels).withColumn("sides", sides).withColumn("own", own)
-                  .join(self.nodes.select("node", "n", "sketch"), "node"))
+        placed = (self._sized(shared, labels, tasks).withColumn("sides", sides).withColumn("own", own)
+                  .join(self.nodes.select("node", "n", "sketch"), "node").coalesce(tasks))
         # Tile (i, j) compares part i (side 0) of a token with part j (side 1), or i with itself.
         tiles = placed.select("*", F.explode(F.expr("""transform(sequence(0, sides - 1), other ->
             struct(least(own, other) AS i, greatest(own, other) AS j,
@@ -388,27 +402,30 @@ class JaccardJoin:
             .alias("at"))
         columns = ["token", "at.i", "at.j", "at.side", "node", "label", "n", "sketch"]
         return in_batches(tiles.select(*columns).repartition("token", "i", "j")
-                          .sortWithinPartitions("token", "i", "j", "side"),
+                          .sortWithinPartitions("token", "i", "j", "side").coalesce(tasks),
                           _tile_pairs(self.percent, all_pairs), "a long, b long, apart long, others long")
 
     def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose sets link, decided on the sets."""
         left = pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a")
+        left = left.coalesce(self.tasks)
         both = left.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))
         union = F.size("x") + F.size("y") - common
-        return written(both.where(100 * common >= self.percent * union).select("a", "b"), "links")
+        return written(both.where(100 * common >= self.percent * union).select("a", "b")
+                       .coalesce(self.tasks), "links")
 
     def _sets(self, nodes: DataFrame) -> DataFrame:
         """(node, elements): the texts that may be wanted are found by a filter of fixed size."""
         spark = nodes.sparkSession
-        wanted = written(self.nodes.join(nodes, "node").select("node", "id", "class"), "wanted")
+        wanted = written(self.nodes.join(nodes, "node").select("node", "id", "class")
+                         .coalesce(self.tasks), "wanted")
         bits = np.zeros(FILTER_BITS // 64, np.int64)
         place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
         masks = (wanted.select((place / 64).cast("long").alias("word"),
                                F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {FILTER_BITS}) % 64 AS int))")
                                .alias("bit"))
-                 .groupBy("word").agg(F.bit_or("bit").alias("mask")).toArrow())
+                 .groupBy("word").agg(F.bit_or("bit").alias("mask")).coalesce(self.tasks).toArrow())
         bits[masks["word"].to_numpy()] = masks["mask"].to_numpy()  # at most FILTER_BITS / 64 rows
         held, words = spark.sparkContext.broadcast(bits), self.words
 
@@ -432,7 +449,8 @@ class JaccardJoin:
         found = in_batches(self.texts.select("text", place.alias("at")), chosen,
                            "class binary, elements array<long>")
         once = found.groupBy("class").agg(F.first("elements").alias("elements"))
-        return wanted.select("node", "class").join(once, "class").select("node", "elements")
+        return (wanted.select("node", "class").join(once, "class").select("node", "elements")
+                .coalesce(self.tasks))
 
     def membership(self) -> DataFrame:
         """(id, mark, n, component) per row; mark is the MD5 of the text, null for a null one."""
@@ -440,16 +458,22 @@ class JaccardJoin:
         least = self.nodes.groupBy("class").agg(F.min("node").alias("node"))
         named = least.join(labels, "node", "left").select(
             "class", F.coalesce("label", "node").alias("label"))
-        classes = written(named, "classes")
-        rows = written(self.rows.select("id", "mark", "n", "class").join(classes, "class", "left"), "rows")
+        classes = written(named.coalesce(self.tasks), "classes")
+        rows = written(self.rows.select("id", "mark", "n", "class").join(classes, "class", "left")
+                       .coalesce(self.tasks), "rows")
         low = written(rows.where("label IS NOT NULL").groupBy("label")
                       .agg(F.min("id").alias("low"), F.count("*").alias("members"))
-                      .where("members > 1").select("label", "low"), "lows")
+                      .where("members > 1").select("label", "low").coalesce(self.tasks), "lows")
         return rows.join(low, "label", "left").select(
             "id", "mark", "n", F.when(F.col("label").isNull(), F.col("id"))
             .otherwise(F.coalesce("low", "id")).alias("component"))
 
 
+def _stars(labels: DataFrame) -> DataFrame:
+    """Edges (a, b) that have the components of the labels."""
+    return labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+
+
 def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 

@@ -1,11 +1,12 @@
 import random
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from edge import documents, plain
 
-from tallystar.llm import jaccard
+from tallystar.llm import common, jaccard
 from tallystar.llm.components import components
 
 
@@ -168,6 +169,31 @@ def test_components_of_chains_and_loops(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_few_rows_take_few_tasks(spark, monkeypatch):
+    """The rounds over a small corpus have no more tasks than cores, however the session shuffles."""
+    parts = []
+
+    def counted(df, name, write=common.written):
+        out = write(df, name)
+        parts.append((name, len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(jaccard, "written", counted)
+    monkeypatch.setattr(sys.modules["tallystar.llm.components"], "written", counted)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions",
+                                          "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        for k, v in zip(old, ("40", "false")):
+            spark.conf.set(k, v)
+        texts = corpus(4)
+        got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(plain(spark, texts)).collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert got == {i: low for i, (_, low) in brute(dict(enumerate(texts))).items()}
+    assert len(parts) > 10 and max(n for _, n in parts) <= 4
+
+
 def test_edges(spark):
     docs = documents(spark)
     rows = sorted(((r.doc_id or 0), r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs).collect())
