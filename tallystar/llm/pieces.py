@@ -59,10 +59,14 @@ class PieceTable:
     def packed(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         found, known = [split(t) for t in texts], self._known
-        missing = list(set().union(*found).difference(known))
-        if len(known) + len(missing) > CACHE_PIECES:
+        held = [list(map(known.get, pieces)) for pieces in found]
+        missing = list({p for pieces, ids in zip(found, held) for p, i in zip(pieces, ids)
+                        if i is None})
+        if not missing:
+            return list(map(b"".join, held))
+        new = dict(zip(missing, self._encode(missing)))
+        if len(known) + len(new) > CACHE_PIECES:
             known.clear()
-            missing = list(set().union(*found))
-        if missing:
-            known.update(zip(missing, self._encode(missing)))
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in found]
+        known.update(new)
+        return [b"".join([new[p] if i is None else i for p, i in zip(pieces, ids)])
+                for pieces, ids in zip(found, held)]

@@ -56,20 +56,31 @@ def _encoder(path: str) -> PieceTable:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True            # no piece is an added token
 
+    # A token is written with one character per byte, so its length tells where a piece ends.
+    vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+    sizes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+    sizes[list(vocabulary.values())] = list(map(len, vocabulary))
+
     def encode(pieces: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(pieces)
         # The split begins anew at a space before a letter, so such pieces go many to a call.
-        words = [i for i, p in enumerate(pieces) if p[0] == " " and p[1:].isalpha()]
-        rest = [i for i, p in enumerate(pieces) if not (p[0] == " " and p[1:].isalpha())]
+        words, rest = [], []
+        for i, p in enumerate(pieces):
+            (words if p[0] == " " and p[1:].isalpha() else rest).append(i)
         for a in range(0, len(words), 40 * JOINED):
             runs = [words[k:k + JOINED] for k in range(a, min(a + 40 * JOINED, len(words)), JOINED)]
             texts = [[pieces[i] for i in run] for run in runs]
-            for run, text, found in zip(runs, texts, tokenizer.encode_batch(
+            for run, text, found in zip(runs, texts, tokenizer.encode_batch_fast(
                     list(map("".join, texts)), add_special_tokens=False)):
-                packed, ends = np.array(found.ids, "<u4").tobytes(), [e for _, e in found.offsets]
-                cuts = 4 * np.searchsorted(ends, np.cumsum(list(map(len, text))), "right")
+                ids = np.array(found.ids, "<u4")
+                packed, ends = ids.tobytes(), np.cumsum(sizes[ids])
+                piece_ends = np.cumsum(list(map(len, map(str.encode, text))))
+                cuts = np.searchsorted(ends, piece_ends, "right")
+                if not len(ids) or not np.array_equal(ends[cuts - 1], piece_ends):
+                    rest += run                           # not in bytes: each by itself
+                    continue
                 begin = 0
-                for i, end in zip(run, cuts.tolist()):
+                for i, end in zip(run, (4 * cuts).tolist()):
                     out[i] = packed[begin:end]
                     begin = end
         for a in range(0, len(rest), 20_000):

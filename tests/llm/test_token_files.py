@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -5,7 +6,7 @@ import pytest
 from edge import ROWS, SCHEMA, documents
 from tokenizers import Tokenizer
 
-from tallystar.llm import queries, token_files
+from tallystar.llm import pieces, queries, token_files
 from tallystar.llm.common import filesystem
 from tallystar.sources.shared import fresh_path
 
@@ -38,6 +39,31 @@ def test_pieces_give_the_ids_of_the_whole_text(tokenizer):
     assert [g.tolist() for g in got] == [whole(tokenizer, t) for t in texts]
 
 
+def test_long_runs_of_words_are_cut_at_the_words(tokenizer):
+    """More unknown words than one call joins, in scripts of one to four bytes a letter."""
+    r = random.Random(2)
+    letters = "abcdefghijklmnop" "éßñçøü" "жщюя" "漢字仮名" "𐐀𐐁"
+    texts = ["".join(" " + "".join(r.choices(letters[a:b], k=r.randint(1, 9))) for _ in range(400))
+             for a, b in ((0, 16), (16, 26), (26, 32), (0, 32))]
+    got = token_files.encode_texts(queries.TOKENIZER, texts, 2)
+    assert [g.tolist() for g in got] == [whole(tokenizer, t) for t in texts]
+
+
+def test_a_full_table_is_begun_anew_without_encoding_known_pieces(monkeypatch):
+    monkeypatch.setattr(pieces, "CACHE_PIECES", 4)
+    asked = []
+
+    def encode(some):
+        asked.append(sorted(some))
+        return [p.encode() + b"|" for p in some]
+
+    table = pieces.PieceTable(encode)
+    assert table.packed(["a b", "a"]) == [b"a| b|", b"a|"]
+    assert table.packed(["a b c d", " d b"]) == [b"a| b| c| d|", b" d| b|"]
+    assert table.packed(["a b c d e"]) == [b"a| b| c| d| e|"]
+    assert asked == [[" b", "a"], [" c", " d"], [" e"]]
+
+
 def test_files_hold_every_row_and_single_documents(spark, tokenizer, monkeypatch):
     docs, folder = documents(spark), fresh_path(spark, "tokens")
     files = token_files.write(docs, folder, queries.TOKENIZER)
