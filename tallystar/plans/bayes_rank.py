@@ -25,15 +25,15 @@ def word_frequencies(docs: DataFrame) -> DataFrame:
 def known_words(docs: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(doc_id, value): the word occurrences whose word is in the vocabulary.
 
-    Every occurrence is kept; words are counted per document before they meet the
-    vocabulary and repeated afterwards. The words that are in most documents are spread.
+    Every occurrence is kept and travels once, to the place of its word. The words that occur
+    most are counted first, in partial sums, and spread.
     """
-    counted = word_frequencies(docs)
-    hot = (counted.groupBy("value").agg(F.count("*").alias("docs"))
-           .orderBy(F.desc("docs"), "value").limit(HOT_WORDS))
-    kept = salted_join(counted, vocabulary.select("value").distinct(), "value", hot,
+    words = tokens(docs, keep=["doc_id"])
+    hot = (words.groupBy("value").agg(F.count("*").alias("times"))
+           .orderBy(F.desc("times"), "value").limit(HOT_WORDS))
+    kept = salted_join(words, vocabulary.select("value").distinct(), "value", hot,
                        F.col("doc_id"), SALTS)
-    return kept.select("doc_id", "value", F.explode(F.sequence(F.lit(1), "tf")).alias("_n")).drop("_n")
+    return kept.select("doc_id", "value")
 
 
 def scores(docs: DataFrame, model: DataFrame, salts: int = SALTS,

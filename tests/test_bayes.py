@@ -157,6 +157,19 @@ def test_salting_does_not_change_scores(toy_train, model, salts, monkeypatch):
     assert rows(bayes_rank.scores(toy_train, model, salts)) == expected
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_known_words_travel_once(spark):
+    """Occurrences go to the place of their word, without a shuffle that counts per document."""
+    docs = spark.createDataFrame([(1, "a b a"), (1, "a"), (None, "a c"), (2, None)], "doc_id long, text string")
+    vocabulary = spark.createDataFrame([("a",), ("b",), ("b",)], "value string")
+    found = bayes_rank.known_words(docs, vocabulary)
+    assert rows(found) == [(1, "a")] * 3 + [(1, "b"), (None, "a")]
+    assert "hashpartitioning(doc_id" not in _plan(found)
+
+
 def test_known_words_keep_every_occurrence(spark):
     docs = spark.createDataFrame([(1, "a b a z"), (2, "z")], "doc_id bigint, text string")
     vocabulary = spark.createDataFrame([("a",), ("b",)], "value string")
