@@ -238,6 +238,7 @@ def round_trip(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id",
                     [batch.column(0).slice(start, len(ids)), pa.array(ids, pa.binary()),
                      pa.array(list(map(vocabulary.decode, ids)), pa.binary())],
                     ["id", "ids", "text"])
+        table.forget()
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return (in_batches(texts, both, f"id {kind}, ids binary, text binary")

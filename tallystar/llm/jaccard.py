@@ -258,7 +258,7 @@ def _paired(rows: pa.Table, bounds: np.ndarray, percent: int, all_pairs: bool
 
 
 def _paired_alike(rows: pa.Table, sketch: np.ndarray, bounds: np.ndarray, percent: int,
-                  all_pairs: bool, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+                  all_pairs: bool, most: int = 500_000) -> Iterator[pa.RecordBatch]:
     node, label, n, side = (rows[c].to_numpy() for c in ("node", "label", "n", "side"))
     starts, ends = bounds[:-1], bounds[1:]
     right = np.repeat(ends - np.add.reduceat((side == 1).astype(np.int64), starts), ends - starts)

@@ -56,6 +56,10 @@ class PieceTable:
     def __init__(self, encode: Callable[[list[str]], Iterable[bytes]]):
         self._encode, self._known = encode, {}
 
+    def forget(self) -> None:
+        """Drop the known pieces: a worker that stays after its task would keep them."""
+        self._known.clear()
+
     def packed(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         found, known = [split(t) for t in texts], self._known

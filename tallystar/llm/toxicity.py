@@ -97,13 +97,19 @@ def fold(text: str | None) -> tuple[str, int]:
     words = text.split() if text else []
     missing = set(words).difference(_folded)
     if len(_folded) + len(missing) > CACHE_WORDS:
-        _folded.clear()
+        forget()
         missing = set(words)
     _folded.update((w, _fold_word(w)) for w in missing)
     joined = " ".join(filter(None, map(_folded.__getitem__, words)))
     return (f" {joined} ", joined.count(" ") + 1) if joined else (" ", 0)
 
 
+def forget() -> None:
+    """Drop the folded words at a task's end: a worker stays, and would hold them beside other
+    stages. Functions that are sent to tasks must call this, as they get copies of plain globals."""
+    _folded.clear()
+
+
 @dataclass(frozen=True)
 class ToxicityModel:
     """Weights by folded term, exception phrases, and the logistic curve over two features."""
@@ -181,6 +187,7 @@ def _folded_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             [pa.array(folded, pa.string()), batch.column("_toxic"),
              *(pa.array([_signature(w, seed) for w in words], pa.int64()) for seed in (1, 2))],
             ["folded", "toxic", "sig1", "sig2"])
+    forget()
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -301,6 +308,7 @@ def _sample_features(sample: DataFrame, model: ToxicityModel) -> list[tuple[floa
                 [pa.array([a for a, _ in values], pa.float64()),
                  pa.array([b for _, b in values], pa.float64()), batch.column("toxic")],
                 ["a", "b", "toxic"])
+        forget()
 
     rows = in_batches(sample.select("folded", "toxic"), measured, "a double, b double, toxic int")
     return [(r.a, r.b, r.toxic) for r in rows.collect()]        # one row per sampled document
@@ -317,6 +325,7 @@ def score(docs: DataFrame, model: ToxicityModel, *, id_col: str = "doc_id",
                 [batch.column(0),
                  pa.array([held.value.score(t.as_py()) for t in batch.column(1)], pa.float64())],
                 ["id", "score"])
+        forget()
 
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -333,5 +342,6 @@ def without_toxic(docs: DataFrame, model: ToxicityModel, *, text_col: str = "tex
         for batch in batches:
             yield batch.filter(pa.array(
                 [held.value.score(t.as_py()) < threshold for t in batch.column(at)], pa.bool_()))
+        forget()
 
     return in_batches(docs, kept, docs.schema)

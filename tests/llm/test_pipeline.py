@@ -1,6 +1,8 @@
 import hashlib
+import time
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -9,6 +11,8 @@ import __spark_entry__ as registered
 import corpus_pipeline
 from tallystar.llm import bpe, queries, toxicity
 from tallystar.llm import decontaminate as dec
+from tallystar.llm.common import in_batches
+from edge import plain
 from test_jaccard import brute
 
 SF = "/root/testdata/sf0.001"
@@ -73,3 +77,26 @@ def test_toxicity_stage_drops_toxic_documents(spark, stages):
     toxic = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("toxic = 1").collect()}
     kept = {r.doc_id for r in stages["toxicity"].select("doc_id").collect()}
     assert len(toxic & kept) <= 0.2 * len(toxic)
+
+
+def test_workers_keep_no_tables_of_words_for_other_stages(spark):
+    """Python workers stay after a task: what one stage knew would lie beside the next one's."""
+    docs = plain(spark, [f"idiot w{i} x{i * 7} zq{i}zq" for i in range(400)]).repartition(4)
+    labels = docs.select("doc_id", F.lit(0).alias("quality"),
+                         (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    model = toxicity.ToxicityModel({" idiot ": 3.0})
+    toxicity.learn(docs, labels)
+    toxicity.without_toxic(docs, model, threshold=2.0).write.format("noop").mode("overwrite").save()
+    toxicity.score(docs, model).write.format("noop").mode("overwrite").save()
+    bpe.round_trip(docs, queries.RANKS).write.format("noop").mode("overwrite").save()
+    ranks = queries.RANKS
+
+    def held(batches):
+        for _ in batches:
+            pass
+        time.sleep(0.5)                                # so that every worker takes a task
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([len(toxicity._folded) + len(bpe._encoder(ranks)._known)])], ["n"])
+
+    sizes = in_batches(spark.range(0, 8, 1, 8), held, "n long").collect()
+    assert len(sizes) == 8 and {r.n for r in sizes} == {0}
