@@ -401,3 +401,19 @@ def test_any_corpus_matches_brute_force(spark, toy_labels, corpus):
     assert {(r.label, r.value): r.word_prop for r in got.collect()} == expected
     assert rows(got, "label", "value", "label_prop", "word_prop") == rows(
         bayes_fit.fit_rows(docs, (0, 4)))
+
+
+def test_known_labels_give_the_same_scores_and_no_count_per_document(spark, toy_train, model):
+    """With the labels named, a word of a document travels once for all of them."""
+    docs = spark.createDataFrame(
+        [(1, "fun no fun  Fun!"), (1, "fun plot"), (None, "very fun"), (None, "no"), (2, None),
+         (3, ""), (4, "zzz"), (5, "  "), (6, "no\tno no")], "doc_id bigint, text string")
+    for texts in (toy_train, docs):
+        want = {(r.doc_id, r.label): r.rank for r in bayes_rank.scores(texts, model).collect()}
+        got = bayes_rank.scores(texts, model, labels=(4, 0, 9)).collect()
+        assert len(got) == len(want)
+        assert {(r.doc_id, r.label): r.rank for r in got} == {k: pytest.approx(v, abs=1e-11)
+                                                              for k, v in want.items()}
+    ranked = _plan(bayes_rank.ranking(docs, model, labels=(0, 4)))
+    assert "hashpartitioning(doc_id" in ranked
+    assert not re.search(r"hashpartitioning\(doc_id#\d+L?, (value|label)", ranked)
