@@ -1,76 +1,136 @@
 """The split before the merges: pieces of a text as the byte-level pattern finds them.
 
-The pattern is `public_tokenizers.PATTERN`; its classes are written out so that Python's own
-`re` can run it, which is faster than an engine with Unicode properties.
+The pattern is `public_tokenizers.PATTERN`. Its alternatives tell only four kinds of characters
+apart, so where pieces begin is found for many texts at once, over the bytes of all of them.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable
 from functools import cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
 #: Entries after which a task's table of known pieces is begun anew: bounds its memory only.
 CACHE_PIECES = 600_000
-
-
-def _ranges(points: list[int]) -> str:
-    out, start = [], None
-    for i, p in enumerate(points):
-        start = p if start is None else start
-        if i + 1 == len(points) or points[i + 1] != p + 1:
-            out.append(f"\\U{start:08x}-\\U{p:08x}" if p > start else f"\\U{p:08x}")
-            start = None
-    return "".join(out)
-
-
-#: The alternatives of the byte-level pattern, contractions after letters and
-#: numbers, which none of them can begin like; {L}, {N}, {S} stand for the three classes.
-_BODY = (r" ?[{L}]+| ?[{N}]+|'(?:s|t|re|ve|m|ll|d)| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+")
-_END = {"ascii": 0x80, "basic": 0x10000, "all": 0x110000}
+#: Bytes whose characters beyond ASCII are decoded at once.
+_DECODED = 1 << 20
+_SPACE, _LETTER, _NUMBER, _OTHER = range(4)
 
 
 @cache
-def _finder(reach: str) -> Callable[[str], list[str]]:
-    """`findall` for texts with code points up to a bound; fewer ranges are found faster."""
-    every = "".join(chr(i) for i in range(_END[reach]) if not 0xD800 <= i < 0xE000)
-    body = _BODY
-    for name, pattern in (("{L}", r"\p{L}"), ("{N}", r"\p{N}"), ("{S}", r"\s")):
-        body = body.replace(name, _ranges([ord(c) for c in regex.findall(pattern, every)]))
-    return re.compile(body).findall
+def _kinds() -> np.ndarray:
+    """The kind of every code point."""
+    every = "".join(chr(i) for i in range(0x110000) if not 0xD800 <= i < 0xE000)
+    out = np.full(0x110000, _OTHER, np.uint8)
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_SPACE, r"\s+")):
+        for found in regex.finditer(pattern, every):
+            out[ord(found[0][0]):ord(found[0][-1]) + 1] = kind
+    return out
+
+
+def _kinds_of(data: np.ndarray) -> np.ndarray:
+    """The kind of the character that each byte of UTF-8 belongs to."""
+    kinds = _kinds()
+    out = kinds[:256][data]
+    for a in range(0, len(data), _DECODED):
+        lead = a + np.flatnonzero(data[a:a + _DECODED] >= 0xC0)
+        size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+        point = data[lead] & (0x7F >> size)
+        for k in (1, 2, 3):
+            more = size > k
+            point[more] = (point[more] << 6) | (data[lead[more] + k] & 0x3F)
+        found = kinds[point]
+        for k in range(4):
+            more = size > k
+            out[lead[more] + k] = found[more]
+    return out
+
+
+def _cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where pieces begin in the texts that lie between the bounds, and where the last one ends.
+
+    Pieces are runs of one kind, with three exceptions: of white space before another kind the
+    last character stands alone; if that is a blank, it belongs to the run that it precedes;
+    and a contraction is a piece if its apostrophe begins one.
+    """
+    n, kind = len(data), _kinds_of(data)
+    text = np.zeros(n, bool)
+    text[bounds[bounds < n]] = True
+    first = text.copy()
+    first[1:] |= kind[1:] != kind[:-1]
+
+    space = kind == _SPACE
+    after = np.flatnonzero(space[:-1] & ~space[1:] & ~text[1:]) + 1
+    last = after - 1
+    while len(inside := np.flatnonzero(data[last] & 0xC0 == 0x80)):
+        last[inside] -= 1
+    first[last] = True
+    first[after[data[last] == ord(" ")]] = False
+
+    mark = np.flatnonzero((data == ord("'")) & first)
+    end = bounds[np.searchsorted(bounds, mark, "right")]
+    one, two = (np.where(mark + k < end, data[np.minimum(mark + k, n - 1)], 0).astype(np.int64)
+                for k in (1, 2))
+    long = np.isin(one << 8 | two, [a << 8 | b for a, b in (b"re", b"ve", b"ll")])
+    whole = long | np.isin(one, list(b"stmd"))
+    first[mark[whole] + 1] = False
+    rest = (mark + 2 + long)[whole]
+    first[rest[rest < end[whole]]] = True
+    return np.append(np.flatnonzero(first), n)
+
+
+def _pieces(texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The pieces of all texts, and how many of them lie before each text and before the end."""
+    column = pa.array(texts, pa.large_string())
+    _, offsets, held = column.buffers()
+    bounds = np.frombuffer(offsets, np.int64)[:len(texts) + 1]
+    if not len(texts) or not bounds[-1]:
+        return pa.array([], pa.large_string()), np.zeros(len(texts) + 1, np.int64)
+    cuts = _cuts(np.frombuffer(held, np.uint8)[:bounds[-1]], bounds)
+    return (pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), held),
+            np.searchsorted(cuts, bounds))
 
 
 def split(text: str) -> list[str]:
     """The matches of `public_tokenizers.PATTERN` in order; together they are the text."""
-    if text.isascii():
-        return _finder("ascii")(text)
-    basic = len(text.encode("utf-16-le")) == 2 * len(text)
-    return _finder("basic" if basic else "all")(text)
+    return _pieces([text])[0].to_pylist()
 
 
 class PieceTable:
     """Known pieces with their packed ids; unknown ones are encoded many at a time."""
 
     def __init__(self, encode: Callable[[list[str]], Iterable[bytes]]):
-        self._encode, self._known = encode, {}
+        self._encode = encode
+        self.forget()
 
     def forget(self) -> None:
         """Drop the known pieces: a worker that stays after its task would keep them."""
-        self._known.clear()
+        self._known, self._ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
 
     def packed(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        found, known = [split(t) for t in texts], self._known
-        held = [list(map(known.get, pieces)) for pieces in found]
-        missing = list({p for pieces, ids in zip(found, held) for p, i in zip(pieces, ids)
-                        if i is None})
-        if not missing:
-            return list(map(b"".join, held))
-        new = dict(zip(missing, self._encode(missing)))
-        if len(known) + len(new) > CACHE_PIECES:
-            known.clear()
-        known.update(new)
-        return [b"".join([new[p] if i is None else i for p, i in zip(pieces, ids)])
-                for pieces, ids in zip(found, held)]
+        pieces, before = _pieces(texts)
+        coded = pieces.dictionary_encode()
+        ids = self._of_distinct(coded.dictionary).take(coded.indices)
+        _, offsets, held = ids.buffers()
+        at = np.frombuffer(offsets, np.int64)[before].tolist() if len(ids) else [0] * len(before)
+        data = memoryview(held or b"")
+        return [bytes(data[a:b]) for a, b in zip(at, at[1:])]
+
+    def _of_distinct(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        place = pc.index_in(pieces, value_set=self._known)
+        missing = pieces.filter(place.is_null())
+        if not len(missing):
+            return self._ids.take(place)
+        new = pa.array(list(self._encode(missing.to_pylist())), pa.large_binary())
+        order = place.is_null().to_numpy(zero_copy_only=False).cumsum() + (len(self._known) - 1)
+        known, ids = (pa.concat_arrays(x) for x in ((self._known, missing), (self._ids, new)))
+        found = ids.take(pc.coalesce(place.cast(pa.int64()), pa.array(order, pa.int64())))
+        if len(known) > CACHE_PIECES:                     # frequent pieces are among these
+            known, ids = (pa.concat_arrays([x[:CACHE_PIECES]]) for x in (pieces, found))
+        self._known, self._ids = known, ids
+        return found
