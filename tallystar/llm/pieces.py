@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 import regex
 
 #: Entries after which a task's table of known pieces is begun anew: bounds its memory only.
-CACHE_PIECES = 600_000
+CACHE_PIECES = 1_200_000
 #: Bytes whose characters beyond ASCII are decoded at once.
 _DECODED = 1 << 20
 _SPACE, _LETTER, _NUMBER, _OTHER = range(4)

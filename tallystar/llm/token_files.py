@@ -21,6 +21,7 @@ import re
 import struct
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +43,7 @@ _ENTRY = np.dtype([("id", "<i8"), ("known", "u1"), ("offset", "<u8"), ("length",
                    ("ids", "<u8")])
 FILE_BYTES = 1 << 28
 READ_BYTES = 1 << 22
-CHUNK_BYTES = 4_000_000
+CHUNK_BYTES = 12_000_000
 #: Pieces that the library encodes as one text.
 JOINED = 256
 #: Bounds of the sample on which the dictionary is trained: documents, and bytes of each.
@@ -63,26 +64,26 @@ def _encoder(path: str) -> PieceTable:
 
     def encode(pieces: list[str]) -> list[bytes]:
         out: list[bytes] = [b""] * len(pieces)
-        # The split begins anew at a space before a letter, so such pieces go many to a call.
-        words, rest = [], []
-        for i, p in enumerate(pieces):
-            (words if p[0] == " " and p[1:].isalpha() else rest).append(i)
+        # The split begins anew at a space before a letter or number, so such pieces go many to a call.
+        rest = [i for i, p in enumerate(pieces) if p[0] != " " or not p[1:].isalnum()]
+        words = np.delete(np.arange(len(pieces)), rest).tolist()
         for a in range(0, len(words), 40 * JOINED):
-            runs = [words[k:k + JOINED] for k in range(a, min(a + 40 * JOINED, len(words)), JOINED)]
-            texts = [[pieces[i] for i in run] for run in runs]
-            for run, text, found in zip(runs, texts, tokenizer.encode_batch_fast(
-                    list(map("".join, texts)), add_special_tokens=False)):
-                ids = np.array(found.ids, "<u4")
-                packed, ends = ids.tobytes(), np.cumsum(sizes[ids])
-                piece_ends = np.cumsum(list(map(len, map(str.encode, text))))
-                cuts = np.searchsorted(ends, piece_ends, "right")
-                if not len(ids) or not np.array_equal(ends[cuts - 1], piece_ends):
-                    rest += run                           # not in bytes: each by itself
-                    continue
-                begin = 0
-                for i, end in zip(run, (4 * cuts).tolist()):
-                    out[i] = packed[begin:end]
-                    begin = end
+            run = words[a:a + 40 * JOINED]
+            text = [pieces[i] for i in run]
+            found = tokenizer.encode_batch_fast(
+                ["".join(text[k:k + JOINED]) for k in range(0, len(text), JOINED)],
+                add_special_tokens=False)
+            ids = np.array(list(chain.from_iterable(f.ids for f in found)), "<u4")
+            packed, ends = ids.tobytes(), np.cumsum(sizes[ids])
+            piece_ends = np.cumsum([len(p.encode()) for p in text])
+            cuts = np.searchsorted(ends, piece_ends, "right")
+            if not len(ids) or not np.array_equal(ends[cuts - 1], piece_ends):
+                rest += run                               # not in bytes: each by itself
+                continue
+            begin = 0
+            for i, end in zip(run, (4 * cuts).tolist()):
+                out[i] = packed[begin:end]
+                begin = end
         for a in range(0, len(rest), 20_000):
             some = rest[a:a + 20_000]
             for i, found in zip(some, tokenizer.encode_batch_fast(
