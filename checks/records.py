@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -145,10 +146,11 @@ def written_arrays(lines: DataFrame, name: str) -> str:
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(0).to_pylist()
-            yield pa.RecordBatch.from_arrays([pa.array(
-                ["[\n" + ",\n".join(values[i:i + 100]) + "]" for i in range(0, len(values), 100)],
-                pa.string())], ["value"])
+            values = batch.column(0)
+            ends = pa.array([*range(0, len(values), 100), len(values)], pa.int32())
+            joined = pc.binary_join(pa.ListArray.from_arrays(ends, values), ",\n")
+            yield pa.RecordBatch.from_arrays(
+                [pc.binary_join_element_wise("[\n", joined, "]", "")], ["value"])
 
     write_texts(lines.mapInArrow(arrays, "value string"), path, OBJECTS_PER_FILE // 100)
     return path

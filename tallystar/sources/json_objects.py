@@ -4,20 +4,26 @@ The text source cuts a file at every opening brace, so many tasks read a large o
 block of a file begins inside a string, and how deep in objects, are running sums over the blocks
 before it: of quotes, and of braces outside strings for both cases. They take a first pass that
 gives one row per block. The second pass cuts each block at the objects of their own, those that
-begin at depth 0; only what lies at a block's ends travels to be put together.
+begin at depth 0; only what lies at a block's ends travels to be put together. A compressed file
+that Spark cannot cut is one block, which needs no sums and no putting together: it is read once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 BLOCK = ("file", "block")
 
+# Ends of names by which Hadoop knows files that one task must read as a whole.
+COMPRESSED = (".gz", ".deflate", ".lz4", ".snappy", ".zst")
+
 
 def read_objects(spark: SparkSession, path: str) -> DataFrame:
     """(value): the text of every top-level object of every file under the path.
@@ -27,8 +33,7 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
     """
     # Functions that tasks run are nested, so that executors need no copy of this package.
     quote, opening, closing, back = b'"{}\\'
-    marks = np.zeros(256, bool)
-    marks[[quote, opening, closing]] = True
+    around = " \t\n\v\f\r,[]"
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, bytes]]:
         """(columns but the text, bytes) of stretches of blocks, with the braces put back."""
@@ -36,21 +41,22 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts = batch.column("text").to_pylist()
-            file, block = batch.column("file"), batch.column("block").to_numpy()
+            texts, file, block = (batch.column(i) for i in range(3))
             code = file.dictionary_encode().indices.to_numpy()
-            cuts = np.flatnonzero((np.diff(code) != 0) | (np.diff(block) != 0)) + 1
+            cuts = np.flatnonzero((np.diff(code) != 0) | (np.diff(block.to_numpy()) != 0)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
                 key = tuple(batch.column(i)[a].as_py() for i in range(1, batch.num_columns))
                 # No brace stands before a file's first piece.
                 start = b"" if key != last and not key[1] else b"{"
                 last = key
-                yield key, start + b"{".join(texts[a:b])
+                joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([a, b], pa.int32()), texts),
+                                        pa.scalar("{", texts.type))
+                yield key, start + joined[0].as_buffer()
 
     def scan(data: bytes, text: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
         """Positions of braces, 1 or -1 for each, whether a string holds it, quotes in all."""
         chars = np.frombuffer(data, np.uint8)
-        at = np.flatnonzero(marks[chars])
+        at = np.flatnonzero((chars == quote) | (chars == opening) | (chars == closing))
         kind = chars[at]
         quotes = kind == quote
         if back in data:
@@ -58,9 +64,9 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
             before = at[quotes] - 1
             run = np.where(before >= 0, before - plain[np.maximum(before, 0)], 0)
             quotes[quotes] = run % 2 == 0
-        held = (np.cumsum(quotes) + text) % 2
         brace = kind != quote
-        return (at[brace], np.where(kind[brace] == opening, 1, -1), held[brace] == 1,
+        held = (np.cumsum(quotes)[brace] + text) % 2 == 1
+        return (at[brace], np.where(kind[brace] == opening, 1, -1), held,
                 int(np.count_nonzero(quotes)))
 
     def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,49 +85,75 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
         if key is not None:
             yield row()
 
-    names = ["file", "block", "part", "text", "whole"]
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, int | None, pa.Array]]:
+        """(block, part, texts): what is at a block's ends (part 0 and 1), objects within it (None).
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Objects that lie in a block, and apart from them what is at its ends (part 0 and 1)."""
+        The objects are without the white space, commas and brackets that follow them.
+        """
         key, open_, part, text, depth = None, [], 0, 0, 0
-
-        def rows(whole):
-            none = [pa.nulls(len(whole), kind) for kind in (pa.string(), pa.int64(), pa.int32(), pa.binary())]
-            return pa.RecordBatch.from_arrays([*none, pa.array(whole, pa.binary())], names)
-
-        def end(part):
-            return pa.RecordBatch.from_arrays(
-                [pa.array([key[0]]), pa.array([key[1]]), pa.array([part], pa.int32()),
-                 pa.array([b"".join(open_)], pa.binary()), pa.nulls(1, pa.binary())], names)
-
         for at, data in blocks(batches):
             if at != key:
                 if key is not None:
-                    yield end(part)
-                key, open_, part, text, depth = at, [], 0, at[2] % 2, at[3]
+                    yield key, part, pa.array([b"".join(open_)])
+                key, open_, part = at, [], 0
+                quotes, depth = at[2:] or (0, 0)
+                text = quotes % 2
             where, step, held, quotes = scan(data, text)
             where, step = where[~held], step[~held]
             deep = depth + np.cumsum(step)
-            begins = where[(step == 1) & (deep == 1)].tolist()
+            begins = where[(step == 1) & (deep == 1)]
             text = (text + quotes) % 2
             depth = int(deep[-1]) if len(deep) else depth
-            if not begins:
+            if not len(begins):
                 open_.append(data)
                 continue
             open_.append(data[:begins[0]])
-            whole = [data[a:b] for a, b in zip(begins, begins[1:])]
-            if part:
-                whole.append(b"".join(open_))
-            else:
-                yield end(0)
-            if whole:
-                yield rows(whole)
+            first = pa.array([b"".join(open_)])
+            if not part:
+                yield key, 0, first
+            whole = pa.StringArray.from_buffers(
+                len(begins) - 1, pa.py_buffer(begins.astype(np.int32)), pa.py_buffer(data))
+            whole = pa.concat_arrays([first.view(pa.string())] * part + [whole])
+            if len(whole):
+                yield key, None, pc.ascii_rtrim(whole, around)
             open_, part = [data[begins[-1]:]], 1
         if key is not None:
-            yield end(part)
+            yield key, part, pa.array([b"".join(open_)])
 
-    pieces = spark.read.option("lineSep", "{").text(path).select(
-        F.col("value").cast("binary").alias("text"), F.col("_metadata.file_path").alias("file"),
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Objects that lie in a block, and apart from them what is at its ends."""
+        names = ["file", "block", "part", "text", "whole"]
+        kinds = (pa.string(), pa.int64(), pa.int32(), pa.binary())
+        for key, part, texts in parted(batches):
+            if part is None:
+                row = [*(pa.nulls(len(texts), kind) for kind in kinds), texts]
+            else:
+                row = [pa.array([key[0]]), pa.array([key[1]]), pa.array([part], pa.int32()), texts,
+                       pa.nulls(1, pa.string())]
+            yield pa.RecordBatch.from_arrays(row, names)
+
+    def cut_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """All objects of files that are one block, and as number -1 what stands before them."""
+        for key, part, texts in parted(batches):
+            if key[1]:
+                raise ValueError("a compressed file was cut")
+            number = pa.array(np.full(len(texts), -1 if part == 0 else 0, np.int32))
+            if part is not None:
+                texts = texts.view(pa.string())
+            yield pa.RecordBatch.from_arrays([number, pc.ascii_rtrim(texts, around) if part else texts],
+                                             ["object", "text"])
+
+    def at_braces(reader: DataFrameReader) -> DataFrame:
+        return reader.option("lineSep", "{").text(path)
+
+    # A hash tells a file from the next one: its path would be longer than most pieces.
+    alone = (at_braces(spark.read.option("pathGlobFilter", "*{%s}" % ",".join(COMPRESSED))).select(
+        F.col("value").alias("text"), F.xxhash64(F.input_file_name()).alias("file"),
+        F.expr("input_file_block_start()").alias("block")).mapInArrow(cut_alone, "object int, text string"))
+    name = F.col("_metadata.file_name")
+    cuttable = ~reduce(Column.__or__, (name.endswith(end) for end in COMPRESSED))
+    pieces = at_braces(spark.read).where(cuttable).select(
+        F.col("value").alias("text"), F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     earlier = lambda name: F.coalesce(F.sum(name).over(before), F.lit(0))
@@ -131,7 +163,7 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("step", F.when(F.col("quoted") % 2 == 1, F.col("within")).otherwise(F.col("outside")))
         .select(*BLOCK, "quoted", earlier("step").alias("depth")))
     parts = (pieces.join(F.broadcast(starts), list(BLOCK)).select("text", *BLOCK, "quoted", "depth")
-             .mapInArrow(cut, "file string, block long, part int, text binary, whole binary"))
+             .mapInArrow(cut, "file string, block long, part int, text binary, whole string"))
     # An end belongs to the last object that began in a block before; number -1 is what stands
     # before a file's first object.
     upto = Window.partitionBy("file").orderBy("block", "part").rowsBetween(Window.unboundedPreceding, 0)
@@ -140,11 +172,12 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
     joined = ends.groupBy("file", "object").agg(F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("block", "part", F.col("text").cast("string").alias("text")))),
         lambda piece: piece["text"]), "").alias("text"))
-    whole = (parts.select(F.lit(0).alias("object"), F.col("whole").cast("string").alias("text"))
-             .unionAll(joined.select("object", "text")))
-    cleaned = F.regexp_replace("text", r"[\s,\[\]]+$", "")
+    joined = joined.select("object", F.when(F.col("object") == -1, F.col("text")).otherwise(
+        F.regexp_replace("text", r"[\s,\[\]]+$", "")).alias("text"))
+    whole = parts.where("whole IS NOT NULL").select(F.lit(0).alias("object"), F.col("whole").alias("text"))
+    found = alone.unionAll(whole).unionAll(joined)
     value = F.when(F.col("object") == -1, F.when(
         F.col("text").rlike(r"[^\s\[\],\x{feff}]"), F.raise_error(F.lit("text before an object")))).when(
-        ~cleaned.endswith("}"), F.raise_error(F.lit("text after an object, or an object cut off"))
-        ).otherwise(cleaned)
-    return whole.select(value.cast("string").alias("value")).where("value IS NOT NULL")
+        ~F.col("text").endswith("}"), F.raise_error(F.lit("text after an object, or an object cut off"))
+        ).otherwise(F.col("text"))
+    return found.select(value.cast("string").alias("value")).where("value IS NOT NULL")

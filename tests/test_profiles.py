@@ -1,8 +1,11 @@
+import gzip
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from checks import records
 from conftest import rows
 from tallystar.functions.seconds import mean_seconds
 from tallystar.plans import profiles as pf
@@ -315,3 +318,49 @@ def test_positions_are_averaged_without_sorting_operators(spark, array_file):
     plan = pf.by_position(flat)._jdf.queryExecution().executedPlan().toString()
     first = [line for line in plan.split("\n") if "Aggregate(keys=[benchmark_name" in line][-1]
     assert "HashAggregate" in first and "partial_" in first
+
+
+def bytes_read(spark):
+    """Bytes that this process has read from files through Hadoop."""
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    return statistics.getLong("bytesRead")
+
+
+@pytest.mark.parametrize("read", [files.read_profiles, files.read_back_to_back])
+def test_compressed_files_are_read_once(spark, tmp_path, read):
+    random = np.random.default_rng(1)
+    made = [dict(RUNS[0], benchmark_name=f"run }} {i} [", query_name=random.bytes(400).hex())
+            for i in range(4000)]
+    for i in range(4):
+        some = made[i::4]
+        text = json.dumps(some) if read is files.read_profiles else " \n".join(map(json.dumps, some))
+        (tmp_path / f"log{i}.json.gz").write_bytes(gzip.compress(text.encode()))
+    (tmp_path / "plain.json").write_text(json.dumps(dict(RUNS[0], benchmark_name="plain")))
+    size = sum(file.stat().st_size for file in tmp_path.iterdir())
+    before = bytes_read(spark)
+    got = read(spark, str(tmp_path)).select("benchmark_name", "query_name").collect()
+    assert size <= bytes_read(spark) - before < 1.5 * size
+    assert sorted(got) == sorted([(r["benchmark_name"], r["query_name"]) for r in made]
+                                 + [("plain", RUNS[0].get("query_name"))])
+
+
+@pytest.mark.parametrize("text", ['[{"benchmark_name": "a"}] x', 'x {"benchmark_name": "a"}',
+                                  '{"benchmark_name": "a"} x {"benchmark_name": "b"}',
+                                  '{"benchmark_name": "a"'])
+def test_leftover_text_in_a_compressed_file_is_an_error(spark, tmp_path, text):
+    (tmp_path / "good.json.gz").write_bytes(gzip.compress(b'[{"benchmark_name": "b"}]\n'))
+    (tmp_path / "log.json.gz").write_bytes(gzip.compress(text.encode()))
+    with pytest.raises(Exception, match="text before|text after"):
+        files.read_back_to_back(spark, str(tmp_path)).collect()
+
+
+def test_written_arrays_hold_a_hundred_objects_each(spark):
+    lines = spark.range(0, 250, 1, 1).selectExpr("""concat('{"n": ', id, '}') AS value""")
+    path = records.written_arrays(lines, "arrays")
+    text = "\n".join(r.value for r in spark.read.text(path).collect())
+    got, at = [], 0
+    while at < len(text):
+        array, at = json.JSONDecoder().raw_decode(text, at)
+        got.append([o["n"] for o in array])
+        at += 1
+    assert got == [list(range(100)), list(range(100, 200)), list(range(200, 250))]
