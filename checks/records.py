@@ -7,11 +7,11 @@ and numbers come from the row, so the work grows with the tables.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.common import Query, load
@@ -51,13 +51,20 @@ NUMBERS = (BENCHMARK, SCALE, THREAD, "o_totalprice", "q * 100 + 2556", "n + q",
            "if(o_custkey % 4 = 0, ', \"Filters\": \"d_year=1994\"', '')")
 
 
+def filled(template: str, values: Sequence[Column]) -> Column:
+    """``format_string`` of a template with ``%s`` only, put together without a formatter for each row."""
+    pieces = template.split("%s")
+    texts = [F.coalesce(value.cast("string"), F.lit("null")) for value in values]
+    return F.concat(F.lit(pieces[0]), *(c for text, piece in zip(texts, pieces[1:], strict=True)
+                                        for c in (text, F.lit(piece))))
+
+
 def profile_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One profile per order as JSON text."""
     lines = load(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(
         F.count("*").alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("q"))
     run = load(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
-    return run.select(F.format_string(RUN, *(F.expr(n).cast("string") for n in NUMBERS))
-                      .alias("value"))
+    return run.select(filled(RUN, [F.expr(n) for n in NUMBERS]).alias("value"))
 
 
 def run_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -130,7 +137,7 @@ OBJECTS_PER_FILE = 50_000
 
 def write_texts(lines: DataFrame, path: str, lines_per_file: int) -> None:
     """Compressed text files, a row per line, none longer than so many lines."""
-    (lines.write.option("compression", "gzip").option("maxRecordsPerFile", lines_per_file).text(path))
+    lines.write.option("compression", "lz4").option("maxRecordsPerFile", lines_per_file).text(path)
 
 
 def back_to_back(spark: SparkSession, sf_dir: str) -> DataFrame:

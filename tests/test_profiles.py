@@ -354,6 +354,15 @@ def test_leftover_text_in_a_compressed_file_is_an_error(spark, tmp_path, text):
         files.read_back_to_back(spark, str(tmp_path)).collect()
 
 
+def test_profile_texts_are_what_a_formatter_makes(spark):
+    values = spark.createDataFrame([(1, 0.1, 'a"b%s'), (None, 1e-7, None), (-5, 123456789.0, "")],
+                                   "a bigint, b double, c string")
+    template = '{"a": %s, "b": [%s, 1], "c": "%s"}'
+    made = values.select(records.filled(template, [F.col(c) for c in "abc"]).alias("made"),
+                         F.format_string(template, *(F.col(c).cast("string") for c in "abc")).alias("want"))
+    assert all(r.made == r.want for r in made.collect())
+
+
 def test_written_arrays_hold_a_hundred_objects_each(spark):
     lines = spark.range(0, 250, 1, 1).selectExpr("""concat('{"n": ', id, '}') AS value""")
     path = records.written_arrays(lines, "arrays")
