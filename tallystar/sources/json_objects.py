@@ -41,13 +41,13 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts, file, block = (batch.column(i) for i in range(3))
-            code = file.dictionary_encode().indices.to_numpy()
-            cuts = np.flatnonzero((np.diff(code) != 0) | (np.diff(block.to_numpy()) != 0)) + 1
+            texts, *place = batch.columns[:3]
+            code = [column.dictionary_encode().indices.to_numpy() for column in place]
+            cuts = np.flatnonzero(np.any([np.diff(c) != 0 for c in code], axis=0)) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)]):
                 key = tuple(batch.column(i)[a].as_py() for i in range(1, batch.num_columns))
                 # No brace stands before a file's first piece.
-                start = b"" if key != last and not key[1] else b"{"
+                start = b"" if key != last and not any(key[1:2]) else b"{"
                 last = key
                 joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([a, b], pa.int32()), texts),
                                         pa.scalar("{", texts.type))
@@ -134,9 +134,7 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
 
     def cut_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """All objects of files that are one block, and as number -1 what stands before them."""
-        for key, part, texts in parted(batches):
-            if key[1]:
-                raise ValueError("a compressed file was cut")
+        for _, part, texts in parted(batches):
             number = pa.array(np.full(len(texts), -1 if part == 0 else 0, np.int32))
             if part is not None:
                 texts = texts.view(pa.string())
@@ -146,10 +144,13 @@ def read_objects(spark: SparkSession, path: str) -> DataFrame:
     def at_braces(reader: DataFrameReader) -> DataFrame:
         return reader.option("lineSep", "{").text(path)
 
-    # A hash tells a file from the next one: its path would be longer than most pieces.
-    alone = (at_braces(spark.read.option("pathGlobFilter", "*{%s}" % ",".join(COMPRESSED))).select(
-        F.col("value").alias("text"), F.xxhash64(F.input_file_name()).alias("file"),
-        F.expr("input_file_block_start()").alias("block")).mapInArrow(cut_alone, "object int, text string"))
+    # A hash tells a file from the next one: its path would be longer than most pieces. Spark measures
+    # the batch after every row, column by column, so there is no column that is always 0.
+    file = F.when(F.expr("input_file_block_start() = 0"), F.xxhash64(F.input_file_name())).otherwise(
+        F.raise_error(F.lit("a compressed file was cut")))
+    alone = at_braces(spark.read.option("pathGlobFilter", "*{%s}" % ",".join(COMPRESSED))).select(
+        F.col("value").alias("text"), file.cast("long").alias("file")).mapInArrow(
+        cut_alone, "object int, text string")
     name = F.col("_metadata.file_name")
     cuttable = ~reduce(Column.__or__, (name.endswith(end) for end in COMPRESSED))
     pieces = at_braces(spark.read).where(cuttable).select(
