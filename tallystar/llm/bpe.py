@@ -199,6 +199,7 @@ def encode(docs: DataFrame, ranks_path: str, *, id_col: str = "doc_id",
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(start, len(ids)), pa.array(ids, pa.binary())],
                     ["id", "ids"])
+        table.forget()
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     return (in_batches(texts, encoded, f"id {kind}, ids binary")
